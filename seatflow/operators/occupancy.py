@@ -51,11 +51,12 @@ def resolve_routes(sightings: DataFrame, trips: DataFrame, salts: int = 16) -> D
     """
     trip = _blank("trip_id")
     places = F.when(trip.isNull(), 1_000_000).otherwise(salts)
-    spread = sightings.withColumns({"_trip": trip, "_salt": F.pmod(F.xxhash64(*sightings.columns), places)})
+    salt = F.pmod(F.xxhash64(*sightings.columns), places).cast("int")
+    spread = sightings.withColumns({"_trip": trip, "_salt": salt})
     copies = trips.select(
         "month", F.col("trip_id").alias("_trip"),
         F.col("route_id").alias("_map_route"), F.col("direction_id").alias("_map_direction"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint").alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
     )
     joined = spread.join(copies, ["month", "_trip", "_salt"], "left")
     return _resolved(joined).drop("_trip", "_salt")
@@ -151,19 +152,26 @@ def hourly_from_trips(
     return summarise(merge_counts(resolved)).select(*TRAFFIC_COLUMNS)
 
 
+def _agrees() -> Column:
+    total = sum((F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in COUNT_COLUMNS), F.lit(0))
+    return F.coalesce(total == F.col("n_obs"), F.lit(False))
+
+
 def wrong_counts(rows: DataFrame) -> DataFrame:
     """Rows whose six counts, missing ones as 0, do not add up to `n_obs`."""
-    total = sum((F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in COUNT_COLUMNS), F.lit(0))
-    return rows.where(~F.coalesce(total == F.col("n_obs"), F.lit(False)))
+    return rows.where(~_agrees())
 
 
 def counts_agree(rows: DataFrame) -> DataFrame:
-    """One row, `valid`: do the counts add up everywhere; false without the columns, true for no rows."""
+    """One row: `valid`, do the counts add up everywhere, and `n_wrong`.
+
+    False when a column is missing, true when there are no rows.
+    """
     if not {"n_obs", *COUNT_COLUMNS} <= set(rows.columns):
-        return rows.sparkSession.range(1).select(F.lit(False).alias("valid"))
-    total = sum((F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in COUNT_COLUMNS), F.lit(0))
-    agrees = F.coalesce(total == F.col("n_obs"), F.lit(False))
-    return rows.agg(F.coalesce(F.every(agrees), F.lit(True)).alias("valid"))
+        return rows.agg(F.lit(False).alias("valid"), F.count("*").alias("n_wrong"))
+    return rows.agg(
+        F.coalesce(F.every(_agrees()), F.lit(True)).alias("valid"), F.count_if(~_agrees()).alias("n_wrong")
+    )
 
 
 def coverage(rows: DataFrame) -> DataFrame:

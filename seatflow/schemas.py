@@ -67,23 +67,34 @@ SEED = 42
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "text": T.StringType(), "tiny": T.ByteType(), "small": T.ShortType(), "int": T.IntegerType(),
+    "big": T.LongType(), "float": T.FloatType(), "double": T.DoubleType(), "flag": T.BooleanType(),
+    "clock": T.TimestampNTZType(),
+}
 
 
-DATED_TRIPS_CSV = _struct(
-    "trip_id string, operating_day_date string, dated_vehicle_journey_gid string, journey_number string"
-)
-STOP_TIMES_CSV = _struct("trip_id string, arrival_time string, stop_sequence int")
-TRIPS_CSV = _struct("trip_id string, route_id string, direction_id string")
-ROUTES_CSV = _struct("route_id string, route_short_name string, route_long_name string")
-WEATHER_JSON = _struct(
-    "hourly struct<time array<string>, temperature_2m array<double>, precipitation array<double>, "
-    "windspeed_10m array<double>, cloudcover array<int>>"
-)
-VEHICLES = _struct(
-    "path string, header_ts bigint, has_vehicle boolean, vehicle_ts bigint, trip_id string, "
-    "route_id string, occupancy_status int, error string"
+def record(*typed: tuple[str, str]) -> T.StructType:
+    """A schema from (type, columns) pairs in order."""
+    return T.StructType([T.StructField(name, _TYPES[kind]) for kind, names in typed for name in names.split()])
+
+
+DATED_TRIPS_CSV = record(("text", "trip_id operating_day_date dated_vehicle_journey_gid journey_number"))
+STOP_TIMES_CSV = record(("text", "trip_id arrival_time stop_sequence"))
+TRIPS_CSV = record(("text", "trip_id route_id direction_id"))
+ROUTES_CSV = record(("text", "route_id route_short_name route_long_name"))
+WEATHER_JSON = T.StructType([
+    T.StructField("hourly", T.StructType([
+        T.StructField("time", T.ArrayType(T.StringType())),
+        T.StructField("temperature_2m", T.ArrayType(T.DoubleType())),
+        T.StructField("precipitation", T.ArrayType(T.DoubleType())),
+        T.StructField("windspeed_10m", T.ArrayType(T.DoubleType())),
+        T.StructField("cloudcover", T.ArrayType(T.IntegerType())),
+    ]))
+])
+VEHICLES = record(
+    ("text", "path"), ("big", "header_ts"), ("flag", "has_vehicle"), ("big", "vehicle_ts"),
+    ("text", "trip_id route_id"), ("int", "occupancy_status"), ("text", "error"),
 )
 
 
@@ -112,11 +123,10 @@ _PER_STATUS = {
 
 TRAFFIC = FeatureTable(
     name="traffic",
-    schema=_struct(
-        "date string, hour tinyint, route_id string, direction_id tinyint, n_obs smallint, "
-        "n_empty smallint, n_many_seats smallint, n_few_seats smallint, n_standing smallint, "
-        "n_crushed smallint, n_full smallint, avg_occupancy float, max_occupancy tinyint, "
-        "mode_occupancy bigint, event_time timestamp_ntz"
+    schema=record(
+        ("text", "date"), ("tiny", "hour"), ("text", "route_id"), ("tiny", "direction_id"), ("small", "n_obs"),
+        ("small", " ".join(COUNT_COLUMNS)), ("float", "avg_occupancy"), ("tiny", "max_occupancy"),
+        ("big", "mode_occupancy"), ("clock", "event_time"),
     ),
     key=TRAFFIC_KEY,
     partition="date",
@@ -136,10 +146,11 @@ TRAFFIC = FeatureTable(
 
 WEATHER = FeatureTable(
     name="weather",
-    schema=_struct(
-        "date string, hour tinyint, temperature_2m float, precipitation float, windspeed_10m float, "
-        "cloudcover tinyint, prev_temperature_2m float, prev_precipitation float, "
-        "prev_windspeed_10m float, prev_cloudcover tinyint, event_time timestamp_ntz"
+    schema=record(
+        ("text", "date"), ("tiny", "hour"),
+        ("float", "temperature_2m precipitation windspeed_10m"), ("tiny", "cloudcover"),
+        ("float", "prev_temperature_2m prev_precipitation prev_windspeed_10m"), ("tiny", "prev_cloudcover"),
+        ("clock", "event_time"),
     ),
     key=["date", "hour"],
     partition="date",
@@ -157,9 +168,9 @@ WEATHER = FeatureTable(
 
 CALENDAR = FeatureTable(
     name="calendar",
-    schema=_struct(
-        "date string, month smallint, weekday string, is_weekend boolean, is_holiday_se boolean, "
-        "is_workday_se boolean, event_time timestamp_ntz"
+    schema=record(
+        ("text", "date"), ("small", "month"), ("text", "weekday"),
+        ("flag", "is_weekend is_holiday_se is_workday_se"), ("clock", "event_time"),
     ),
     key=["date"],
     comments={

@@ -9,19 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from seatflow.functions.clock import local_clock, utc_clock
 from seatflow.operators.occupancy import HOURLY_KEY, merge_counts, status_counts, summarise
-from seatflow.schemas import COUNT_COLUMNS, LOCAL_ZONE, LOOKBACK_DAYS, SCORED_STATUSES, TRAFFIC_COLUMNS, FeatureTable
+from seatflow.schemas import (
+    COUNT_COLUMNS,
+    LOCAL_ZONE,
+    LOOKBACK_DAYS,
+    SCORED_STATUSES,
+    TRAFFIC_COLUMNS,
+    FeatureTable,
+    record,
+)
 from seatflow.sinks.tables import upsert
 
 HOUR_COUNTS = FeatureTable(
     name="hour_counts",
-    schema=T.StructType.fromDDL(
-        "utc_date string, utc_hour bigint, route_id string, direction_id int, "
-        + ", ".join(f"{c} bigint" for c in COUNT_COLUMNS)
+    schema=record(
+        ("text", "utc_date"), ("big", "utc_hour"), ("text", "route_id"), ("int", "direction_id"),
+        ("big", " ".join(COUNT_COLUMNS)),
     ),
     key=["utc_date", "utc_hour", "route_id", "direction_id"],
     partition="utc_date",

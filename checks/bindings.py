@@ -67,7 +67,8 @@ def sql_hourly(source: str = "obs", name: str = "hourly", where: str = "true") -
     """CTEs from sightings to hourly rows, by scores rather than by counts."""
     return f"""
 {name}_scored AS (
-  SELECT CAST(CAST(local_ts AS DATE) AS VARCHAR) AS date, hour(local_ts) AS hour, route_id, direction_id,
+  SELECT CAST(CAST(local_ts AS DATE) AS VARCHAR) AS date, CAST(hour(local_ts) AS INTEGER) AS hour,
+    route_id, CAST(direction_id AS INTEGER) AS direction_id,
     CASE occupancy WHEN 'EMPTY' THEN 0 WHEN 'MANY_SEATS_AVAILABLE' THEN 1 WHEN 'FEW_SEATS_AVAILABLE' THEN 2
       WHEN 'STANDING_ROOM_ONLY' THEN 3 WHEN 'CRUSHED_STANDING_ROOM_ONLY' THEN 4 WHEN 'FULL' THEN 5 END AS score
   FROM {source} WHERE {where}),

@@ -134,7 +134,7 @@ def _sql_text(column: str) -> str:
   FROM cells WINDOW w AS (PARTITION BY route_id, direction_id))
 SELECT route_id, direction_id, date, hour, type,
   CASE WHEN date < '2024-01-20' THEN 'past' WHEN date = '2024-01-20' THEN 'today' ELSE 'future' END AS day_label,
-  date = coalesce(current, first_day) AS is_default_day, place, lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS hour_text,
+  date = coalesce(current, first_day) AS is_default_day, CAST(place AS INTEGER) AS place, lpad(CAST(hour AS VARCHAR), 2, '0') || ':00' AS hour_text,
   {_sql_text('pred_avg')} AS pred_avg_text, CAST(pred_max AS VARCHAR) AS pred_max_text,
   CAST(least(5, greatest(0, floor(pred_avg + 0.5))) AS INTEGER) AS pred_avg_step,
   CASE WHEN type = 'past' THEN {_sql_text('actual_avg')} END AS actual_avg_text,

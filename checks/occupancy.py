@@ -135,7 +135,7 @@ def coverage_stats(spark, folder):
 
 
 @case("ordered_preview", f"""WITH {b.SQL_HOURLY}
-SELECT date, hour, route_id, direction_id, n_obs, place FROM (
+SELECT date, hour, route_id, direction_id, n_obs, CAST(place AS INTEGER) AS place FROM (
   SELECT *, row_number() OVER (ORDER BY date, hour, route_id, direction_id) AS place FROM hourly) WHERE place <= 20""")
 def ordered_preview(spark, folder):
     rows = preview(b.hourly(spark, folder), ["date", "hour", "route_id", "direction_id"])

@@ -22,8 +22,10 @@ def utc_clock(epoch: str | Column) -> Column:
 
 
 def epoch_seconds(utc: str | Column) -> Column:
-    """Whole seconds since 1970 of a zone-less UTC timestamp."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH), _name(utc))
+    """Whole seconds since 1970 of a zone-less UTC timestamp, from its fields, so without a zone."""
+    utc = _name(utc)
+    days = F.unix_date(F.to_date(utc)).cast("bigint")
+    return ((days * 24 + F.hour(utc)) * 60 + F.minute(utc)) * 60 + F.second(utc)
 
 
 def local_clock(utc: str | Column, zone: str = LOCAL_ZONE) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from seatflow.functions.scores import class_prediction, class_weight, mean_prediction, sample_weight
 from seatflow.operators.metrics import class_metrics, regression_metrics
 from seatflow.operators.ordering import best_trial, medians, most_frequent
+from seatflow.runtime import stored, use_checkpoints
 from seatflow.schemas import (
     BOOLEAN_FEATURES,
     CATEGORICAL_FEATURES,
@@ -112,40 +113,56 @@ def mllib_parameters(chosen: Mapping) -> dict:
     }
 
 
-def fit_regressor(train: DataFrame, label: str, chosen: Mapping, prepared: PipelineModel | None = None) -> PipelineModel:
-    """Boosted trees whose predictions stay within 0 to 5 (M5)."""
-    prepared = prepared or preprocessor(train)
+def training_rows(prepared: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
+    """Feature vector, label and weight: class weight times sample weight of the label."""
+    y = F.col(label).cast("int")
+    return prepared.transform(rows).select(
+        "features",
+        F.col(label).cast("double").alias("_label"),
+        (sample_weight(y) * F.coalesce(class_weight(y), F.lit(1.0))).alias("_weight"),
+    )
+
+
+def regressor_stages(rows: DataFrame, chosen: Mapping) -> list[Transformer]:
+    """Boosted trees fitted on training rows, and the clip of their predictions to 0-5 (M5)."""
+    use_checkpoints(rows.sparkSession)
     options = mllib_parameters(chosen)
     learner = GBTRegressor(
         labelCol="_label", predictionCol="_raw", seed=SEED,
         maxIter=options.pop("rounds"), stepSize=options.pop("step"), **options,
     )
-    rows = prepared.transform(train).select("features", F.col(label).cast("double").alias("_label"))
     clip = SQLTransformer(statement="select *, least(greatest(_raw, 0D), 5D) as prediction from __THIS__")
-    return PipelineModel([*prepared.stages, learner.fit(rows), clip])
+    return [learner.fit(rows), clip]
 
 
-def fit_classifier(
-    train: DataFrame, label: str, chosen: Mapping, prepared: PipelineModel | None = None, boosted: bool = False
-) -> PipelineModel:
-    """Six-class trees, each row weighted by its class weight times its sample weight.
+def classifier_stages(rows: DataFrame, chosen: Mapping, boosted: bool = False) -> list[Transformer]:
+    """Six-class trees fitted on weighted training rows (M6).
 
     MLlib boosts two classes only: `boosted` fits one boosted model per class, else it is a forest.
     """
-    prepared = prepared or preprocessor(train)
+    use_checkpoints(rows.sparkSession)
     options = mllib_parameters(chosen)
     rounds, step = options.pop("rounds"), options.pop("step")
     columns = {"labelCol": "_label", "predictionCol": "prediction", "weightCol": "_weight"}
     if boosted:
         one = GBTClassifier(maxIter=rounds, stepSize=step, seed=SEED, **options)
-        learner = OneVsRest(classifier=one, **columns)
-    else:
-        learner = RandomForestClassifier(numTrees=rounds, seed=SEED, **columns, **options)
-    y = F.col(label).cast("int")
-    rows = prepared.transform(train).select(
-        "features", y.cast("double").alias("_label"), (sample_weight(y) * class_weight(y)).alias("_weight")
-    )
-    return PipelineModel([*prepared.stages, learner.fit(rows)])
+        return [OneVsRest(classifier=one, **columns).fit(rows)]
+    return [RandomForestClassifier(numTrees=rounds, seed=SEED, **columns, **options).fit(rows)]
+
+
+def fit_regressor(train: DataFrame, label: str, chosen: Mapping, prepared: PipelineModel | None = None) -> PipelineModel:
+    """Preparation and boosted regressor as one pipeline (M4, M5)."""
+    prepared = prepared or preprocessor(train)
+    return PipelineModel([*prepared.stages, *regressor_stages(training_rows(prepared, train, label), chosen)])
+
+
+def fit_classifier(
+    train: DataFrame, label: str, chosen: Mapping, prepared: PipelineModel | None = None, boosted: bool = False
+) -> PipelineModel:
+    """Preparation and weighted classifier as one pipeline (M4, M6)."""
+    prepared = prepared or preprocessor(train)
+    stages = classifier_stages(training_rows(prepared, train, label), chosen, boosted)
+    return PipelineModel([*prepared.stages, *stages])
 
 
 def draw_parameters(grid: Mapping[str, Sequence], trials: int = TUNE_TRIALS, seed: int = SEED) -> list[dict]:
@@ -164,18 +181,19 @@ def search(
     """Fit every setting on `part` = train, score it on `part` = validation.
 
     Returns the trials and the best setting: lowest RMSE, or highest weighted recall. Preparation
-    is the same for all trials and is fitted once; trials are submitted side by side.
+    is the same for all trials, so it is done once and stored; trials are submitted side by side.
     """
     spark = sample.sparkSession
     train, validation = (sample.where(F.col("part") == p) for p in ("train", "validation"))
     prepared = preprocessor(train)
+    fit_rows, check_rows = (stored(training_rows(prepared, df, label), "tuning") for df in (train, validation))
+    stages = regressor_stages if kind == "regressor" else classifier_stages
     score_of = _rmse if kind == "regressor" else _weighted_recall
-    fit = fit_regressor if kind == "regressor" else fit_classifier
 
     def run(numbered: tuple[int, Mapping]) -> tuple:
         trial, chosen = numbered
-        model = fit(train, label, chosen, prepared=prepared)
-        return trial, json.dumps(dict(chosen), sort_keys=True), score_of(model.transform(validation), label)
+        model = PipelineModel(stages(fit_rows, chosen))
+        return trial, json.dumps(dict(chosen), sort_keys=True), score_of(model.transform(check_rows))
 
     with ThreadPoolExecutor(at_once) as pool:
         scored = list(pool.map(run, enumerate(settings)))
@@ -184,12 +202,12 @@ def search(
     return trials, json.loads(best.settings)
 
 
-def _rmse(scored: DataFrame, label: str) -> float:
-    return regression_metrics(scored, label, "prediction").first().rmse
+def _rmse(scored: DataFrame) -> float:
+    return regression_metrics(scored, "_label", "prediction").first().rmse
 
 
-def _weighted_recall(scored: DataFrame, label: str) -> float:
-    return class_metrics(scored, label, "prediction").first().weighted_recall
+def _weighted_recall(scored: DataFrame) -> float:
+    return class_metrics(scored, "_label", "prediction").first().weighted_recall
 
 
 def predict(rows: DataFrame, avg_model: Transformer | None, max_model: Transformer | None) -> DataFrame:

@@ -20,21 +20,20 @@ from seatflow.schemas import (
 HOURLY_KEY = ["date", "hour", "route_id", "direction_id"]
 
 
-def usable_sightings(vehicles: DataFrame, ignored: Iterable[str] = ()) -> DataFrame:
+def usable_sightings(vehicles: DataFrame, ignored: Iterable[str] = (), keep_errors: bool = False) -> DataFrame:
     """Sightings with a vehicle, a known status that is not ignored, and a time.
 
     The vehicle's own time counts even when it is 0; the feed header's stands in unless it is 0.
+    `keep_errors` also lets through the rows that stand for files which could not be read.
     """
     ignored = list(ignored) or IGNORED_STATUSES
     status = status_name(F.col("occupancy_status"))
     time = F.coalesce("vehicle_ts", F.nullif(F.col("header_ts"), F.lit(0)))
+    usable = F.col("has_vehicle") & status.isNotNull() & ~status.isin(ignored) & time.isNotNull()
+    if keep_errors:
+        usable = usable | F.col("error").isNotNull()
     rest = [c for c in vehicles.columns if c not in ("has_vehicle", "occupancy_status", "vehicle_ts", "header_ts")]
-    return (
-        vehicles.where("has_vehicle")
-        .withColumns({"occupancy": status, "ts": time})
-        .where(F.col("occupancy").isNotNull() & ~F.col("occupancy").isin(ignored) & F.col("ts").isNotNull())
-        .select("ts", "occupancy", *rest)
-    )
+    return vehicles.where(usable).select(time.alias("ts"), status.alias("occupancy"), *rest)
 
 
 def _blank(value: str) -> Column:
@@ -129,29 +128,41 @@ def hourly_occupancy(
     return summarise(hours).select(*TRAFFIC_COLUMNS)
 
 
-def hourly_from_trips(
-    sightings: DataFrame, trips: DataFrame, zone: str = LOCAL_ZONE, archive_date: str | None = "archive_date"
-) -> DataFrame:
-    """As resolving routes first and then aggregating, but with the join after a first count.
+def counts_by_trip(sightings: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """Status counts per local hour, month, trip and feed route of each archive day, before any join.
 
-    Counting per hour, trip and feed route shrinks the sightings before any join. No trip, and not
-    the missing trip either, keeps more rows than its hours times its feed routes, so the join
-    needs no salt.
+    Rows that stand for unreadable files pass through with their `error` and no counts.
     """
-    rows = local_hours(sightings, zone, archive_date)
-    month = month_tag(archive_date or "date")
-    rows = rows.select(
-        "date", "hour", month.alias("month"), F.coalesce("trip_id", F.lit("")).alias("trip_id"),
-        F.coalesce("route_id", F.lit("")).alias("route_id"), "occupancy",
-    )
-    counts = count_statuses(rows, ["date", "hour", "month", "trip_id", "route_id"])
+    rows = local_hours(sightings, zone)
+    failed = F.col("error").isNotNull()
+    rows = rows.where(failed | ((F.col("date") == F.col("archive_date")) & F.col("occupancy").isin(SCORED_STATUSES)))
+    key = [
+        "archive_date", F.when(~failed, F.col("hour")).alias("hour"), month_tag("archive_date").alias("month"),
+        F.coalesce("trip_id", F.lit("")).alias("trip_id"), F.coalesce("route_id", F.lit("")).alias("route_id"), "error",
+    ]
+    return rows.groupBy(*key).agg(*status_counts())
+
+
+def resolve_counts(counts: DataFrame, trips: DataFrame) -> DataFrame:
+    """Routes and directions for counts by trip, then one row per route-hour."""
     known = trips.select(
         "month", "trip_id", F.col("route_id").alias("_map_route"), F.col("direction_id").alias("_map_direction")
     )
-    resolved = _resolved(counts.join(known, ["month", "trip_id"], "left"))
+    rows = counts.where(F.col("error").isNull()).withColumnRenamed("archive_date", "date")
+    resolved = _resolved(rows.join(known, ["month", "trip_id"], "left"))
     return summarise(merge_counts(resolved)).select(*TRAFFIC_COLUMNS)
 
 
+def hourly_from_trips(sightings: DataFrame, trips: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
+    """As resolving routes first and then aggregating, but with the join after a first count.
+
+    Counting per hour, trip and feed route shrinks the sightings before any join. No trip, and not
+    the missing trip either, keeps more rows than its hours times its feed routes, so the join
+    needs no salt. `sightings` has `archive_date`.
+    """
+    return resolve_counts(counts_by_trip(sightings, zone), trips)
+
+
 def _agrees() -> Column:
     total = sum((F.coalesce(F.col(c).cast("bigint"), F.lit(0)) for c in COUNT_COLUMNS), F.lit(0))
     return F.coalesce(total == F.col("n_obs"), F.lit(False))

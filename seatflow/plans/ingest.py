@@ -13,7 +13,13 @@ from seatflow.functions.casts import calendar_types, traffic_types, weather_type
 from seatflow.functions.clock import month_tag
 from seatflow.operators.calendar import calendar_between
 from seatflow.operators.joins import missing_dates, past_rows
-from seatflow.operators.occupancy import date_range, distinct_dates, hourly_from_trips, usable_sightings
+from seatflow.operators.occupancy import (
+    counts_by_trip,
+    date_range,
+    distinct_dates,
+    resolve_counts,
+    usable_sightings,
+)
 from seatflow.operators.ordering import evenly_spaced
 from seatflow.operators.quality import require_counts, validated
 from seatflow.operators.weather import from_day, with_previous_day
@@ -59,7 +65,9 @@ def hours_of_dates(
     """
     dates = stored(dates.select(F.to_date("date").alias("date")).distinct(), "dates")
     chosen = evenly_spaced(listing.join(dates, "date", "left_semi"), k)
-    vehicles = stored(read(chosen).withColumn("archive_date", path_date("path")), "vehicles")
+    vehicles = read(chosen).withColumn("archive_date", path_date("path"))
+    # files are decoded once, and only their counts are kept
+    counts = stored(counts_by_trip(usable_sightings(vehicles, keep_errors=True)), "counts")
 
     months = trips.select("month").distinct()
     unmapped = dates.withColumn("month", month_tag("date")).join(months, "month", "left_anti").select(
@@ -68,7 +76,7 @@ def hours_of_dates(
     empty = dates.join(listing.select("date").distinct(), "date", "left_anti").select(
         "date", F.lit("snapshots").alias("stage"), F.lit("no snapshots").alias("error")
     )
-    damaged = vehicles.where("error is not null").groupBy(F.col("archive_date").alias("date")).agg(
+    damaged = counts.where("error is not null").groupBy(F.col("archive_date").alias("date")).agg(
         F.lit("decode").alias("stage"), F.min("error").alias("error")
     )
     reasons = unmapped.unionByName(empty).unionByName(damaged)
@@ -77,8 +85,8 @@ def hours_of_dates(
         failures.select(F.col("date").cast("string").alias("date"), "why.stage", "why.error"), "failures"
     )
     failed = failures.select(F.to_date("date").alias("archive_date"))
-    sightings = usable_sightings(vehicles.where("error is null").join(failed, "archive_date", "left_anti"))
-    return stored(hourly_from_trips(sightings, trips), "hours"), failures
+    good = counts.join(failed, "archive_date", "left_anti")
+    return stored(resolve_counts(good, trips), "hours"), failures
 
 
 def decode_history(
@@ -126,7 +134,7 @@ def insert(rows: DataFrame, table: FeatureTable, warehouse: Warehouse, mode: str
     """Check the table's rules, then upsert every row: "warn" reports, "fail" stops before writing (Q8, K2)."""
     rows = stored(rows, table.name)
     report, _ = validated(rows, table.name, mode)
-    upsert(rows, table, warehouse.path(table))
+    upsert(rows, table, warehouse.path(table), staged=True)
     return report
 
 

@@ -34,19 +34,22 @@ def upsert(
     table: FeatureTable,
     path: str,
     merge: Callable[[DataFrame, FeatureTable, str], None] | None = None,
+    staged: bool = False,
 ) -> None:
     """Insert rows, replacing those with the same key (K2).
 
     Only the partitions that the incoming rows touch are read and rewritten. Plain parquet has one
     writer at a time; `merge` hands the same rows to a table format with transactions instead.
-    `incoming` holds each key once.
+    `incoming` holds each key once; `staged` says that it is already a stored table.
     """
     spark = incoming.sparkSession
+    rows = conform(incoming, table)
     if merge is not None:
-        merge(conform(incoming, table), table, path)
+        merge(rows, table, path)
         return
-    rows = stored(conform(incoming, table), table.name)
-    if table_exists(spark, path, table.schema):
+    exists = table_exists(spark, path, table.schema)
+    if exists:
+        rows = rows if staged else conform(stored(rows, table.name), table)
         current = spark.read.schema(table.schema).parquet(path)
         if table.partition:
             current = _touched(current, rows, table.partition)
@@ -57,9 +60,11 @@ def upsert(
         rows.hint("rebalance", table.partition).write.mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(table.partition).parquet(path)
-    else:
+        return
+    if exists:
         # a plain directory cannot be read and replaced at once, so go through the shared folder
-        conform(stored(rows, table.name), table).coalesce(1).write.mode("overwrite").parquet(path)
+        rows = conform(stored(rows, table.name), table)
+    rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
 def _touched(current: DataFrame, rows: DataFrame, partition: str) -> DataFrame:

@@ -30,13 +30,17 @@ def parquet_files(spark: SparkSession, directory: str) -> list[str]:
     return files
 
 
-def union_parquets(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Rows of all files by column name, with `_file_seq` and `_row_seq` giving their order."""
+def union_parquets(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """Rows of all files by column name, with `_file_seq` and `_row_seq` giving their order.
+
+    Without a schema the files' own ones are merged, which reads every footer once more.
+    """
     if not paths:
         raise ValueError("no parquet files given")
     places = {re.sub(_SCHEME, "", p if re.match(_SCHEME, p) else os.path.abspath(p)): i for i, p in enumerate(paths)}
     order = spark.createDataFrame(list(places.items()), "_path string, _file_seq int")
-    rows = spark.read.option("mergeSchema", "true").parquet(*paths)
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
+    rows = reader.parquet(*paths)
     columns = rows.columns
     rows = rows.select(
         "*",
@@ -47,9 +51,11 @@ def union_parquets(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return rows.join(F.broadcast(order), "_path", "left").select(*columns, "_file_seq", "_row_seq")
 
 
-def traffic_parquets(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def traffic_parquets(
+    spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
     """Union of hourly traffic files, the last row of each key kept."""
-    rows = union_parquets(spark, paths)
+    rows = union_parquets(spark, paths, schema)
     return keep_last(rows, TRAFFIC_KEY, ["_file_seq", "_row_seq"]).drop("_file_seq", "_row_seq")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -124,9 +125,12 @@ def as_of(
     `tie` orders right rows of one instant, the last one winning. No range join: both sides are
     stacked and read in time order. A busy key would be one window group for ever, so groups are
     a key and a slice of time; what a key last had before a slice is worked out on one row per
-    slice and carried in.
+    slice and carried in. Rows with a NULL in the key match nothing and skip all of this.
     """
     key = list(key)
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
+    unmatched = left.where(~complete)
+    left, right = left.where(complete), right.where(complete)
     value = F.struct(F.col(right_time).alias("_at"), *[F.col(c).alias(f"_tie_{c}") for c in tie], *values)
     slice_of = {c: F.date_trunc(slice_unit, F.col(c)).cast("timestamp_ntz") for c in {left_time, right_time}}
     packed = F.struct(*[F.col(c) for c in left.columns])
@@ -151,6 +155,7 @@ def as_of(
     slices = rows.groupBy(*key, "_slice").agg(F.max("_value").alias("_latest"))
     carried = slices.withColumn("_carried", F.last("_latest", ignorenulls=True).over(earlier)).drop("_latest")
     found = here.join(carried, [*key, "_slice"], "left").withColumn("_found", F.coalesce("_here", "_carried"))
-    return found.select("_left.*", *[F.col(f"_found.{c}").alias(c) for c in values])
+    found = found.select("_left.*", *[F.col(f"_found.{c}").alias(c) for c in values])
+    return found.unionByName(unmatched, allowMissingColumns=True)
 
 

@@ -6,9 +6,10 @@ import os
 import re
 from collections.abc import Sequence
 from datetime import date, datetime
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,7 @@ def parquet_files(spark: SparkSession, directory: str) -> list[str]:
     """Paths of the `*.parquet` files in a directory; none is an error."""
     try:
         reader = spark.read.schema("path string").option("pathGlobFilter", "*.parquet")
-        files = sorted(reader.parquet(directory).inputFiles())
+        files = sorted(unquote(name) for name in reader.parquet(directory).inputFiles())
     except AnalysisException as missing:
         raise FileNotFoundError(f"no such directory: {directory}") from missing
     if not files:
@@ -30,6 +31,11 @@ def parquet_files(spark: SparkSession, directory: str) -> list[str]:
     return files
 
 
+def _plain_path(uri: Column) -> Column:
+    """A file URI without its percent escapes; a plus sign is itself there."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def union_parquets(spark: SparkSession, paths: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
     """Rows of all files by column name, with `_file_seq` and `_row_seq` giving their order.
 
@@ -44,7 +50,7 @@ def union_parquets(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
     columns = rows.columns
     rows = rows.select(
         "*",
-        F.regexp_replace(F.col("_metadata.file_path"), _SCHEME, "").alias("_path"),
+        F.regexp_replace(_plain_path(F.col("_metadata.file_path")), _SCHEME, "").alias("_path"),
         F.col("_metadata.row_index").alias("_row_seq"),
     )
     # one row per listed file, so its size is that of the argument

@@ -154,7 +154,7 @@ SELECT f.date, f.hour, f.route_id, f.direction_id, coalesce(r.code, -1) AS ord_r
 FROM features f LEFT JOIN code_route_id r ON r.v = f.route_id
 LEFT JOIN code_direction_id d ON d.v = CAST(f.direction_id AS VARCHAR) LEFT JOIN code_weekday w ON w.v = f.weekday""")
 def ordinal_encode(spark, folder):
-    rows = unfilled(spark, folder)
+    rows = stored(unfilled(spark, folder), "unfilled")
     prepared = preprocessor(rows.where("date <= '2024-01-10' and route_id <> '7'")).transform(rows)
     return prepared.select(
         "date", "hour", "route_id", "direction_id", "ord_route_id", "ord_direction_id", "ord_weekday",

@@ -53,7 +53,7 @@ def event_time(day: str | Column, hour: str | Column | None = None) -> Column:
 
 def leading_hour(text: str | Column) -> Column:
     """Hour of an `HH:MM:SS` text, which may pass 24; 0 when blank or malformed."""
-    return F.coalesce(F.element_at(F.split(_name(text), ":"), 1).try_cast("int"), F.lit(0))
+    return F.coalesce(F.substring_index(_name(text), ":", 1).try_cast("int"), F.lit(0))
 
 
 def int_or_zero(text: str | Column) -> Column:

@@ -32,7 +32,7 @@ HOLIDAY_RULES = [
     ("Boxing Day", "public", "fixed", 12, 26, 0, 0, 9999),
     ("New Year Eve", "eve", "fixed", 12, 31, 0, 0, 9999),
 ]
-_RULE_FIELDS = ["name", "category", "kind", "month", "day", "shift", "since", "until"]
+_RULE_FIELDS = "name, category, kind, month, day, shift, since, until"
 
 
 def easter_sunday(year: str) -> Column:
@@ -50,16 +50,17 @@ def easter_sunday(year: str) -> Column:
 
 def holidays(spark: SparkSession, first_year: int, last_year: int, include_eves: bool = False) -> DataFrame:
     """(date, name, category), about fifteen rows per year."""
-    rules = [F.struct(*[F.lit(v).alias(n) for n, v in zip(_RULE_FIELDS, rule)]) for rule in HOLIDAY_RULES]
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
-    rows = years.select("year", easter_sunday("year").alias("easter"), F.inline(F.array(*rules)))
-    rows = rows.where(F.col("year").between(F.col("since"), F.col("until")))
-    start = F.when(F.col("month") > 0, F.make_date("year", "month", "day"))
-    base = (
-        F.when(F.col("kind") == "easter", F.col("easter"))
-        .when(F.col("kind") == "saturday", F.next_day(F.date_sub(start, 1), "Sat"))
-        .otherwise(start)
+    rules = ", ".join(f"struct{rule}" for rule in HOLIDAY_RULES)
+    rows = years.withColumn("easter", easter_sunday("year")).selectExpr(
+        "year", "easter", f"inline(array({rules})) as ({_RULE_FIELDS})"
     )
+    rows = rows.where("year between since and until")
+    base = F.expr("""
+        case kind when 'easter' then easter
+            when 'saturday' then next_day(date_sub(make_date(year, month, day), 1), 'Sat')
+            else make_date(year, month, day) end
+    """)
     rows = rows.select(F.date_add(base, F.col("shift")).alias("date"), "name", "category")
     return rows if include_eves else rows.where("category = 'public'")
 

@@ -82,7 +82,7 @@ def local_hours(sightings: DataFrame, zone: str = LOCAL_ZONE, archive_date: str
 def status_counts() -> list[Column]:
     """One count per scored status (A2). Six whole numbers are all the state an hour needs."""
     return [
-        F.count(F.when(F.col("occupancy") == status, 1)).alias(column)
+        F.expr(f"count_if(occupancy = '{status}') as {column}")
         for column, status in zip(COUNT_COLUMNS, SCORED_STATUSES)
     ]
 
@@ -101,19 +101,15 @@ def merge_counts(counts: DataFrame, key: Iterable[str] = HOURLY_KEY) -> DataFram
 def summarise(counts: DataFrame) -> DataFrame:
     """Observations, mean, maximum and mode of each hour, all from its six counts."""
     numbered = list(enumerate(COUNT_COLUMNS))
-    total = " + ".join(COUNT_COLUMNS)
     score_sum = " + ".join(f"{score} * {column}" for score, column in numbered[1:])
-    highest = F.coalesce(*[F.when(F.col(column) > 0, score) for score, column in reversed(numbered)])
-    most = F.greatest(*COUNT_COLUMNS)
-    commonest = F.coalesce(*[F.when(F.col(column) == most, score) for score, column in numbered])
-    return (
-        counts.withColumns({"n_obs": F.expr(total), "_sum": F.expr(score_sum)})
-        .withColumns({
-            "avg_occupancy": exact_mean("_sum", "n_obs"),
-            "max_occupancy": highest,
-            "mode_occupancy": commonest.cast("bigint"),
-        })
-        .drop("_sum")
+    highest = " ".join(f"when {column} > 0 then {score}" for score, column in reversed(numbered))
+    most = f"greatest({', '.join(COUNT_COLUMNS)})"
+    commonest = " ".join(f"when {column} = {most} then {score}L" for score, column in numbered)
+    return counts.selectExpr("*", f"{' + '.join(COUNT_COLUMNS)} as n_obs", f"{score_sum} as _sum").select(
+        *counts.columns, "n_obs",
+        exact_mean("_sum", "n_obs").alias("avg_occupancy"),
+        F.expr(f"case {highest} end as max_occupancy"),
+        F.expr(f"case {commonest} end as mode_occupancy"),
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seatflow.runtime import slice_count, stored
+from seatflow.runtime import stored
 from seatflow.schemas import SEED, SNAPSHOTS_PER_HOUR, TUNE_FRACTION, TUNE_TRAIN_FRACTION
 
 # monotonically_increasing_id() keeps the partition in its high bits, the row in its low 33
@@ -35,9 +35,10 @@ def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataF
 def _sliced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows range-partitioned on a total order, with their slice and their place in it.
 
-    Stored once, because everything computed per slice must refer to the same cut.
+    Stored once, because everything computed per slice must refer to the same cut. The number of
+    slices is left to the session, which also joins small ones at run time.
     """
-    cut = df.repartitionByRange(slice_count(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    cut = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     cut = stored(cut.withColumn("_at", F.monotonically_increasing_id()), "sliced")
     return cut.withColumns({
         "_slice": F.shiftright("_at", _ROW_BITS),
@@ -58,7 +59,7 @@ def _with_slice_sums(cut: DataFrame, by: Sequence[str], amount: Column) -> DataF
         F.sum("_n").over(group).alias("group_size"),
     )
     if not by:
-        sums = F.broadcast(sums)  # one row per slice, a number fixed by the session
+        sums = F.broadcast(sums)  # one row per slice, at most spark.sql.shuffle.partitions
     same = [F.col("_slice") == F.col("_sum_slice")]
     same += [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
     return cut.join(sums, reduce(lambda a, b: a & b, same), "left")

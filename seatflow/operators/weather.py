@@ -23,11 +23,10 @@ def with_previous_day(weather: DataFrame) -> DataFrame:
         F.explode(F.array(F.lit(0), F.lit(1))).alias("_ahead"),
         F.to_date("date").alias("_day"),
     ).withColumn("date", F.date_add("_day", F.col("_ahead")))
-    own = F.col("_ahead") == 0
     paired = copies.groupBy("date", "hour").agg(
-        F.max(own).alias("_own"),
-        *[F.max(F.when(own, F.col(c))).alias(c) for c in WEATHER_MEASURES],
-        *[F.max(F.when(~own, F.col(c))).alias(f"prev_{c}") for c in WEATHER_MEASURES],
+        F.expr("max(_ahead = 0) as _own"),
+        *[F.expr(f"max({c}) filter (where _ahead = 0) as {c}") for c in WEATHER_MEASURES],
+        *[F.expr(f"max({c}) filter (where _ahead = 1) as prev_{c}") for c in WEATHER_MEASURES],
     )
     return paired.where("_own").drop("_own")
 

@@ -202,12 +202,14 @@ def backfill(
 
 def export_past(
     spark: SparkSession, warehouse: Warehouse, since: str | date, path: str, until: str | date | None = None
-) -> bool:
-    """Join the three tables from `since` on and store the result; False without traffic rows."""
+) -> int:
+    """Join the three tables from `since` on and store the result; returns its rows.
+
+    Without traffic rows nothing is written.
+    """
     traffic, calendar, weather = (
         warehouse.read(spark, table, since=since, until=until) for table in (TRAFFIC, CALENDAR, WEATHER)
     )
     if not has_rows(traffic):
-        return False
-    save_past(past_rows(traffic, calendar, weather), path)
-    return True
+        return 0
+    return save_past(past_rows(traffic, calendar, weather), path)

@@ -57,7 +57,3 @@ def use_checkpoints(spark: SparkSession) -> None:
     """Give iterative MLlib fits a checkpoint folder, so that their lineage is cut now and then."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(fresh_path(spark, "checkpoints"))
-
-
-def slice_count(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -12,6 +12,7 @@ from seatflow.runtime import local_session  # noqa: E402
 def spark():
     session = local_session("8", "tests")
     session.sparkContext.setLogLevel("ERROR")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 

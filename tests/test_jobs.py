@@ -165,12 +165,13 @@ def test_backfill_export_train_score_publish(spark, tmp_path):
     assert house.read(spark, TRAFFIC).count() == before > 500
 
     export = str(tmp_path / "export")
-    assert ingest.export_past(spark, house, "2024-01-10", export, until="2024-01-20")
+    exported = ingest.export_past(spark, house, "2024-01-10", export, until="2024-01-20")
     rows = past_export(spark, export)
+    assert exported == rows.count() > 0
     span = rows.agg(F.min("date"), F.max("date")).first()
     assert rows.columns == PAST_COLUMNS and tuple(span) == ("2024-01-10", "2024-01-19")
     assert rows.where("prev_cloudcover is null or weekday is null").count() == 0
-    assert not ingest.export_past(spark, house, "2025-01-01", str(tmp_path / "none"))
+    assert ingest.export_past(spark, house, "2025-01-01", str(tmp_path / "none")) == 0
 
     small = {"n_estimators": 2, "max_depth": 2, "num_leaves": 7, "min_child_samples": 1, "learning_rate": 0.1}
     for kind, label in training.LABELS.items():

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from seatflow.operators import learning, metrics
 from seatflow.operators.ordering import temporal_cut
+from seatflow.runtime import stored
 from seatflow.schemas import (
     ALL_FEATURES,
     BOOLEAN_FEATURES,
@@ -122,7 +123,7 @@ def rows(spark):
         F.lit(False).alias("is_weekend"), F.lit(False).alias("is_holiday_se"), F.lit(True).alias("is_workday_se"),
         (F.col("id") % 6).cast("int").alias("label"), F.col("id").alias("t"),
     )
-    return many.checkpoint() if spark.sparkContext.getCheckpointDir() else many
+    return stored(many, "rows")
 
 
 def test_search_and_scoring(spark, rows, tmp_path):

@@ -123,7 +123,7 @@ def evenly_spaced(
     rows = ranked(files, [order], by)
     if k <= 1:
         return rows.where(F.col("rank") < k).drop("rank", "group_size")
-    last = F.col("group_size") - 1
+    last = F.greatest(F.col("group_size") - 1, F.lit(1))
     place = F.col("rank") * (k - 1) / last
     hits = [F.rint(p * last / F.lit(k - 1)) == F.col("rank") for p in (F.floor(place), F.ceil(place))]
     return rows.where((F.col("group_size") <= k) | hits[0] | hits[1]).drop("rank", "group_size")

@@ -115,13 +115,14 @@ def require_counts(rows: DataFrame, mode: str = "warn") -> None:
         _handle("status counts do not add up to n_obs", mode)
 
 
-def validated(rows: DataFrame, suite: str, mode: str = "warn") -> tuple[DataFrame, DataFrame]:
-    """Check before an insert: the suite's report and the rows that break a rule (Q8).
+def validated(rows: DataFrame, suite: str, mode: str = "warn") -> tuple[DataFrame, DataFrame | None]:
+    """Check before an insert: the suite's report, and the rows that break a rule if there are any (Q8).
 
-    "warn" logs the failing columns, "fail" raises. The failing rows are for a quarantine table.
+    "warn" logs the failing columns, "fail" raises.
     """
     report = check(rows, suite)
     failed = [r["column"] for r in report.where("not success").collect()]  # at most one per rule
-    if failed:
-        _handle(f"{suite}: rules broken on {', '.join(failed)}", mode)
+    if not failed:
+        return report, None
+    _handle(f"{suite}: rules broken on {', '.join(failed)}", mode)
     return report, split_valid(rows, suite)[1]

@@ -42,6 +42,9 @@ class Warehouse:
     def path(self, table: FeatureTable) -> str:
         return f"{self.root.rstrip('/')}/{table.name}"
 
+    def quarantine(self, table: FeatureTable) -> str:
+        return f"{self.root.rstrip('/')}/quarantine/{table.name}"
+
     def read(self, spark: SparkSession, table: FeatureTable, **bounds) -> DataFrame:
         return feature_table(spark, table, self.path(table), **bounds)
 
@@ -64,16 +67,19 @@ def hours_of_dates(
     A day fails alone: no trip map for its month, no snapshots, or a damaged snapshot.
     """
     dates = stored(dates.select(F.to_date("date").alias("date")).distinct(), "dates")
-    chosen = evenly_spaced(listing.join(dates, "date", "left_semi"), k)
+    months = trips.select("month").distinct()
+    tagged = dates.withColumn("month", month_tag("date"))
+    mapped = tagged.join(months, "month", "left_semi").select("date")
+    unmapped = tagged.join(months, "month", "left_anti").select(
+        "date", F.lit("trip map").alias("stage"), F.lit("no map for the month").alias("error")
+    )
+
+    chosen = evenly_spaced(listing.join(mapped, "date", "left_semi"), k)
     vehicles = read(chosen).withColumn("archive_date", path_date("path"))
     # files are decoded once, and only their counts are kept
     counts = stored(counts_by_trip(usable_sightings(vehicles, keep_errors=True)), "counts")
 
-    months = trips.select("month").distinct()
-    unmapped = dates.withColumn("month", month_tag("date")).join(months, "month", "left_anti").select(
-        "date", F.lit("trip map").alias("stage"), F.lit("no map for the month").alias("error")
-    )
-    empty = dates.join(listing.select("date").distinct(), "date", "left_anti").select(
+    empty = mapped.join(listing.select("date").distinct(), "date", "left_anti").select(
         "date", F.lit("snapshots").alias("stage"), F.lit("no snapshots").alias("error")
     )
     damaged = counts.where("error is not null").groupBy(F.col("archive_date").alias("date")).agg(
@@ -110,7 +116,8 @@ def existing_dates(spark: SparkSession, warehouse: Warehouse, since: str | date,
     if not table_exists(spark, warehouse.path(TRAFFIC), TRAFFIC.schema):
         days = spark.createDataFrame([], "date string")
     else:
-        days = distinct_dates(warehouse.read(spark, TRAFFIC, columns=["date"], since=since))
+        # the partition column alone: no column of any file is read
+        days = distinct_dates(warehouse.read(spark, TRAFFIC, columns=["date"]).where(F.col("date") >= str(since)[:10]))
     if path is not None:
         save_dates(days, path)
     return days
@@ -131,9 +138,15 @@ def prepare_calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
 
 
 def insert(rows: DataFrame, table: FeatureTable, warehouse: Warehouse, mode: str = "warn") -> DataFrame:
-    """Check the table's rules, then upsert every row: "warn" reports, "fail" stops before writing (Q8, K2)."""
+    """Check the table's rules, then upsert every row (Q8, K2).
+
+    With "warn" the rows that break a rule are also copied to the warehouse's quarantine; "fail"
+    stops before anything is written.
+    """
     rows = stored(rows, table.name)
-    report, _ = validated(rows, table.name, mode)
+    report, failing = validated(rows, table.name, mode)
+    if failing is not None:
+        failing.write.mode("append").parquet(warehouse.quarantine(table))
     upsert(rows, table, warehouse.path(table), staged=True)
     return report
 

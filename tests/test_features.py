@@ -346,6 +346,7 @@ def test_policies(spark, caplog):
     bad = spark.createDataFrame([traffic_row(hour=99), traffic_row()], TRAFFIC.schema)
     report, failing = quality.validated(bad, "traffic", "warn")
     assert failing.count() == 1 and report.where("not success").count() == 1
+    assert quality.validated(bad.where("hour < 24"), "traffic", "fail")[1] is None
     with pytest.raises(quality.QualityError, match="hour"):
         quality.validated(bad, "traffic", "fail")
     assert set(quality.SUITES) == {TRAFFIC.name, WEATHER.name, CALENDAR.name}

@@ -201,6 +201,17 @@ def test_backfill_export_train_score_publish(spark, tmp_path):
     assert stats.first().predictions == counted == cells.count()
 
 
+def test_failing_rows_are_inserted_and_copied(spark, tmp_path):
+    from test_tables import typed
+
+    house = ingest.Warehouse(str(tmp_path / "house"))
+    rows = typed(spark, ("2024-01-01", 1, "a", 1.0), ("2024-01-01", 2, "a", 9.0))
+    report = ingest.insert(rows, TRAFFIC, house)
+    assert [r["column"] for r in report.where("not success").collect()] == ["avg_occupancy"]
+    assert house.read(spark, TRAFFIC).count() == 2
+    assert [r.hour for r in spark.read.parquet(house.quarantine(TRAFFIC)).collect()] == [2]
+
+
 def test_wrong_counts_stop_a_backfill(spark, tmp_path):
     from seatflow.operators.quality import QualityError
     from test_tables import hours

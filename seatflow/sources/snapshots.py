@@ -28,8 +28,8 @@ def path_hour(path: str | Column) -> Column:
 
 def path_date(path: str | Column) -> Column:
     """Day directories of the same layout, as a date; NULL when they are not one."""
-    day = F.regexp_extract(path, r"(\d{4}/\d{2}/\d{2})/\d{1,2}/[^/]+$", 1)
-    return F.try_to_date(day, "yyyy/MM/dd")
+    path = F.col(path) if isinstance(path, str) else path
+    return F.try_to_date(F.left(F.substring_index(path, "/", -5), F.lit(10)), "yyyy/MM/dd")
 
 
 def with_path_clock(paths: DataFrame) -> DataFrame:

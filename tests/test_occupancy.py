@@ -24,6 +24,7 @@ from seatflow.sources.snapshots import (
     decode_snapshots,
     feed_message,
     list_snapshots,
+    path_date,
     path_hour,
     read_chosen,
     snapshots_by_hour,
@@ -160,6 +161,9 @@ def test_path_clock(spark):
     paths = [(f"/data/2025/01/15/{h}/x.pb",) for h in ("00", "08", "09", "12", "23")] + [("/data/x/y.pb",)]
     df = spark.createDataFrame(paths, "path string")
     assert [r[0] for r in df.select(path_hour("path")).collect()] == [0, 8, 9, 12, 23, None]
+    assert [str(r[0]) for r in df.select(path_date("path")).collect()] == ["2025-01-15"] * 5 + ["None"]
+    odd = spark.createDataFrame([("2025/01/15/08/x.pb",), ("/a/2025/13/15/08/x.pb",), ("x.pb",)], "path string")
+    assert [str(r[0]) for r in odd.select(path_date("path")).collect()] == ["2025-01-15", "None", "None"]
 
 
 def feed(entities, header=1000):

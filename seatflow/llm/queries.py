@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import Case
-from seatflow.llm import mixing, topk, urls
+from seatflow.llm import decontam, langid, mixing, ngram_join, topk, urls
 
 CASES: dict[str, Case] = {}
 
@@ -40,6 +40,13 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"))
 
 
+@query()
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", F.coalesce(langid.fold(3) == 1, F.lit(False)))
+    model = langid.fit(docs.where(langid.fold(3) != 1))
+    return langid.predicted(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query("""
 WITH p AS (
   SELECT page_id, coalesce(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), '') AS h,
@@ -57,7 +64,18 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(_table(spark, folder, "pages"), URL_RULES)
 
 
+@query()
+def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return decontam.judged(docs, _table(spark, folder, "benchmark")).drop("text")
+
+
 @query()
 def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.allotted(_table(spark, folder, "documents"))
     return found.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query()
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.joined(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")

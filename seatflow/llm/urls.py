@@ -15,17 +15,16 @@ from __future__ import annotations
 
 import os
 import re
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatflow.llm.files import mapped, ship
+
 HOST = r"^[\s\S]*?://([^/?#]*)"
 PATH = r"^[\s\S]*?://[^/?#]*([^?#]*)"
 _FILES = ("keys", "ends", "names", "blocks", "lengths")
@@ -41,13 +40,10 @@ def parts(url) -> tuple:
 class DigestArray:
     """Sorted 64-bit keys with the strings that they stand for."""
 
-    def __init__(self, folder: str):
-        empty = lambda f: os.path.getsize(f) == 0
-        at = lambda name: os.path.join(folder, name)
-        load = lambda name, kind: np.zeros(0, kind) if empty(at(name)) else np.memmap(at(name), kind, mode="r")
-        self.keys, self.ends = load("keys", "<u8"), load("ends", "<i8")
-        self.names, self.blocks = load("names", "u1"), load("blocks", "u1")
-        self.lengths = [int(x) for x in load("lengths", "<i8")]
+    def __init__(self, name: str):
+        self.keys, self.ends = mapped(name, "keys", "<u8"), mapped(name, "ends", "<i8")
+        self.names, self.blocks = mapped(name, "names", "u1"), mapped(name, "blocks", "u1")
+        self.lengths = mapped(name, "lengths", "<i8").tolist()
 
     @staticmethod
     def write(rules: Iterable[tuple[str, bool]], folder: str) -> None:
@@ -95,12 +91,11 @@ def probes_of(host: str, path: str, lengths: list[int]) -> list[bytes]:
 
 def judged(pages: DataFrame, rules: list[tuple[str, bool]], default_blocks: bool = False) -> DataFrame:
     """(page_id, host, path, rule, verdict) of every row of `pages` (page_id, url)."""
-    spark = pages.sparkSession
-    name = shipped(spark, rules)
+    name = ship(pages.sparkSession, lambda folder: DigestArray.write(rules, folder))
     default = "block" if default_blocks else "allow"
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        array = DigestArray(SparkFiles.get(name))
+        array = DigestArray(name)
         for rows in frames:
             probes, owner = [], []
             for i, (host, path) in enumerate(zip(rows["host"], rows["path"], strict=True)):
@@ -119,13 +114,3 @@ def judged(pages: DataFrame, rules: list[tuple[str, bool]], default_blocks: bool
     return pages.select("page_id", host.alias("host"), path.alias("path")).mapInPandas(
         judge, "page_id long, host string, path string, rule string, verdict string"
     )
-
-
-def shipped(spark: SparkSession, rules: list[tuple[str, bool]]) -> str:
-    """Write the array on the driver and let Spark hand its folder to executors; its name there."""
-    name = f"digests-{uuid.uuid4().hex}"
-    folder = os.path.join(tempfile.mkdtemp(), name)
-    os.makedirs(folder)
-    DigestArray.write(rules, folder)
-    spark.sparkContext.addFile(folder, recursive=True)
-    return name

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import Case
-from seatflow.llm import decontam, langid, mixing, ngram_join, topk, urls
+from seatflow.llm import decontam, langid, mixing, ngram_join, topk, toxicity, urls
 
 CASES: dict[str, Case] = {}
 
@@ -64,6 +64,14 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judged(_table(spark, folder, "pages"), URL_RULES)
 
 
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fit(docs, _table(spark, folder, "labels").where(langid.fold(4) != 2))
+    docs = docs.select("doc_id", F.coalesce(langid.fold(4) == 2, F.lit(False)).alias("held_out"), "text")
+    return toxicity.scored(docs, model).drop("text")
+
+
 @query()
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import Case
-from seatflow.llm import decontam, langid, mixing, ngram_join, topk, toxicity, urls
+from seatflow.llm import decontam, html, langid, mixing, ngram_join, topk, toxicity, urls
 
 CASES: dict[str, Case] = {}
 
@@ -40,6 +40,12 @@ def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(_table(spark, folder, "embeddings"))
 
 
+@query()
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    return html.extracted(pages, html.fit(pages)).drop("html")
+
+
 @query()
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").withColumn("held_out", F.coalesce(langid.fold(3) == 1, F.lit(False)))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from checks.registry import Case
-from seatflow.llm import decontam, html, langid, mixing, ngram_join, topk, toxicity, urls
+from seatflow.llm import decontam, html, langid, mixing, ngram_join, pii, topk, toxicity, urls
 
 CASES: dict[str, Case] = {}
 
@@ -53,6 +54,12 @@ def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predicted(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+@query()
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return pii.found(docs, pii.fit(docs)).drop("text")
+
+
 @query("""
 WITH p AS (
   SELECT page_id, coalesce(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), '') AS h,
@@ -93,3 +100,6 @@ def op9_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.joined(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+CASES["pipeline"] = Case("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)

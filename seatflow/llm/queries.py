@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.registry import Case
-from seatflow.llm import decontam, html, langid, mixing, ngram_join, pii, topk, toxicity, urls
+from seatflow.llm import decontam, html, langid, mixing, ngram_join, pii, rollups, topk, toxicity, urls
+from seatflow.runtime import fresh_path
 
 CASES: dict[str, Case] = {}
 
@@ -85,6 +86,15 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, model).drop("text")
 
 
+@query()
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    rollup = rollups.Rollup(spark, fresh_path(spark, "token-counts"))
+    batches = rollups.document_batches(_table(spark, folder, "documents"))
+    for name, changes in [*batches, batches[1]]:  # a batch that is sent twice counts once
+        rollup.commit(name, changes)
+    return rollup.totals()
+
+
 @query()
 def op8_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")

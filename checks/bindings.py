@@ -166,7 +166,7 @@ def calendar_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def typed_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    rows = calendar_features(calendar_days(spark, folder), 1995, 2024)
+    rows = calendar_features(calendar_days(spark, folder))
     return with_event_time(calendar_types(rows), hour=None)
 
 

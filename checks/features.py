@@ -142,16 +142,18 @@ def view(spark, folder):
 
 
 @case("asof_feature", """
-WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+WITH l AS (SELECT event_id, user_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS ts FROM events WHERE event_type = 'purchase'),
 r AS (SELECT user_id, ts, max_by(event_id, event_id) AS view_id, max_by(value, event_id) AS view_value
-  FROM events WHERE event_type = 'view' GROUP BY user_id, ts)
+  FROM events WHERE event_type = 'view' AND event_id % 40 <> 0 GROUP BY user_id, ts)
 SELECT l.event_id, l.user_id, strftime(l.ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, r.view_id, r.view_value
 FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.ts""")
 def asof_feature(spark, folder):
+    """Some rows of both sides have no time, and so no match."""
     events = b.table(spark, folder, "events")
-    left = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    timed = lambda every: F.when(F.col("event_id") % every != 0, F.col("ts"))
+    left = events.where("event_type = 'purchase'").select("event_id", "user_id", timed(50).alias("ts"))
     right = events.where("event_type = 'view'").select(
-        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"), F.col("value").alias("view_value")
+        "user_id", timed(40).alias("view_ts"), F.col("event_id").alias("view_id"), F.col("value").alias("view_value")
     )
     found = as_of(left, right, ["user_id"], "ts", "view_ts", ["view_id", "view_value"], tie=["view_id"])
     return found.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -159,9 +161,12 @@ def asof_feature(spark, folder):
 
 @case("temporal_split_counts", f"""WITH {b.SQL_HOURLY}
 SELECT CASE WHEN date <= '2024-01-20' THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
-  CAST(sum(n_obs) AS BIGINT) AS n_obs FROM hourly WHERE date BETWEEN '2024-01-01' AND '2024-01-28' GROUP BY 1""")
+  CAST(sum(n_obs) AS BIGINT) AS n_obs FROM hourly
+WHERE date < '2024-01-20' OR (date = '2024-01-20' AND hour <= 12) OR date > '2024-01-21' OR (date = '2024-01-21' AND hour >= 12)
+GROUP BY 1""")
 def split_counts(spark, folder):
-    parts = temporal_split(b.typed_hourly(spark, folder), ("2024-01-01", "2024-01-20"), ("2024-01-21", "2024-01-28"))
+    bounds = ("2000-01-01", "2024-01-20 12:00:00"), ("2024-01-21 12:00:00", "2100-01-01")
+    parts = temporal_split(b.typed_hourly(spark, folder), *bounds, inclusive="instant")
     both = [df.withColumn("part", F.lit(name)) for name, df in zip(("train", "test"), parts)]
     return both[0].unionByName(both[1]).groupBy("part").agg(
         F.count("*").alias("n_rows"), F.sum("n_obs").alias("n_obs")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from checks.registry import case
 from seatflow.functions.scores import class_weight, sample_weight
 from seatflow.operators.joins import past_rows
 from seatflow.operators.learning import (
+    REGRESSOR_GRID,
     draw_parameters,
     fit_classifier,
     fit_regressor,
@@ -41,11 +44,13 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
 
-@case("class_distribution", f"""WITH {b.SQL_LABELS}, seen AS (SELECT y FROM labels_yp WHERE y <> 0)
+@case("class_distribution", f"""WITH {b.SQL_LABELS}, seen AS (SELECT CASE WHEN y = 0 THEN 1 ELSE y END AS y FROM labels_yp)
 SELECT class, name, count(y) AS n, round(count(y) * 100.0::DOUBLE / (SELECT count(*) FROM seen), 6) AS percent
 FROM {NAMES} LEFT JOIN seen ON y = class GROUP BY class, name""")
 def distribution(spark, folder):
-    return rounded(class_distribution(b.labels(spark, folder).where("y <> 0"), "y"), "percent")
+    """Class 0 counts as 1, so one class is absent."""
+    labels = b.labels(spark, folder).withColumn("y", F.when(F.col("y") == 0, 1).otherwise(F.col("y")))
+    return rounded(class_distribution(labels, "y"), "percent")
 
 
 @case("regression_metrics", f"""WITH {b.SQL_LABELS}
@@ -172,7 +177,8 @@ def best(spark, folder):
     return best_trial(trials, "score")
 
 
-SMALL = {"n_estimators": 4, "max_depth": 4, "num_leaves": 15, "min_child_samples": 5, "learning_rate": 0.1}
+FOREST = {"rounds": 4, "depth": 4, "leaf_rows": 5}
+SMALL = {**FOREST, "step": 0.1}
 _MODELS: dict[tuple, object] = {}
 
 
@@ -184,29 +190,48 @@ def models(spark, folder):
         prepared = preprocessor(rows)
         _MODELS[key] = (
             fit_regressor(rows, "avg_occupancy", SMALL, prepared),
-            fit_classifier(rows, "max_occupancy", SMALL, prepared),
+            fit_classifier(rows, "max_occupancy", FOREST, prepared),
         )
     return _MODELS[key]
 
 
-@case("gbt_scores")
+SQL_FACTS = f"""WITH {b.SQL_HOURLY}
+SELECT count(*) AS n_rows, count(*) AS on_scale, true AS better FROM hourly"""
+
+
+@case("gbt_scores", SQL_FACTS)
 def gbt_scores(spark, folder):
+    """Every row gets a mean on the scale, and the model beats the constant one."""
     rows = predict(feature_join(spark, folder), models(spark, folder)[0], None)
-    return rows.select("date", "hour", "route_id", "direction_id", "avg_occupancy", "pred_avg")
+    error = F.avg((F.col("pred_avg") - F.col("avg_occupancy")) ** 2)
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("pred_avg").between(0, 5)).alias("on_scale"),
+        (error < F.var_pop("avg_occupancy")).alias("better"),
+    )
 
 
-@case("rf_scores")
+@case("rf_scores", SQL_FACTS)
 def rf_scores(spark, folder):
+    """Every row gets a class on the scale, and classes rise with the observed ones."""
     rows = predict(feature_join(spark, folder), None, models(spark, folder)[1])
-    return rows.select("date", "hour", "route_id", "direction_id", "max_occupancy", "pred_max")
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("pred_max").between(0, 5)).alias("on_scale"),
+        (F.corr(F.col("pred_max").cast("double"), F.col("max_occupancy").cast("double")) > 0).alias("better"),
+    )
 
 
-@case("tuning_trials")
+@case("tuning_trials", "SELECT CAST(3 AS BIGINT) AS n_trials, CAST(3 AS BIGINT) AS n_from_grid, true AS best_wins")
 def tuning_trials(spark, folder):
+    """Three settings drawn from the whole grid, all fitted and scored; the best one has the least error."""
     rows = feature_join(spark, folder)
     sample = stored(temporal_cut(rows, ["date", "hour", "route_id", "direction_id"]), "tuning")
-    grid = {"n_estimators": [2, 3], "max_depth": [2, 3], "num_leaves": [7], "min_child_samples": [5, 10]}
-    return search(sample, "avg_occupancy", "regressor", draw_parameters(grid, trials=3))[0]
+    drawn = draw_parameters(REGRESSOR_GRID, trials=3)
+    trials, chosen = search(sample, "avg_occupancy", "regressor", drawn)
+    texts = [json.dumps(d, sort_keys=True) for d in drawn]
+    return trials.agg(
+        F.count("score").alias("n_trials"), F.count_if(F.col("settings").isin(texts)).alias("n_from_grid"),
+        (F.min_by("settings", "score") == json.dumps(chosen, sort_keys=True)).alias("best_wins"),
+    )
 
 
 @case("model_roundtrip", f"WITH {b.SQL_HOURLY} SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM hourly")

@@ -18,6 +18,7 @@ from seatflow.operators.occupancy import (
     wrong_counts,
 )
 from seatflow.operators.ordering import evenly_spaced, example_row, keep_last, preview
+from seatflow.schemas import SEED
 from seatflow.sources.snapshots import decode_snapshots, path_date, snapshots_by_hour, with_path_clock
 
 
@@ -119,12 +120,12 @@ def wrong_count_rows(spark, folder):
     return wrong_counts(_altered(spark, folder)).select("date", "hour", "route_id", "direction_id", "n_obs")
 
 
-@case("coverage_stats", f"""WITH {b.SQL_HOURLY}
-SELECT 'n_routes' AS stat, CAST(count(DISTINCT route_id) AS VARCHAR) AS value FROM hourly
-UNION ALL SELECT 'n_pairs', CAST(count(DISTINCT (route_id, direction_id)) AS VARCHAR) FROM hourly
-UNION ALL SELECT 'first_date', min(date) FROM hourly UNION ALL SELECT 'last_date', max(date) FROM hourly""")
+@case("coverage_stats", f"""WITH {b.SQL_OBS}, days AS (SELECT *, CAST(CAST(local_ts AS DATE) AS VARCHAR) AS date FROM obs)
+SELECT 'n_routes' AS stat, CAST(count(DISTINCT route_id) AS VARCHAR) AS value FROM days
+UNION ALL SELECT 'n_pairs', CAST(count(DISTINCT (route_id, direction_id)) AS VARCHAR) FROM days
+UNION ALL SELECT 'first_date', min(date) FROM days UNION ALL SELECT 'last_date', max(date) FROM days""")
 def coverage_stats(spark, folder):
-    rows = local_hours(b.sightings(spark, folder).where("occupancy <> 'NO_DATA_AVAILABLE'"))
+    rows = local_hours(b.sightings(spark, folder))
     stats = [coverage(rows), date_range(rows)]
     long = [
         df.select(F.inline(F.array(*[
@@ -142,6 +143,7 @@ def ordered_preview(spark, folder):
     return rows.select("date", "hour", "route_id", "direction_id", "n_obs", "place")
 
 
-@case("input_example")
+@case("input_example", f"""WITH {b.SQL_HOURLY} SELECT {b.HOURLY_NAMES} FROM hourly
+ORDER BY md5(concat_ws('|', date, hour, route_id, direction_id, {SEED})), date, hour, route_id, direction_id LIMIT 1""")
 def input_example(spark, folder):
-    return example_row(b.hourly(spark, folder), ["date", "hour", "route_id", "direction_id"])
+    return b.with_text_date(example_row(b.hourly(spark, folder), ["date", "hour", "route_id", "direction_id"]))

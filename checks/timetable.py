@@ -117,9 +117,18 @@ def timetable_folder(spark, folder, trips, messy: bool):
         lines = first.unionByName(lines).unionByName(lines.limit(5).withColumn("trip_id", F.lit("")))
         dated = dated.unionByName(dated.where(number % 3 == 0)).unionByName(dated.limit(5).withColumn("trip_id", F.lit("")))
         routes = routes.withColumn("route_long_name", F.lit("old")).unionByName(routes)
+    stops = b.stops(spark, folder)
+    if messy:
+        # every third trip has no usable numbers, and the lines of the trips come in files with two orders of columns
+        blank = F.col("trip_id").cast("bigint") % 3 == 0
+        stops = stops.withColumn("stop_sequence", F.when(~blank, F.col("stop_sequence").cast("string")).otherwise(F.when(F.rand(1) < 0.5, "").otherwise("?")))
+        turned = lines.where(number % 2 == 0).select("direction_id", "trip_id", "route_id")
+        lines = lines.where(number.isNull() | (number % 2 != 0))
     save(dated, "trips_dated_vehicle_journey")
-    save(b.stops(spark, folder), "stop_times")
+    save(stops, "stop_times")
     save(lines, "trips")
+    if messy:
+        turned.write.mode("append").option("header", True).csv(f"{root}/trips.txt")
     save(routes, "routes")
     _FOLDERS[key] = root
     return root
@@ -132,7 +141,7 @@ UNION ALL SELECT 'trip', CAST(o_orderkey AS VARCHAR), CAST(o_custkey % 25 AS VAR
   CASE WHEN o_orderkey % 4 = 1 THEN '1' ELSE '0' END FROM active
 UNION ALL SELECT 'route', CAST(n_nationkey AS VARCHAR), CAST(n_nationkey AS VARCHAR), n_name FROM nation WHERE n_nationkey < 23
 UNION ALL SELECT 'stop', CAST(l_orderkey AS VARCHAR), lpad(CAST(4 + l_orderkey % 3 + 4 * l_linenumber AS VARCHAR), 2, '0') || ':00:00',
-  CAST(l_linenumber AS VARCHAR) || '/' || CAST(4 + l_orderkey % 3 + 4 * l_linenumber AS VARCHAR)
+  CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE CAST(l_linenumber AS VARCHAR) END || '/' || CAST(4 + l_orderkey % 3 + 4 * l_linenumber AS VARCHAR)
   FROM lineitem JOIN active ON o_orderkey = l_orderkey""")
 def scan(spark, folder):
     root = timetable_folder(spark, folder, b.trips(spark, folder), messy=True)
@@ -144,7 +153,7 @@ def scan(spark, folder):
         read_route_names(spark, f"{root}/routes.txt").select(F.lit("route"), "route_id", "route_short_name", "route_long_name"),
         read_stop_times(spark, f"{root}/stop_times.txt", dated).select(
             F.lit("stop"), "trip_id", "arrival_time",
-            F.concat(text("stop_sequence"), F.lit("/"), leading_hour("arrival_time").cast("string")),
+            F.concat(F.coalesce(text("stop_sequence"), F.lit("-")), F.lit("/"), leading_hour("arrival_time").cast("string")),
         ),
     ]
     out = parts[0]

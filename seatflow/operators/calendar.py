@@ -65,24 +65,29 @@ def holidays(spark: SparkSession, first_year: int, last_year: int, include_eves:
     return rows if include_eves else rows.where("category = 'public'")
 
 
+def _free_day(day: Column, easter: Column, include_eves: bool) -> Column:
+    """Whether `day` is kept by one of the rules, by its own year."""
+    year = F.year(day)
+    free = F.lit(False)
+    for _, category, kind, month, number, shift, since, until in HOLIDAY_RULES:
+        if category != "public" and not include_eves:
+            continue
+        if kind == "easter":
+            base = easter
+        else:
+            base = F.make_date(year, F.lit(month), F.lit(number))
+            base = F.next_day(F.date_sub(base, 1), "Sat") if kind == "saturday" else base
+        free = free | ((day == F.date_add(base, shift)) & year.between(since, until))
+    return free
+
+
 def calendar_features(
-    days: DataFrame,
-    first_year: int,
-    last_year: int,
-    column: str = "date",
-    include_sundays: bool = False,
-    include_eves: bool = False,
+    days: DataFrame, column: str = "date", include_sundays: bool = False, include_eves: bool = False
 ) -> DataFrame:
-    """Month, weekday, weekend, holiday and workday of each day within the years given."""
-    spark = days.sparkSession
-    free = holidays(spark, first_year, last_year, include_eves).select(
-        F.col("date").alias("_free")
-    ).distinct()
-    rows = days.withColumn("_day", F.to_date(column))
-    # under twenty rows per year of a range the caller states
-    rows = rows.join(F.broadcast(free), F.col("_day") == F.col("_free"), "left")
+    """Month, weekday, weekend, holiday and workday of each day, in any year."""
+    rows = days.withColumn("_day", F.to_date(column)).withColumn("_easter", easter_sunday("year(_day)"))
     weekend = F.weekday("_day") >= 5
-    holiday = F.col("_free").isNotNull()
+    holiday = F.coalesce(_free_day(F.col("_day"), F.col("_easter"), include_eves), F.lit(False))
     if include_sundays:
         holiday = holiday | (F.weekday("_day") == 6)
     return rows.withColumns({
@@ -92,12 +97,9 @@ def calendar_features(
         "is_holiday_se": holiday,
         "is_workday_se": ~weekend & ~holiday,
         column: iso_date("_day"),
-    }).drop("_day", "_free")
+    }).drop("_day", "_easter")
 
 
 def calendar_between(spark: SparkSession, first: str | date, last: str | date, **options) -> DataFrame:
     """Calendar features for every day first..last."""
-    years = int(str(first)[:4]), int(str(last)[:4])
-    return calendar_features(date_spine(spark, first, last), *years, **options)
-
-
+    return calendar_features(date_spine(spark, first, last), **options)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seatflow.functions.clock import date_spine
+from seatflow.operators.ordering import sliced
 from seatflow.schemas import (
     ALL_FEATURES,
     CALENDAR_FEATURES,
@@ -91,16 +92,16 @@ def first_wins(known: DataFrame, fresh: DataFrame, key: Sequence[str]) -> DataFr
 def in_span(rows: DataFrame, first: str, last: str, inclusive: str = "day", column: str = "event_time") -> DataFrame:
     """Rows with event time in first..last.
 
-    `inclusive`: "day" keeps the whole last day, "instant" its first instant, "none" neither.
-    A `date` column is bounded as well, for partition pruning.
+    `inclusive`: "day" keeps the whole last day, "instant" the last instant itself, "none" neither.
+    Bounds may have a time of day. A `date` column is bounded by their days as well, for partition pruning.
     """
     start = F.lit(first).cast("timestamp_ntz")
     end = F.lit(last).cast("timestamp_ntz")
     if inclusive == "day":
-        end = end + F.expr("interval 1 day")
+        end = F.date_trunc("day", end).cast("timestamp_ntz") + F.expr("interval 1 day")
     time = F.col(column)
     rows = rows.where((time >= start) & (time <= end if inclusive == "instant" else time < end))
-    return rows.where(F.col("date").between(first, last)) if "date" in rows.columns else rows
+    return rows.where(F.col("date").between(first[:10], last[:10])) if "date" in rows.columns else rows
 
 
 def temporal_split(
@@ -118,44 +119,33 @@ def as_of(
     right_time: str,
     values: Sequence[str],
     tie: Sequence[str] = (),
-    slice_unit: str = "day",
 ) -> DataFrame:
     """For each left row the values of the key's latest right row at or before it.
 
     `tie` orders right rows of one instant, the last one winning. No range join: both sides are
-    stacked and read in time order. A busy key would be one window group for ever, so groups are
-    a key and a slice of time; what a key last had before a slice is worked out on one row per
-    slice and carried in. Rows with a NULL in the key match nothing and skip all of this.
+    stacked, range-partitioned on key and time and read in order. A slice holds a bounded number of
+    rows, so a busy key spans many; what it last had before a slice is worked out on one row per
+    key and slice and carried in. Rows with a NULL in the key or the time match nothing.
     """
     key = list(key)
-    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-    unmatched = left.where(~complete)
-    left, right = left.where(complete), right.where(complete)
+    complete = lambda time: reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*key, time]])
+    unmatched = left.where(~complete(left_time))
+    left, right = left.where(complete(left_time)), right.where(complete(right_time))
     value = F.struct(F.col(right_time).alias("_at"), *[F.col(c).alias(f"_tie_{c}") for c in tie], *values)
-    slice_of = {c: F.date_trunc(slice_unit, F.col(c)).cast("timestamp_ntz") for c in {left_time, right_time}}
     packed = F.struct(*[F.col(c) for c in left.columns])
     rows = left.select(
-        *key, F.col(left_time).alias("_time"), F.lit(1).alias("_side"),
-        packed.alias("_left"), slice_of[left_time].alias("_slice"),
+        *key, F.col(left_time).alias("_time"), F.lit(1).alias("_side"), packed.alias("_left")
     ).unionByName(
-        right.select(
-            *key, F.col(right_time).alias("_time"), F.lit(0).alias("_side"),
-            value.alias("_value"), slice_of[right_time].alias("_slice"),
-        ),
+        right.select(*key, F.col(right_time).alias("_time"), F.lit(0).alias("_side"), value.alias("_value")),
         allowMissingColumns=True,
     )
-    within = (
-        Window.partitionBy(*key, "_slice")
-        .orderBy("_time", "_side", "_value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    here = rows.withColumn("_here", F.last("_value", ignorenulls=True).over(within)).where("_side = 1")
+    cut = sliced(rows, [*key, "_time", "_side", "_value"])
+    within = Window.partitionBy(*key, "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = cut.withColumn("_here", F.last("_value", ignorenulls=True).over(within)).where("_side = 1")
 
     earlier = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = rows.groupBy(*key, "_slice").agg(F.max("_value").alias("_latest"))
+    slices = cut.groupBy(*key, "_slice").agg(F.expr("max_by(_value, _at) filter (where _side = 0)").alias("_latest"))
     carried = slices.withColumn("_carried", F.last("_latest", ignorenulls=True).over(earlier)).drop("_latest")
     found = here.join(carried, [*key, "_slice"], "left").withColumn("_found", F.coalesce("_here", "_carried"))
     found = found.select("_left.*", *[F.col(f"_found.{c}").alias(c) for c in values])
     return found.unionByName(unmatched, allowMissingColumns=True)
-
-

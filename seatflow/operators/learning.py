@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import logging
-import math
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
 from pyspark.ml import PipelineModel, Transformer
@@ -30,30 +30,35 @@ from seatflow.schemas import (
 
 log = logging.getLogger(__name__)
 
-# The search spaces.
+# The search spaces, in the parameters that MLlib's trees have. Depth, leaf size and the two sampling
+# shares follow the requirements as far as MLlib goes; boosting level by level needs far fewer rounds.
 REGRESSOR_GRID = {
-    "n_estimators": [300, 500, 1000],
-    "learning_rate": [0.01, 0.05, 0.1, 0.2],
-    "max_depth": [5, 10, 20, -1],
-    "num_leaves": [31, 63, 127, 255],
-    "min_child_samples": [10, 20, 50, 100],
-    "subsample": [0.7, 0.8, 0.9, 1.0],
-    "colsample_bytree": [0.7, 0.8, 0.9, 1.0],
-    "reg_alpha": [0, 0.01, 0.1],
-    "reg_lambda": [0, 0.01, 0.1],
+    "rounds": [10, 20, 40],
+    "step": [0.05, 0.1, 0.2],
+    "depth": [3, 5, 8],
+    "leaf_rows": [10, 20, 50, 100],
+    "row_share": [0.7, 0.8, 0.9, 1.0],
+    "feature_share": [0.7, 0.8, 0.9, 1.0],
+}
+FOREST_GRID = {
+    "rounds": [10, 20, 40],
+    "depth": [5, 8, 10],
+    "leaf_rows": [20, 50, 100],
+    "row_share": [0.7, 0.8, 0.9],
+    "feature_share": [0.7, 0.8, 0.9],
 }
 CLASSIFIER_GRID = {
-    "n_estimators": [300, 500, 1000],
-    "learning_rate": [0.01, 0.05, 0.1],
-    "max_depth": [5, 10, 15, -1],
-    "num_leaves": [31, 63, 127],
-    "min_child_samples": [20, 50, 100],
-    "subsample": [0.7, 0.8, 0.9],
-    "colsample_bytree": [0.7, 0.8, 0.9],
-    "reg_alpha": [0, 0.01, 0.1],
-    "reg_lambda": [0, 0.01, 0.1],
+    "rounds": [10, 20],
+    "step": [0.05, 0.1],
+    "depth": [3, 5],
+    "leaf_rows": [20, 50, 100],
+    "row_share": [0.7, 0.8, 0.9],
+    "feature_share": [0.7, 0.8, 0.9],
+}
+_MLLIB_NAMES = {
+    "depth": "maxDepth", "leaf_rows": "minInstancesPerNode", "row_share": "subsamplingRate", "feature_share": "featureSubsetStrategy",
 }
-DEPTH_LIMIT = 10  # MLlib grows level by level: a tree this deep already has 1024 leaves
+MLLIB_DEPTH = 30
 
 
 def sql_text(value: str) -> str:
@@ -98,19 +103,20 @@ def preprocessor(train: DataFrame) -> PipelineModel:
     return PipelineModel([fill, indexer, encode, assemble])
 
 
-def mllib_parameters(chosen: Mapping) -> dict:
-    """What MLlib's trees have of a drawn setting; leaf count caps the depth, penalties have no counterpart."""
-    depth = int(chosen.get("max_depth", 5))
-    leaves = int(chosen.get("num_leaves", 31))
-    depth = min(depth if depth > 0 else DEPTH_LIMIT, math.ceil(math.log2(leaves)), DEPTH_LIMIT)
-    return {
-        "rounds": int(chosen.get("n_estimators", 20)),
-        "step": float(chosen.get("learning_rate", 0.1)),
-        "maxDepth": depth,
-        "minInstancesPerNode": int(chosen.get("min_child_samples", 1)),
-        "subsamplingRate": float(chosen.get("subsample", 1.0)),
-        "featureSubsetStrategy": str(float(chosen.get("colsample_bytree", 1.0))),
-    }
+def mllib_parameters(chosen: Mapping, steps: bool) -> dict:
+    """A setting under MLlib's names; one that MLlib's trees cannot honour is refused.
+
+    `steps` says whether the learner boosts, and so has a learning rate.
+    """
+    known = {"rounds", *_MLLIB_NAMES} | ({"step"} if steps else set())
+    if unknown := set(chosen) - known:
+        raise ValueError(f"no such parameters here: {sorted(unknown)}")
+    if not 0 <= int(chosen.get("depth", 5)) <= MLLIB_DEPTH:
+        raise ValueError(f"depth must lie in 0..{MLLIB_DEPTH}")
+    named = {_MLLIB_NAMES[k]: v for k, v in chosen.items() if k in _MLLIB_NAMES}
+    if "featureSubsetStrategy" in named:
+        named["featureSubsetStrategy"] = str(float(named["featureSubsetStrategy"]))
+    return {"rounds": int(chosen.get("rounds", 20)), **({"step": float(chosen.get("step", 0.1))} if steps else {}), **named}
 
 
 def training_rows(prepared: PipelineModel, rows: DataFrame, label: str) -> DataFrame:
@@ -126,7 +132,7 @@ def training_rows(prepared: PipelineModel, rows: DataFrame, label: str) -> DataF
 def regressor_stages(rows: DataFrame, chosen: Mapping) -> list[Transformer]:
     """Boosted trees fitted on training rows, and the clip of their predictions to 0-5 (M5)."""
     use_checkpoints(rows.sparkSession)
-    options = mllib_parameters(chosen)
+    options = mllib_parameters(chosen, steps=True)
     learner = GBTRegressor(
         labelCol="_label", predictionCol="_raw", seed=SEED,
         maxIter=options.pop("rounds"), stepSize=options.pop("step"), **options,
@@ -141,11 +147,11 @@ def classifier_stages(rows: DataFrame, chosen: Mapping, boosted: bool = False) -
     MLlib boosts two classes only: `boosted` fits one boosted model per class, else it is a forest.
     """
     use_checkpoints(rows.sparkSession)
-    options = mllib_parameters(chosen)
-    rounds, step = options.pop("rounds"), options.pop("step")
+    options = mllib_parameters(chosen, steps=boosted)
+    rounds = options.pop("rounds")
     columns = {"labelCol": "_label", "predictionCol": "prediction", "weightCol": "_weight"}
     if boosted:
-        one = GBTClassifier(maxIter=rounds, stepSize=step, seed=SEED, **options)
+        one = GBTClassifier(maxIter=rounds, stepSize=options.pop("step"), seed=SEED, **options)
         return [OneVsRest(classifier=one, **columns).fit(rows)]
     return [RandomForestClassifier(numTrees=rounds, seed=SEED, **columns, **options).fit(rows)]
 
@@ -177,9 +183,12 @@ def search(
     kind: str,
     settings: Sequence[Mapping],
     at_once: int = 4,
+    boosted: bool = False,
 ) -> tuple[DataFrame, dict]:
     """Fit every setting on `part` = train, score it on `part` = validation.
 
+    `boosted` makes the classifiers boosted ones.
+
     Returns the trials and the best setting: lowest RMSE, or highest weighted recall. Preparation
     is the same for all trials, so it is done once and stored; trials are submitted side by side.
     """
@@ -187,7 +196,7 @@ def search(
     train, validation = (sample.where(F.col("part") == p) for p in ("train", "validation"))
     prepared = preprocessor(train)
     fit_rows, check_rows = (stored(training_rows(prepared, df, label), "tuning") for df in (train, validation))
-    stages = regressor_stages if kind == "regressor" else classifier_stages
+    stages = regressor_stages if kind == "regressor" else partial(classifier_stages, boosted=boosted)
     score_of = _rmse if kind == "regressor" else _weighted_recall
 
     def run(numbered: tuple[int, Mapping]) -> tuple:

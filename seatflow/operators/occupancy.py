@@ -40,25 +40,21 @@ def _blank(value: str) -> Column:
     return F.nullif(F.col(value), F.lit(""))
 
 
-def resolve_routes(sightings: DataFrame, trips: DataFrame, salts: int = 16) -> DataFrame:
+def resolve_routes(sightings: DataFrame, trips: DataFrame) -> DataFrame:
     """Give each sighting its route and direction from its month's trip map; drop it without a route.
 
     The feed's own route wins over the map's; the direction is the map's, 0 for an unknown trip.
-    `trips` holds each (month, trip_id) once. A trip seen far more than others would fill one
-    task, so sightings are spread over `salts` copies of the map; those without a trip are spread
-    too and match nothing.
+    `trips` holds each (month, trip_id) once. Sightings without a trip get a key that no trip has, one of
+    many, so that they do not meet in one task; a trip that holds much of the rows is a skewed partition, which
+    Spark splits at run time.
     """
-    trip = _blank("trip_id")
-    places = F.when(trip.isNull(), 1_000_000).otherwise(salts)
-    salt = F.pmod(F.xxhash64(*sightings.columns), places).cast("int")
-    spread = sightings.withColumns({"_trip": trip, "_salt": salt})
-    copies = trips.select(
+    none = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*sightings.columns), F.lit(100_000)))
+    spread = sightings.withColumn("_trip", F.coalesce(_blank("trip_id"), none))
+    known = trips.select(
         "month", F.col("trip_id").alias("_trip"),
         F.col("route_id").alias("_map_route"), F.col("direction_id").alias("_map_direction"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
     )
-    joined = spread.join(copies, ["month", "_trip", "_salt"], "left")
-    return _resolved(joined).drop("_trip", "_salt")
+    return _resolved(spread.join(known, ["month", "_trip"], "left")).drop("_trip")
 
 
 def _resolved(joined: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from seatflow.schemas import SEED, SNAPSHOTS_PER_HOUR, TUNE_FRACTION, TUNE_TRAIN
 _ROW_BITS = 33
 
 
-def _first_per(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # Spark keeps one row per key on the map side of the shuffle for this shape of filter
     # (WindowGroupLimit), so a key that holds much of the data does not travel whole.
     place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
@@ -24,15 +24,15 @@ def _first_per(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> Da
 
 def keep_last(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key in the stated order."""
-    return _first_per(df, key, [F.col(c).desc_nulls_last() for c in order])
+    return first_per(df, key, [F.col(c).desc_nulls_last() for c in order])
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each key in the stated order."""
-    return _first_per(df, key, [F.col(c).asc_nulls_last() for c in order])
+    return first_per(df, key, [F.col(c).asc_nulls_last() for c in order])
 
 
-def _sliced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def sliced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows range-partitioned on a total order, with their slice and their place in it.
 
     Stored once, because everything computed per slice must refer to the same cut. The number of
@@ -73,7 +73,7 @@ def ranked(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataF
     the rows its group has in earlier slices. The sums hold one row per group and slice.
     """
     by = list(by)
-    cut = _sliced(df, by + [c for c in order if c not in by])
+    cut = sliced(df, by + [c for c in order if c not in by])
     out = _with_slice_sums(cut, by, F.lit(1))
     rank = F.col("_at") - F.col("_start") + F.col("_earlier")
     return out.select(*df.columns, rank.alias("rank"), "group_size")
@@ -91,7 +91,7 @@ def medians(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     ])
     long = rows.select(F.inline(present)).where("value is not null")
     counted = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    cut = _with_slice_sums(_sliced(counted, ["feature", "value"]), ["feature"], F.col("n"))
+    cut = _with_slice_sums(sliced(counted, ["feature", "value"]), ["feature"], F.col("n"))
     inside = Window.partitionBy("feature", "_slice").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_earlier") + F.coalesce(F.sum("n").over(inside), F.lit(0))
     end = F.col("_before") + F.col("n")
@@ -155,7 +155,8 @@ def preview(df: DataFrame, key: Sequence[str], n: int = 20) -> DataFrame:
 
 def example_row(df: DataFrame, key: Sequence[str], seed: int = SEED) -> DataFrame:
     """One row chosen by a seeded hash of its key."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(1)
+    text = [F.col(c).cast("string") for c in key]
+    return df.orderBy(F.md5(F.concat_ws("|", *text, F.lit(str(seed)))), *key).limit(1)
 
 
 def best_trial(trials: DataFrame, score: str, maximize: bool = False) -> DataFrame:

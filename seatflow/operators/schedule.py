@@ -13,17 +13,22 @@ from seatflow.functions.clock import leading_hour
 ROUTE_HOUR_COLUMNS = ["date", "hour", "route_id", "direction_id", "route_short_name", "route_long_name"]
 
 
+def _with_rows(stops: DataFrame) -> DataFrame:
+    return stops if "stop_row" in stops.columns else stops.withColumn("stop_row", F.lit(None).cast("bigint"))
+
+
 def trip_bounds(stops: DataFrame) -> DataFrame:
-    """First and last arrival of each trip by stop sequence; a trip with a blank one is dropped."""
-    ends = stops.groupBy("trip_id").agg(
-        F.min(F.struct("stop_sequence", "arrival_time")).alias("first"),
-        F.max(F.struct("stop_sequence", "arrival_time")).alias("last"),
-    )
-    ends = ends.select(
-        "trip_id",
-        F.col("first.arrival_time").alias("first_arrival"),
-        F.col("last.arrival_time").alias("last_arrival"),
+    """First and last arrival of each trip by stop sequence; a trip with a blank one is dropped.
+
+    A trip with a stop that has no number is read in the order of its lines (`stop_row`) instead.
+    """
+    both = {"number": F.struct("stop_sequence", "arrival_time"), "line": F.struct("stop_row", "arrival_time")}
+    ends = _with_rows(stops).groupBy("trip_id").agg(
+        (F.count("stop_sequence") == F.count("*")).alias("numbered"),
+        *[f(row).alias(f"{name}_{by}") for by, row in both.items() for name, f in (("first", F.min), ("last", F.max))],
     )
+    pick = lambda name: F.when(F.col("numbered"), F.col(f"{name}_number.arrival_time")).otherwise(F.col(f"{name}_line.arrival_time"))
+    ends = ends.select("trip_id", pick("first").alias("first_arrival"), pick("last").alias("last_arrival"))
     return ends.where((F.col("first_arrival") != "") & (F.col("last_arrival") != ""))
 
 
@@ -36,11 +41,15 @@ def trip_hours(stops: DataFrame) -> DataFrame:
     blank = -(2**31)
     hour = F.when(F.col("arrival_time") != "", leading_hour("arrival_time")).otherwise(blank)
     packed = F.shiftleft(F.col("stop_sequence").cast("bigint"), 32) + (hour.cast("bigint") - F.lit(blank))
-    ends = stops.select("trip_id", packed.alias("_stop")).groupBy("trip_id").agg(
-        F.min("_stop").alias("_first"), F.max("_stop").alias("_last")
+    ends = _with_rows(stops).select("trip_id", packed.alias("_stop"), hour.alias("_hour"), "stop_row").groupBy("trip_id").agg(
+        F.min("_stop").alias("_first"), F.max("_stop").alias("_last"), (F.count("_stop") == F.count("*")).alias("_numbered"),
+        F.min_by("_hour", "stop_row").alias("_first_line"), F.max_by("_hour", "stop_row").alias("_last_line"),
     )
     low = F.lit((1 << 32) - 1)
-    first, last = ((F.col(c).bitwiseAND(low) + F.lit(blank)).cast("int") for c in ("_first", "_last"))
+    first, last = (
+        F.when(F.col("_numbered"), (F.col(c).bitwiseAND(low) + F.lit(blank)).cast("int")).otherwise(F.col(f"{c}_line"))
+        for c in ("_first", "_last")
+    )
     ends = ends.select("trip_id", first.alias("first_hour"), last.alias("last_hour"))
     return ends.where((F.col("first_hour") != blank) & (F.col("last_hour") != blank))
 

@@ -16,19 +16,24 @@ def with_previous_day(weather: DataFrame) -> DataFrame:
     """Add `prev_` columns: the same hour one calendar day earlier, NULL when there is none.
 
     Each hour is sent to its own day and, shifted, to the next one; one regrouping on (date, hour)
-    pairs them. That is a single shuffle of the table, where a self-join needs two. Hours are unique.
+    pairs them. That is a single shuffle of the table, where a self-join needs two. All rows of an
+    hour stay; of several on the previous day, the greatest in the order of the measures stands for them.
     """
+    measures = F.struct(*WEATHER_MEASURES)
     copies = weather.select(
-        "hour", *WEATHER_MEASURES,
+        "hour", measures.alias("_row"),
         F.explode(F.array(F.lit(0), F.lit(1))).alias("_ahead"),
         F.to_date("date").alias("_day"),
     ).withColumn("date", F.date_add("_day", F.col("_ahead")))
     paired = copies.groupBy("date", "hour").agg(
-        F.expr("max(_ahead = 0) as _own"),
-        *[F.expr(f"max({c}) filter (where _ahead = 0) as {c}") for c in WEATHER_MEASURES],
-        *[F.expr(f"max({c}) filter (where _ahead = 1) as prev_{c}") for c in WEATHER_MEASURES],
+        F.expr("collect_list(_row) filter (where _ahead = 0) as _own"),
+        F.expr("max(_row) filter (where _ahead = 1) as _prev"),
+    )
+    rows = paired.select("date", "hour", F.explode("_own").alias("_own"), "_prev")
+    return rows.select(
+        "date", "hour", *[F.col(f"_own.{c}") for c in WEATHER_MEASURES],
+        *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in WEATHER_MEASURES],
     )
-    return paired.where("_own").drop("_own")
 
 
 def with_previous_day_framed(weather: DataFrame) -> DataFrame:
@@ -44,8 +49,9 @@ def with_previous_day_framed(weather: DataFrame) -> DataFrame:
     places = F.when(carried, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
     rows = rows.select("*", F.posexplode(places).alias("_copy", "_chunk"))
     frame = Window.partitionBy("hour", "_chunk").orderBy("_day").rangeBetween(-1, -1)
-    previous = {f"prev_{c}": F.last(c).over(frame) for c in WEATHER_MEASURES}
-    return rows.withColumns(previous).where("_copy = 0").drop("_day", "_copy", "_chunk")
+    rows = rows.withColumn("_prev", F.max(F.struct(*WEATHER_MEASURES)).over(frame)).where("_copy = 0")
+    previous = {f"prev_{c}": F.col(f"_prev.{c}") for c in WEATHER_MEASURES}
+    return rows.withColumns(previous).drop("_day", "_copy", "_chunk", "_prev")
 
 
 def from_day(weather: DataFrame, first: str | date) -> DataFrame:

@@ -65,7 +65,7 @@ def score_future(
     spark = route_hours.sparkSession
     days = sorted(days)
     wanted = spark.createDataFrame([(d,) for d in days], "date date")
-    calendar = calendar_features(wanted, days[0].year, days[-1].year)
+    calendar = calendar_features(wanted)
     weather = future_weather(history, forecast, wanted)
     if weather is not None:
         weather = weather.withColumn("date", F.col("date").cast("string"))

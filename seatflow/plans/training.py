@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seatflow.operators.joins import temporal_split
 from seatflow.operators.learning import (
     CLASSIFIER_GRID,
+    FOREST_GRID,
     REGRESSOR_GRID,
     draw_parameters,
     fit_classifier,
@@ -20,7 +21,7 @@ from seatflow.operators.learning import (
 )
 from seatflow.operators.metrics import class_metrics, regression_metrics
 from seatflow.operators.ordering import example_row, temporal_cut
-from seatflow.schemas import ALL_FEATURES, TEST_SPAN, TRAIN_SPAN
+from seatflow.schemas import ALL_FEATURES, TEST_SPAN, TRAIN_SPAN, TUNE_TRIALS
 from seatflow.runtime import stored
 from seatflow.sinks.tables import save_split
 from seatflow.sources.tables import split_frames
@@ -55,21 +56,28 @@ def train(
     model_path: str | None = None,
     settings: Sequence[Mapping] | None = None,
     at_once: int = 4,
+    boosted: bool = True,
+    trials: int = TUNE_TRIALS,
 ) -> Trained:
-    """Search on the first part of the training rows, fit on all of them, measure on the test rows."""
+    """Search on the first part of the training rows, fit on all of them, measure on the test rows.
+
+    Without `settings`, `trials` of them are drawn from the learner's grid. `boosted` makes the classifier one
+    boosted model per class, else it is a forest.
+    """
     label = LABELS[kind]
     rows, test = split_frames(spark, split_path, version)
     order = ["event_time", "route_id", "direction_id"]
     sample = stored(temporal_cut(rows, order), "sample")
     if settings is None:
-        settings = draw_parameters(REGRESSOR_GRID if kind == "regressor" else CLASSIFIER_GRID)
-    trials, best = search(sample, label, kind, settings, at_once)
+        grid = REGRESSOR_GRID if kind == "regressor" else CLASSIFIER_GRID if boosted else FOREST_GRID
+        settings = draw_parameters(grid, trials)
+    tried, best = search(sample, label, kind, settings, at_once, boosted)
     if kind == "regressor":
         model = fit_regressor(rows, label, best)
         metrics = regression_metrics(model.transform(test), label, "prediction")
     else:
-        model = fit_classifier(rows, label, best)
+        model = fit_classifier(rows, label, best, boosted=boosted)
         metrics = class_metrics(model.transform(test), label, "prediction")
     if model_path is not None:
         save_model(model, model_path, metrics, example_row(rows.select(*ALL_FEATURES), ["route_id", "hour"]))
-    return Trained(model, trials, best, metrics)
+    return Trained(model, tried, best, metrics)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def held(df: DataFrame, name: str, already: bool = False) -> Iterator[DataFrame]:
+    """`df` stored as by `stored`, and removed again at the end; `already` stored frames pass through."""
+    if already:
+        yield df
+        return
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Give iterative MLlib fits a checkpoint folder, so that their lineage is cut now and then."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatflow.runtime import stored
+from seatflow.operators.ordering import first_per
+from seatflow.runtime import held
 from seatflow.schemas import TRAFFIC_COLUMNS, FeatureTable
 from seatflow.sources.tables import table_exists
 
-_LISTED_PARTITIONS = 2000
+#: The one partition of a table that has none.
+_WHOLE = "_whole"
 
 
 def save_hourly(rows: DataFrame, path: str) -> bool:
@@ -38,42 +40,45 @@ def upsert(
 ) -> None:
     """Insert rows, replacing those with the same key (K2).
 
-    Only the partitions that the incoming rows touch are read and rewritten. Plain parquet has one
-    writer at a time; `merge` hands the same rows to a table format with transactions instead.
-    `incoming` holds each key once; `staged` says that it is already a stored table.
+    Only the partitions that the incoming rows touch are read and rewritten, and an old partition
+    stays until its new one is written; a table without partitions is kept as a single one. Of incoming
+    rows with the same key the greatest in the order of their columns counts. Plain parquet has
+    one writer at a time; `merge` hands the same rows to a table format with transactions instead.
+    `staged` says that `incoming` is already a stored table.
     """
     spark = incoming.sparkSession
-    rows = conform(incoming, table)
     if merge is not None:
-        merge(rows, table, path)
+        merge(conform(incoming, table), table, path)
         return
-    exists = table_exists(spark, path, table.schema)
-    if exists:
-        rows = rows if staged else conform(stored(rows, table.name), table)
-        current = spark.read.schema(table.schema).parquet(path)
-        if table.partition:
-            current = _touched(current, rows, table.partition)
-        untouched = current.join(rows.select(*table.key), table.key, "left_anti")
-        rows = conform(untouched.unionByName(rows), table)
-    if table.partition:
+    part = table.partition or _WHOLE
+    with held(incoming, table.name, staged) as source:
+        rest = [F.col(c).desc_nulls_last() for c in table.schema.names if c not in table.key]
+        rows = first_per(conform(source, table), table.key, rest or [F.lit(0)])
+        if table_exists(spark, path, table.schema):
+            current = read_table(spark, table, path)
+            if table.partition:
+                current = _touched(current, rows, table.partition)
+            untouched = current.join(rows.select(*table.key), table.key, "left_anti")
+            rows = untouched.unionByName(rows)
+        rows = conform(rows, table)
+        if not table.partition:
+            rows = rows.withColumn(_WHOLE, F.lit(0))
         # rebalancing splits a day too large for one file and joins small ones
-        rows.hint("rebalance", table.partition).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(table.partition).parquet(path)
-        return
-    if exists:
-        # a plain directory cannot be read and replaced at once, so go through the shared folder
-        rows = conform(stored(rows, table.name), table)
-    rows.hint("rebalance").write.mode("overwrite").parquet(path)
+        rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def read_table(spark: SparkSession, table: FeatureTable, path: str) -> DataFrame:
+    """A stored table in its own columns."""
+    return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)
 
 
 def _touched(current: DataFrame, rows: DataFrame, partition: str) -> DataFrame:
-    """Current rows in the partitions of the incoming ones, pruned before the scan."""
-    parts = rows.select(partition).distinct()
-    listed = [r[0] for r in parts.limit(_LISTED_PARTITIONS + 1).collect()]
-    if len(listed) <= _LISTED_PARTITIONS:
-        return current.where(F.col(partition).isin(listed))
+    """Current rows in the partitions of the incoming ones.
+
+    The bounds prune directories before the scan, and the join those between them.
+    """
     low, high = rows.agg(F.min(partition), F.max(partition)).first()
+    parts = rows.select(partition).distinct()
     return current.where(F.col(partition).between(low, high)).join(parts, partition, "left_semi")
 
 

@@ -86,7 +86,7 @@ def feature_table(
         rows = rows.where(F.col("event_time") < F.lit(str(until)).cast("timestamp_ntz"))
         if table.partition:
             rows = rows.where(F.col(table.partition) <= str(until)[:10])
-    return rows.select(*columns) if columns else rows
+    return rows.select(*(columns or table.schema.names))
 
 
 def table_exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:

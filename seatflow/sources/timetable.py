@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +18,33 @@ from seatflow.schemas import DATED_TRIPS_CSV, ROUTES_CSV, STOP_TIMES_CSV, TRIPS_
 _ORDER = ["_file", "_block", "_row"]
 
 
+def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files by their first line: a row per file, held by the driver as any file listing is."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    first = lines.where("_block = 0").groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
+    files: dict[str, list[str]] = {}
+    for row in first.orderBy("_file").toLocalIterator():
+        files.setdefault(row.header.strip("\ufeff\r"), []).append(unquote(row._file))
+    return files
+
+
 def read_text_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV columns picked by header name, since their order is free; blank or absent is ''.
 
-    `_file`, `_block` and `_row` keep the order of the lines for last-one-wins rules.
+    Each file is read by its own header, files with the same one together. `_file`, `_block` and
+    `_row` keep the order of the lines for last-one-wins rules.
     """
-    lines = spark.read.option("header", True).option("escape", '"').csv(path)
+    parts = [_read_alike(spark, files, schema) for files in _headers(spark, path).values()]
+    if not parts:
+        return spark.createDataFrame([], ", ".join([f"{f.name} string" for f in schema.fields] + ["_file string", "_block long", "_row long"]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_alike(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    lines = spark.read.option("header", True).option("escape", '"').csv(files)
     columns = [
         (F.coalesce(F.col(f.name), F.lit("")) if f.name in lines.columns else F.lit("")).alias(f.name)
         for f in schema.fields
@@ -52,8 +75,12 @@ def only_trips(rows: DataFrame, trips: DataFrame | None) -> DataFrame:
 
 
 def stop_times(raw: DataFrame, trips: DataFrame | None = None) -> DataFrame:
-    """(trip_id, arrival_time, stop_sequence) of the wanted trips."""
-    rows = raw.select("trip_id", "arrival_time", F.col("stop_sequence").cast("int").alias("stop_sequence"))
+    """(trip_id, arrival_time, stop_sequence, stop_row) of the wanted trips.
+
+    The sequence is NULL where it is blank or no number; `stop_row` is the order of the lines.
+    """
+    sequence = F.col("stop_sequence").try_cast("int").alias("stop_sequence")
+    rows = raw.select("trip_id", "arrival_time", sequence, F.col("_row").alias("stop_row"))
     return only_trips(rows, trips)
 
 

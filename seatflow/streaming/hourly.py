@@ -22,15 +22,15 @@ from seatflow.schemas import (
     FeatureTable,
     record,
 )
-from seatflow.sinks.tables import upsert
+from seatflow.sinks.tables import read_table, upsert
 
 HOUR_COUNTS = FeatureTable(
     name="hour_counts",
     schema=record(
-        ("text", "utc_date"), ("big", "utc_hour"), ("text", "route_id"), ("int", "direction_id"),
+        ("text", "utc_date"), ("big", "utc_hour"), ("text", "route_id"), ("int", "direction_id"), ("text", "run"),
         ("big", " ".join(COUNT_COLUMNS)),
     ),
-    key=["utc_date", "utc_hour", "route_id", "direction_id"],
+    key=["utc_date", "utc_hour", "route_id", "direction_id", "run"],
     partition="utc_date",
 )
 
@@ -50,16 +50,24 @@ def hourly_counts(sightings: DataFrame, lateness: str = f"{LOOKBACK_DAYS} days")
     )
 
 
-def upsert_counts(counts: DataFrame, path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Write changed hours to the counts table; replaying a batch changes nothing."""
-    writer = counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+def upsert_counts(
+    counts: DataFrame, path: str, checkpoint: str, available_now: bool = False, run: str | None = None
+) -> StreamingQuery:
+    """Write changed hours to the counts table; replaying a batch changes nothing.
+
+    What a stream has counted is kept under its `run`, by default its checkpoint, and reading adds the
+    runs up. So a stream with a new checkpoint over new files adds to what is there. It must not read
+    files again that another run has read.
+    """
+    writer = counts.withColumn("run", F.lit(run or checkpoint)).writeStream.outputMode("update")
+    writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.foreachBatch(lambda batch, _: upsert(batch, HOUR_COUNTS, path))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def read_hours(spark: SparkSession, path: str, zone: str = LOCAL_ZONE) -> DataFrame:
-    """The hourly traffic rows of a counts table, by local hour."""
-    counts = spark.read.schema(HOUR_COUNTS.schema).parquet(path)
+    """The hourly traffic rows of a counts table, all runs together, by local hour."""
+    counts = read_table(spark, HOUR_COUNTS, path)
     clock = local_clock(utc_clock("utc_hour"), zone)
     local = counts.withColumns({"date": F.to_date(clock), "hour": F.hour(clock)})
     return summarise(merge_counts(local, HOURLY_KEY)).select(*TRAFFIC_COLUMNS)

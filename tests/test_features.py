@@ -83,7 +83,28 @@ def test_calendar(spark):
     extra = {r.date: r.is_holiday_se for r in calendar_between(spark, "2023-12-24", "2023-12-31", include_sundays=True, include_eves=True).collect()}
     assert extra["2023-12-24"] and extra["2023-12-31"] and not extra["2023-12-30"]
     rows = spark.createDataFrame([(datetime(2024, 6, 6, 12),)], "day timestamp_ntz")
-    assert calendar_features(rows, 2024, 2024, column="day").first().day == "2024-06-06"
+    assert calendar_features(rows, column="day").first().day == "2024-06-06"
+
+
+def test_holidays_of_any_year(spark):
+    """The flag of a day agrees with the list of its year, without any years being named."""
+    days = spark.sql("select explode(sequence(date'1900-01-01', date'2100-12-31')) as date")
+    for eves in (False, True):
+        listed = {r.date.isoformat() for r in holidays(spark, 1900, 2100, include_eves=eves).collect()}
+        assert {r.date for r in calendar_features(days, include_eves=eves).where("is_holiday_se").collect()} == listed
+    empty = spark.createDataFrame([(None,)], "date string")
+    assert calendar_features(empty).first().is_holiday_se is False
+
+
+def test_repeated_hours_of_a_day(spark):
+    """All rows of an hour stay, and a previous one is a row that existed, in both forms."""
+    rows = [("2024-01-01", 5, 7.0, 0.0, 1.0, 10), ("2024-01-01", 5, 3.0, 9.0, 1.0, 10), ("2024-01-02", 5, 1.0, 1.0, 1.0, 1), ("2024-01-02", 5, 2.0, 1.0, 1.0, 1)]
+    df = spark.createDataFrame(rows, "date string, hour int, temperature_2m double, precipitation double, windspeed_10m double, cloudcover int")
+    kept = lambda f: sorted((str(r.date), r.temperature_2m, r.prev_temperature_2m, r.prev_precipitation) for r in f(df).collect())
+    assert kept(with_previous_day)[2:] == [("2024-01-02", 1.0, 7.0, 0.0), ("2024-01-02", 2.0, 7.0, 0.0)]
+    assert [x[:2] for x in kept(with_previous_day)[:2]] == [("2024-01-01", 3.0), ("2024-01-01", 7.0)]
+    key = lambda x: str(x)
+    assert sorted(kept(with_previous_day), key=key) == sorted(kept(with_previous_day_framed), key=key)
 
 
 def test_easter_and_moving_holidays(spark):
@@ -120,6 +141,23 @@ def test_timetable_texts(spark, tmp_path):
         ("r1", "5", 'Öst, "Torget" - Väst'), ("r2", "", "")]
 
 
+def test_files_with_other_headers_and_stops_without_numbers(spark, tmp_path):
+    (tmp_path / "trips").mkdir()
+    write(tmp_path / "trips", "a.txt", "trip_id,route_id,direction_id\nA,r1,1\n")
+    write(tmp_path / "trips", "b.txt", "route_id,direction_id,trip_id\nr2,0,B\nr9,1,A\n")
+    write(tmp_path / "trips", "c d.txt", "\ufefftrip_id,route_id\nC,r3\n")
+    got = sorted(tuple(r) for r in timetable.read_trip_routes(spark, str(tmp_path / "trips")).collect())
+    assert got == [("A", "r9", 1), ("B", "r2", 0), ("C", "r3", 0)]
+    times = write(tmp_path, "times.txt", "trip_id,arrival_time,stop_sequence\n" + "\n".join([
+        "t1,09:00:00,2", "t1,08:00:00,1", "t2,07:00:00,", "t2,11:00:00,x", "t3,06:00:00,9", "t3,05:00:00,", "t3,04:00:00,1"]) + "\n")
+    bare = write(tmp_path, "bare.txt", "trip_id,arrival_time\nt4,10:00:00\nt4,12:30:00\n")
+    stops = timetable.read_stop_times(spark, times).unionByName(timetable.read_stop_times(spark, bare))
+    hours = {r.trip_id: (r.first_hour, r.last_hour) for r in schedule.trip_hours(stops).collect()}
+    assert hours == {"t1": (8, 9), "t2": (7, 11), "t3": (6, 4), "t4": (10, 12)}
+    bounds = {r.trip_id: (int(r.first_arrival[:2]), int(r.last_arrival[:2])) for r in schedule.trip_bounds(stops).collect()}
+    assert bounds == hours
+
+
 STOPS = "trip_id string, arrival_time string, stop_sequence int"
 
 
@@ -231,26 +269,28 @@ def test_spans(spark):
     df = spark.createDataFrame([(t, t[:10]) for t in times], "t string, date string").withColumn("event_time", F.col("t").cast("timestamp_ntz"))
     count = lambda how: joins.in_span(df, "2024-01-01", "2024-01-02", how).count()
     assert (count("day"), count("instant"), count("none")) == (3, 2, 1)
+    noon = lambda how: joins.in_span(df, "2023-12-31 23:59:59", "2024-01-02 12:00:00", how).count()
+    assert (noon("day"), noon("instant"), noon("none")) == (4, 3, 3)
     train, test = joins.temporal_split(df, ("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-03"))
     assert (train.count(), test.count()) == (1, 3)
 
 
-@pytest.mark.parametrize("unit", ["hour", "day", "month"])
-def test_as_of_against_a_search(spark, unit):
+def test_as_of_against_a_search(spark):
     rng = random.Random(11)
     base = datetime(2024, 1, 1)
     moment = lambda: base + timedelta(minutes=rng.randrange(0, 60 * 24 * 6, 10))
     # key 0 holds most rows, key 3 has no right rows, NULL keys match nothing
-    left = [(i, rng.choice([0, 0, 0, 1, 2, 3, None]), moment()) for i in range(600)]
-    right = [(rng.choice([0, 0, 0, 1, 2, None]), moment(), n) for n in range(300)]
+    # and so do NULL times on either side
+    left = [(i, rng.choice([0, 0, 0, 1, 2, 3, None]), None if i % 40 == 0 else moment()) for i in range(600)]
+    right = [(rng.choice([0, 0, 0, 1, 2, None]), None if n % 30 == 0 else moment(), n) for n in range(300)]
     got = joins.as_of(
         spark.createDataFrame(left, "id int, k int, t timestamp_ntz"), spark.createDataFrame(right, "k int, rt timestamp_ntz, n int"),
-        ["k"], "t", "rt", ["n"], tie=["n"], slice_unit=unit)
+        ["k"], "t", "rt", ["n"], tie=["n"])
     found = {r.id: r.n for r in got.collect()}
     assert len(found) == 600 == got.count()
     for i, k, t in left:
-        series = sorted((rt, n) for rk, rt, n in right if rk == k and k is not None)
-        place = bisect.bisect_right(series, (t, 10**9))
+        series = sorted((rt, n) for rk, rt, n in right if rk == k and k is not None and rt is not None)
+        place = bisect.bisect_right(series, (t, 10**9)) if t else 0
         assert found[i] == (series[place - 1][1] if place else None)
 
 

@@ -173,11 +173,11 @@ def test_backfill_export_train_score_publish(spark, tmp_path):
     assert rows.where("prev_cloudcover is null or weekday is null").count() == 0
     assert ingest.export_past(spark, house, "2025-01-01", str(tmp_path / "none")) == 0
 
-    small = {"n_estimators": 2, "max_depth": 2, "num_leaves": 7, "min_child_samples": 1, "learning_rate": 0.1}
+    small = {"rounds": 2, "depth": 2, "leaf_rows": 1, "step": 0.1}
     for kind, label in training.LABELS.items():
         view = feature_view(*[house.read(spark, t) for t in (TRAFFIC, CALENDAR, WEATHER)], label)
         training.make_split(view, str(tmp_path / kind), 1, ("2024-01-01", "2024-01-20"), ("2024-01-21", "2024-01-31"))
-        done = training.train(spark, str(tmp_path / kind), 1, kind, str(tmp_path / "models" / kind), [small, {**small, "max_depth": 1}], 2)
+        done = training.train(spark, str(tmp_path / kind), 1, kind, str(tmp_path / "models" / kind), [small, {**small, "depth": 1}], 2)
         assert done.trials.count() == 2 and done.metrics.count() == 1
     models = [training.PipelineModel.load(str(tmp_path / "models" / kind / "pipeline")) for kind in training.LABELS]
 
@@ -242,8 +242,8 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
         spark.createDataFrame(rows[n::3], SEEN).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
     path = str(tmp_path / "counts")
     expected = sorted(tuple(r) for r in hourly_occupancy(spark.createDataFrame(rows, SEEN)).collect())
-    for n in range(2):
-        drip(spark, tmp_path / "feed", str(tmp_path / f"checkpoint{n}"), path, "100 days")
+    for _ in range(2):
+        drip(spark, tmp_path / "feed", str(tmp_path / "checkpoint"), path, "100 days")
         assert sorted(tuple(r) for r in read_hours(spark, path).collect()) == expected
     # both UTC hours of the repeated local hour are in the same row
     local = [r for r in expected if (str(r[0]), r[1]) == ("2024-10-27", 2)]
@@ -251,6 +251,12 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, tmp_path):
     assert sum(r[4] for r in local) == sum(1 for r in rows if r[0] - r[0] % 3600 in utc_hours)
     keys = spark.read.schema(HOUR_COUNTS.schema).parquet(path)
     assert keys.count() == keys.select(*HOUR_COUNTS.key).distinct().count()
+    # a stream with a checkpoint of its own over new files of the same hours adds to them
+    more = [(r[0], r[1], r[2], SCORED_STATUSES[0]) for r in rows[:50]]
+    spark.createDataFrame(more, SEEN).coalesce(1).write.parquet(str(tmp_path / "later"))
+    drip(spark, tmp_path / "later", str(tmp_path / "other"), path, "100 days")
+    both = sorted(tuple(r) for r in hourly_occupancy(spark.createDataFrame(rows + more, SEEN)).collect())
+    assert sorted(tuple(r) for r in read_hours(spark, path).collect()) == both
 
 
 def test_late_sightings_are_dropped(spark, tmp_path):

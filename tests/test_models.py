@@ -101,16 +101,23 @@ def test_text_literals_are_quoted(spark):
 
 
 def test_draws_repeat_and_stay_in_the_grid():
-    for grid in (learning.REGRESSOR_GRID, learning.CLASSIFIER_GRID):
+    for grid in (learning.REGRESSOR_GRID, learning.CLASSIFIER_GRID, learning.FOREST_GRID):
         drawn = learning.draw_parameters(grid)
         assert len(drawn) == 30 and drawn == learning.draw_parameters(grid)
         assert all(setting[name] in values for setting in drawn for name, values in grid.items())
-        assert all(0 < x <= 1 for name in ("subsample", "colsample_bytree") for x in grid[name])
-    options = learning.mllib_parameters({"max_depth": -1, "num_leaves": 31, "n_estimators": 300})
-    assert options["maxDepth"] == 5 and options["rounds"] == 300
+        assert all(0 < x <= 1 for name in ("row_share", "feature_share") for x in grid[name])
+        for setting in drawn:  # nothing that is drawn is bent or left out
+            options = learning.mllib_parameters(setting, steps="step" in grid)
+            assert len(options) == len(setting) and options["maxDepth"] == setting["depth"]
+    for refused in ({"depth": 31}, {"num_leaves": 31}, {"reg_alpha": 0.1}):
+        with pytest.raises(ValueError):
+            learning.mllib_parameters(refused, steps=True)
+    with pytest.raises(ValueError):
+        learning.mllib_parameters({"step": 0.1}, steps=False)
 
 
-SMALL = {"n_estimators": 3, "max_depth": 3, "num_leaves": 7, "min_child_samples": 1, "learning_rate": 0.3}
+FOREST = {"rounds": 3, "depth": 3, "leaf_rows": 1}
+SMALL = {**FOREST, "step": 0.3}
 
 
 @pytest.fixture(scope="module")
@@ -128,14 +135,16 @@ def rows(spark):
 
 def test_search_and_scoring(spark, rows, tmp_path):
     sample = temporal_cut(rows, ["t"], fraction=0.5)
-    trials, best = learning.search(sample, "label", "regressor", [SMALL, {**SMALL, "max_depth": 1}], at_once=2)
+    trials, best = learning.search(sample, "label", "regressor", [SMALL, {**SMALL, "depth": 1}], at_once=2)
     scores = {r.trial: r.score for r in trials.collect()}
-    assert len(scores) == 2 and best["max_depth"] == (3 if scores[0] <= scores[1] else 1)
-    _, chosen = learning.search(sample, "label", "classifier", [SMALL], at_once=1)
-    assert chosen == SMALL
+    assert len(scores) == 2 and best["depth"] == (3 if scores[0] <= scores[1] else 1)
+    _, chosen = learning.search(sample, "label", "classifier", [FOREST], at_once=1)
+    assert chosen == FOREST
+    _, chosen = learning.search(sample.where("t < 60"), "label", "classifier", [{**SMALL, "rounds": 1}], boosted=True)
+    assert chosen == {**SMALL, "rounds": 1}
     average = learning.fit_regressor(rows, "label", SMALL)
-    classes = learning.fit_classifier(rows, "label", SMALL)
-    boosted = learning.fit_classifier(rows.where("t < 120"), "label", {**SMALL, "n_estimators": 1}, boosted=True)
+    classes = learning.fit_classifier(rows, "label", FOREST)
+    boosted = learning.fit_classifier(rows.where("t < 120"), "label", {**SMALL, "rounds": 1}, boosted=True)
     inputs = rows.select(*ALL_FEATURES)
     scored = learning.predict(inputs, average, classes)
     assert scored.columns == [*ALL_FEATURES, "pred_avg", "pred_max"]

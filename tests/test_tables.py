@@ -45,8 +45,7 @@ def test_upsert_replaces_by_key_and_can_be_repeated(spark, tmp_path):
     assert dict(source.feature_table(spark, TRAFFIC, path).dtypes)["n_obs"] == "smallint"
 
 
-def test_upsert_over_more_days_than_are_listed(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "_LISTED_PARTITIONS", 2)
+def test_upsert_of_every_other_day(spark, tmp_path):
     path = str(tmp_path / "traffic")
     days = [f"2024-01-{d:02d}" for d in range(1, 9)]
     tables.upsert(typed(spark, *[(d, 1, "a", 1.0) for d in days]), TRAFFIC, path)
@@ -61,9 +60,30 @@ def test_unpartitioned_upsert_and_comments(spark, tmp_path):
         "is_workday_se": F.lit(True), "event_time": F.col("date").cast("timestamp_ntz")})
     tables.upsert(rows(("2024-01-01", 9), ("2024-01-02", 1)), CALENDAR, path)
     tables.upsert(rows(("2024-01-01", 1), ("2024-01-03", 1)), CALENDAR, path)
-    stored = spark.read.parquet(path)
-    assert sorted((r.date, r.month) for r in stored.collect()) == [("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 1)]
-    assert {f.name: f.metadata["comment"] for f in stored.schema.fields} == CALENDAR.comments
+    assert sorted((r.date, r.month) for r in tables.read_table(spark, CALENDAR, path).collect()) == [("2024-01-01", 1), ("2024-01-02", 1), ("2024-01-03", 1)]
+    assert source.feature_table(spark, CALENDAR, path).columns == CALENDAR.schema.names
+    assert {f.name: f.metadata["comment"] for f in spark.read.parquet(path).schema.fields if f.metadata} == CALENDAR.comments
+
+
+def test_failed_upsert_leaves_the_table(spark, tmp_path):
+    path = str(tmp_path / "calendar")
+    rows = lambda day, month: spark.createDataFrame([(day, month)], "date string, month int").withColumns({
+        "weekday": F.lit("Monday"), "is_weekend": F.lit(False), "is_holiday_se": F.lit(False),
+        "is_workday_se": F.lit(True), "event_time": F.col("date").cast("timestamp_ntz")})
+    tables.upsert(rows("2024-01-01", 1), CALENDAR, path)
+    broken = rows("2024-01-02", 2).withColumn("is_weekend", F.raise_error(F.lit("broken")).cast("boolean"))
+    with pytest.raises(Exception, match="broken"):
+        tables.upsert(broken, CALENDAR, path)
+    assert [r.date for r in tables.read_table(spark, CALENDAR, path).collect()] == ["2024-01-01"]
+
+
+def test_repeated_keys_of_one_batch_leave_one_row(spark, tmp_path):
+    path = str(tmp_path / "traffic")
+    tables.upsert(typed(spark, ("2024-01-01", 1, "a", 1.0), ("2024-01-01", 1, "a", 3.0), ("2024-01-01", 1, "a", 2.0)), TRAFFIC, path)
+    assert content(spark, path) == [("2024-01-01", 1, "a", 3.0)]
+
+
+def test_comments(spark):
     assert all(f.metadata["comment"] for f in TRAFFIC.described().fields)
 
 

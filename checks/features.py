@@ -24,6 +24,7 @@ from seatflow.functions.scores import (
     mean_prediction,
 )
 from seatflow.operators.joins import (
+    add_absent_features,
     as_of,
     feature_view,
     fill_weather,
@@ -34,7 +35,7 @@ from seatflow.operators.joins import (
 )
 from seatflow.operators.ordering import temporal_cut
 from seatflow.operators.quality import check
-from seatflow.operators.weather import future_weather, with_previous_day_framed
+from seatflow.operators.weather import from_day, future_weather, with_previous_day, with_previous_day_framed
 from seatflow.schemas import ALL_FEATURES, WEATHER_FEATURES
 from seatflow.sources.weather import read_weather
 from seatflow.runtime import fresh_path
@@ -159,6 +160,20 @@ def asof_feature(spark, folder):
     return found.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+@case("absent_features", f"""WITH {SQL_FEATURES} SELECT date, hour, route_id, direction_id, month, 0 AS cloudcover, 0 AS prev_cloudcover FROM features""")
+def absent_features(spark, folder):
+    """A frame without two of the feature columns gets them as 0."""
+    rows = feature_join(spark, folder).drop("cloudcover", "prev_cloudcover")
+    return add_absent_features(rows).select("date", "hour", "route_id", "direction_id", "month", "cloudcover", "prev_cloudcover")
+
+
+@case("weather_from_day", f"""WITH {b.SQL_WEATHER}
+SELECT date, CAST(hour AS TINYINT) AS hour, {WEATHER_NAMES} FROM prev_weather WHERE date >= '2024-01-09'""")
+def weather_from_day(spark, folder):
+    """Previous-day columns over all days, then without the days before the first wanted one."""
+    return weather_types(from_day(with_previous_day(b.raw_weather(spark, folder)), "2024-01-09"))
+
+
 @case("temporal_split_counts", f"""WITH {b.SQL_HOURLY}
 SELECT CASE WHEN date <= '2024-01-20' THEN 'train' ELSE 'test' END AS part, count(*) AS n_rows,
   CAST(sum(n_obs) AS BIGINT) AS n_obs FROM hourly

@@ -37,7 +37,7 @@ from seatflow.plans.scoring import publish, score_future, score_past
 from seatflow.plans.training import make_split, train
 from seatflow.runtime import fresh_path, stored
 from seatflow.schemas import CALENDAR, TRAFFIC, WEATHER, WEATHER_FEATURES
-from seatflow.sinks.reports import append_failures, save_dates
+from seatflow.sinks.reports import append_failures, save_dashboard, save_dates
 from seatflow.sinks.tables import save_hourly, upsert
 from seatflow.sources.snapshots import with_path_clock
 from seatflow.sources.tables import (
@@ -123,6 +123,19 @@ def dashboard_doc(spark, folder):
     return flat_documents(route_documents(cells(spark, folder), _names(spark, folder)))
 
 
+@case("published_document", f"""WITH {SQL_CELLS}
+SELECT coalesce(CAST(n_nationkey AS VARCHAR), '') AS short_name, coalesce(n_name, '') AS long_name, c.*
+FROM cells c LEFT JOIN nation ON n_nationkey < 23 AND CAST(n_nationkey AS VARCHAR) = c.route_id""")
+def published_document(spark, folder):
+    """The document as written: its route lines, each without the comma before it, read as JSON again."""
+    path = fresh_path(spark, "dashboard")
+    save_dashboard(route_documents(cells(spark, folder), _names(spark, folder)), path, "2024-01-20T08:00:00Z")
+    line = F.regexp_replace("value", "^,", "")
+    lines = spark.read.text(path).where(line.startswith('"')).select(F.concat(F.lit("{"), line, F.lit("}")).alias("text"))
+    kind = f"map<string, {' '.join(DOCUMENT.split())}>"
+    return flat_documents(lines.select(F.explode(F.from_json("text", kind)).alias("route_id", "document")))
+
+
 def _sql_text(column: str) -> str:
     """One decimal, exact binary halves up."""
     return f"""coalesce(CASE WHEN {column} * 4 = floor({column} * 4) AND CAST({column} * 4 AS BIGINT) % 2 = 1
@@ -264,6 +277,13 @@ def job_export(spark, folder):
     return past_export(spark, path)
 
 
+@case("export_count", f"WITH {b.SQL_HOURLY} SELECT CAST(count(*) AS BIGINT) AS n_rows FROM hourly WHERE date >= '2024-01-05'")
+def export_count(spark, folder):
+    """The number of rows that the export reports."""
+    n = export_past(spark, warehouse(spark, folder), "2024-01-05", fresh_path(spark, "export"))
+    return spark.createDataFrame([(n,)], "n_rows long")
+
+
 SQL_DECODED = f"""{b.SQL_OBS}, {SQL_SAMPLE.format(source='obs', k=30)}, {b.sql_usable('sampled')},
 {b.SQL_RESOLVED}, {b.sql_hourly('resolved', where='CAST(local_ts AS DATE) = CAST(utc AS DATE)')}"""
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatflow.functions.clock import local_clock, month_tag, utc_clock
-from seatflow.functions.scores import exact_mean, status_name
+from seatflow.functions.scores import exact_mean, score_of, status_name
 from seatflow.schemas import (
     COUNT_COLUMNS,
     IGNORED_STATUSES,
@@ -123,16 +123,25 @@ def hourly_occupancy(
 def counts_by_trip(sightings: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     """Status counts per local hour, month, trip and feed route of each archive day, before any join.
 
-    Rows that stand for unreadable files pass through with their `error` and no counts.
+    Local hours are numbered from the epoch and statuses from 0, so that a row is grouped and counted
+    by whole numbers; hour and month are worked out on the counts. Rows that stand for unreadable files
+    pass through with their `error` and no counts.
     """
-    rows = local_hours(sightings, zone)
+    clock = local_clock(utc_clock("ts"), zone)
+    number = F.unix_date(F.to_date("_clock")) * 24 + F.hour("_clock")
+    rows = sightings.withColumn("_clock", clock).withColumns({"_hour": number, "_score": score_of(F.col("occupancy"))})
     failed = F.col("error").isNotNull()
-    rows = rows.where(failed | ((F.col("date") == F.col("archive_date")) & F.col("occupancy").isin(SCORED_STATUSES)))
+    own_day = F.floor(F.col("_hour") / 24) == F.unix_date("archive_date")
+    rows = rows.where(failed | (own_day & F.col("_score").isNotNull()))
     key = [
-        "archive_date", F.when(~failed, F.col("hour")).alias("hour"), month_tag("archive_date").alias("month"),
+        "archive_date", F.when(~failed, F.col("_hour")).alias("_hour"),
         F.coalesce("trip_id", F.lit("")).alias("trip_id"), F.coalesce("route_id", F.lit("")).alias("route_id"), "error",
     ]
-    return rows.groupBy(*key).agg(*status_counts())
+    counts = rows.groupBy(*key).agg(*[F.count_if(F.col("_score") == n).alias(c) for n, c in enumerate(COUNT_COLUMNS)])
+    return counts.select(
+        "archive_date", (F.col("_hour") % 24).cast("int").alias("hour"), month_tag("archive_date").alias("month"),
+        "trip_id", "route_id", "error", *COUNT_COLUMNS,
+    )
 
 
 def resolve_counts(counts: DataFrame, trips: DataFrame) -> DataFrame:

@@ -135,11 +135,25 @@ def temporal_cut(
     fraction: float = TUNE_FRACTION,
     train_fraction: float = TUNE_TRAIN_FRACTION,
 ) -> DataFrame:
-    """The first `fraction` of the rows in time order, marked `train` or `validation` in `part`."""
-    numbered = ranked(rows, order)
+    """The first `fraction` of the rows in time order, marked `train` or `validation` in `part`.
+
+    Only the columns of `order`, a total order, are ranked; the rows themselves are then filtered by the two keys
+    at which the parts end.
+    """
+    kinds = dict(rows.dtypes)
+    keys = ranked(rows.select(*order), order)
     sample = F.floor(F.col("group_size") * F.lit(fraction))
-    part = F.when(F.col("rank") < F.floor(sample * F.lit(train_fraction)), "train").otherwise("validation")
-    return numbered.where(F.col("rank") < sample).withColumn("part", part).drop("rank", "group_size")
+    last, first = sample - 1, F.floor(sample * F.lit(train_fraction))
+    cuts = keys.where((F.col("rank") == last) | (F.col("rank") == first)).select(
+        (F.col("rank") == last).alias("_last"), (F.col("rank") == first).alias("_first"), *[F.col(c).cast("string") for c in order])
+    cuts = cuts.collect()  # two rows at most
+    here = F.struct(*order)
+    at = lambda flag: next((F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in order]) for r in cuts if r[flag]), None)
+    end, middle = at("_last"), at("_first")
+    if end is None:
+        return rows.where(F.lit(False)).withColumn("part", F.lit("train"))
+    part = F.lit("train") if middle is None else F.when(here < middle, "train").otherwise("validation")
+    return rows.where(here <= end).withColumn("part", part)
 
 
 def by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -53,8 +53,7 @@ def union_parquets(spark: SparkSession, paths: Sequence[str], schema: T.StructTy
         F.regexp_replace(_plain_path(F.col("_metadata.file_path")), _SCHEME, "").alias("_path"),
         F.col("_metadata.row_index").alias("_row_seq"),
     )
-    # one row per listed file, so its size is that of the argument
-    return rows.join(F.broadcast(order), "_path", "left").select(*columns, "_file_seq", "_row_seq")
+    return rows.join(order, "_path", "left").select(*columns, "_file_seq", "_row_seq")
 
 
 def traffic_parquets(

@@ -39,7 +39,7 @@ from seatflow.runtime import fresh_path, stored
 from seatflow.schemas import CALENDAR, TRAFFIC, WEATHER, WEATHER_FEATURES
 from seatflow.sinks.reports import append_failures, save_dashboard, save_dates
 from seatflow.sinks.tables import save_hourly, upsert
-from seatflow.sources.snapshots import with_path_clock
+from seatflow.sources.snapshots import landed, with_path_clock
 from seatflow.sources.tables import (
     feature_table,
     has_rows,
@@ -301,6 +301,18 @@ def job_decode(spark, folder):
     return b.with_text_date(spark.read.parquet(out))
 
 
+@case("job_decode_landed", f"WITH {SQL_DECODED} SELECT {b.HOURLY_NAMES} FROM hourly")
+def job_decode_landed(spark, folder):
+    """The same files as a landed table by day, from which sampling and decoding read."""
+    out, table = fresh_path(spark, "decoded"), fresh_path(spark, "landed")
+    with_path_clock(b.encoded_snapshots(spark, folder)).write.partitionBy("date").parquet(table)
+    archive = landed(spark, table)
+    days = b.table(spark, folder, "events").select(F.to_date("ts").alias("date")).distinct()
+    listing = archive.select("path", "date", "hour")
+    decode_history(listing, archive_reader(archive), b.trip_map(spark, folder), days, out, fresh_path(spark, "failures"))
+    return b.with_text_date(spark.read.parquet(out))
+
+
 @case("job_features", f"WITH {SQL_DECODED} SELECT {b.sql_typed()} FROM hourly")
 def job_features(spark, folder):
     place = Warehouse(fresh_path(spark, "daily"))

@@ -55,8 +55,13 @@ def file_reader(spark: SparkSession) -> Reader:
 
 
 def archive_reader(archive: DataFrame) -> Reader:
-    """Decode sampled snapshots kept as (path, content) rows of a table."""
-    return lambda chosen: decode_snapshots(archive.join(chosen.select("path"), "path", "left_semi"))
+    """Decode sampled snapshots kept as (path, content) rows of a table, by day if it has a `date`."""
+    key = ["path", "date"] if "date" in archive.columns else ["path"]
+
+    def read(chosen: DataFrame) -> DataFrame:
+        return decode_snapshots(archive.join(chosen.select(*key), key, "left_semi"))
+
+    return read
 
 
 def hours_of_dates(

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from datetime import date
+from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,9 @@ _MESSAGES = {
 }
 
 
+LANDED = "path string, content binary, hour int, date date"
+
+
 def path_hour(path: str | Column) -> Column:
     """Hour directory of `.../YYYY/MM/DD/HH/<file>.pb`, NULL when it is not a number."""
     return F.element_at(F.split(path, "/"), -2).try_cast("int")
@@ -36,10 +42,47 @@ def with_path_clock(paths: DataFrame) -> DataFrame:
     return paths.withColumns({"date": path_date("path"), "hour": path_hour("path")})
 
 
-def list_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """(path, date, hour) of every `*.pb` below root. Only `path` is read, no file contents."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return with_path_clock(files.option("pathGlobFilter", "*.pb").load(root).select("path"))
+def _files(spark: SparkSession, root: str, days: Sequence[str | date] | None) -> DataFrame | None:
+    """The `*.pb` files below root, or below the folders of `days` that are there."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pb")
+    if days is None:
+        return reader.load(root)
+    found = []
+    for day in days:
+        try:
+            found.append(reader.load(f"{root.rstrip('/')}/{str(day).replace('-', '/')}"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reduce(DataFrame.union, found) if found else None
+
+
+def list_snapshots(spark: SparkSession, root: str, days: Sequence[str | date] | None = None) -> DataFrame:
+    """(path, date, hour) of every `*.pb` below root, or of the given days only.
+
+    Only `path` is read, no file contents, and with `days` no other day's folder is listed.
+    """
+    files = _files(spark, root, days)
+    paths = spark.createDataFrame([], "path string") if files is None else files.select("path")
+    return with_path_clock(paths)
+
+
+def land_snapshots(spark: SparkSession, root: str, days: Sequence[str | date], table: str) -> None:
+    """Copy the files of some days into a (path, content, hour) table by day, one folder a time.
+
+    After that nothing depends on the number of files: sampling reads the table's paths, and decoding reads the
+    contents that are wanted, on the executors and of the wanted days alone. A day that is landed again replaces itself.
+    """
+    for day in days:
+        files = _files(spark, root, [day])
+        if files is not None:
+            rows = with_path_clock(files.select("path", "content")).where(F.col("date") == F.lit(str(day)).cast("date"))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(table)
+
+
+def landed(spark: SparkSession, table: str) -> DataFrame:
+    """The (path, content, hour, date) rows of such a table."""
+    return spark.read.schema(LANDED).parquet(table)
 
 
 def snapshots_by_hour(listing: DataFrame) -> DataFrame:
@@ -56,7 +99,8 @@ def read_chosen(spark: SparkSession, chosen: DataFrame) -> DataFrame:
     """Decoded vehicles of the sampled files, and of no other file.
 
     A join cannot keep the file source from opening the files it drops, so the names go to the
-    reader, whose file index lives on the driver anyway. They come one partition at a time.
+    reader, whose file index lives on the driver anyway. They come one partition at a time. For long
+    histories land the days first (`land_snapshots`) and read the table.
     """
     names = [row.path for row in stored(chosen.select("path"), "chosen").toLocalIterator()]
     if not names:

@@ -14,7 +14,7 @@ from seatflow.plans import ingest, scoring, training
 from seatflow.operators.joins import feature_view
 from seatflow.schemas import CALENDAR, PAST_COLUMNS, SCORED_STATUSES, TRAFFIC, WEATHER
 from seatflow.sinks.tables import save_hourly
-from seatflow.sources.snapshots import list_snapshots
+from seatflow.sources.snapshots import land_snapshots, landed, list_snapshots
 from seatflow.sources.tables import past_export
 from seatflow.streaming.hourly import HOUR_COUNTS, hourly_counts, read_hours, upsert_counts
 from test_occupancy import feed, utc
@@ -145,6 +145,28 @@ def test_decode_job(spark, tmp_path):
     assert [r.date for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["2024-01-06"]
 
 
+def test_decode_job_over_landed_days(spark, tmp_path, plan_of):
+    """Days are landed by folder, read from the table, and nothing of other days is opened."""
+    days = [date(2024, 1, d) for d in (4, 5, 6, 7)]
+    for day in days[:3]:
+        snapshots(tmp_path / "feed", day)
+    (tmp_path / "feed/2024/01/06/06/0.pb").write_bytes(b"\xff\xff broken")
+    table = str(tmp_path / "landed")
+    for _ in range(2):
+        land_snapshots(spark, str(tmp_path / "feed"), days, table)
+    archive = landed(spark, table)
+    assert archive.count() == 24 and list_snapshots(spark, str(tmp_path / "feed"), days[1:]).count() == 16
+    assert list_snapshots(spark, str(tmp_path / "feed"), days[3:]).count() == 0
+    wanted = spark.createDataFrame([("2024-01-05",), ("2024-01-06",)], "date string")
+    listing, reader = archive.select("path", "date", "hour"), ingest.archive_reader(archive)
+    ingest.decode_history(listing, reader, trip_map(spark, "2024-01"), wanted, str(tmp_path / "out"), str(tmp_path / "bad"))
+    rows = spark.read.parquet(str(tmp_path / "out"))
+    assert rows.agg(F.sum("n_obs")).first()[0] == 32 and {str(r.date) for r in rows.collect()} == {"2024-01-05"}
+    assert [(r.date, r.stage) for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == [("2024-01-06", "decode")]
+    plan = plan_of(reader(listing.where("date = '2024-01-05'")))
+    assert "content" in plan and "PartitionFilters: [isnotnull(date" in plan
+
+
 def house_with_history(spark, tmp_path, days=30):
     rng = random.Random(1)
     start = utc("2024-01-01T00:00:00")

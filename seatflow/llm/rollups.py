@@ -30,6 +30,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seatflow.runtime import stored
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the vocabulary's texts are cut into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -116,7 +118,7 @@ class Rollup:
             return False
         doc_id = dict(changes.dtypes)["doc_id"]
         key = ["doc_id", "version"]
-        change = changes.groupBy(*key).agg(F.max(F.struct("op", "tokens", "source", "lang")).alias("new"))
+        change = stored(changes.groupBy(*key).agg(F.max(F.struct("op", "tokens", "source", "lang")).alias("new")), "changes")
         same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["version"].eqNullSafe(b["version"])
         earlier = self._read("signed", self._signed(doc_id), commits)
         named = earlier.alias("e").join(change.alias("c"), same(earlier, change), "left_semi")

@@ -43,6 +43,8 @@ OVERLAP = 4
 FEW = 16
 CLASSES = 256
 COUNTERS = 20
+#: Holders of one shingle that one task may get; beyond that they are dealt to several.
+ENTRIES_PER_TASK = 2_000_000
 MEMBERS_PER_TASK = 512
 VECTORS_PER_TASK = 4096
 PIVOTS = 8
@@ -111,14 +113,16 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.nulls(1, names[0].type), *[pa.nulls(1, f.type) for f in names[1:-1]], pa.array([packed], pa.binary())], schema=pa.schema(names))
 
 
-def _levels(profiles: DataFrame) -> np.ndarray:
-    """How frequent the shingles of each counter are, as small numbers; 0 where nothing stands out."""
+def _frequencies(profiles: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
+    """How frequent the shingles of each counter are, as small numbers, 0 where nothing stands out; and
+    the counters whose shingles may have too many holders for a task, with the tasks that they need."""
     total = np.zeros(1 << COUNTERS, np.int64)
     for row in profiles.where("counters IS NOT NULL").select("counters").toLocalIterator():  # a row of fixed size per task
         total += np.frombuffer(zstandard.ZstdDecompressor().decompress(bytes(row[0])), np.int64)
     usual = float(np.median(total))
     over = np.maximum(0, total - usual) / (3 * np.sqrt(max(usual, 1)))
-    return np.minimum(np.floor(np.log2(1 + over)), 255).astype(np.uint8)
+    hot = np.flatnonzero(total > ENTRIES_PER_TASK)
+    return np.minimum(np.floor(np.log2(1 + over)), 255).astype(np.uint8), {int(i): int(-(-total[i] // ENTRIES_PER_TASK)) for i in hot}
 
 
 def _firsts(found: np.ndarray, edges: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +138,11 @@ def _firsts(found: np.ndarray, edges: np.ndarray, levels: np.ndarray) -> tuple[n
     return (np.concatenate(out) if out else np.zeros(0, np.int64)), length
 
 
-def _holders(rows: pd.DataFrame, range_: int) -> pd.DataFrame:
-    """Pairs, and regions of more than `FEW`, among the holders of each shingle of one range."""
+def _holders(rows: pd.DataFrame, dealt: bool) -> pd.DataFrame:
+    """Pairs, and regions of more than `FEW`, among the holders of each shingle of one range.
+
+    Where the holders of a shingle are `dealt` to several tasks, all of them are members of its region.
+    """
     load = lambda c, kind: np.concatenate([np.frombuffer(b, kind) for b in rows[c]])
     shingle, key, n = load("shingles", np.uint64), load("keys", np.int64), load("sizes", np.uint32).astype(np.int64)
     order = np.lexsort((key, n, shingle))
@@ -143,6 +150,8 @@ def _holders(rows: pd.DataFrame, range_: int) -> pd.DataFrame:
     fresh = np.ones(len(key), bool)
     fresh[1:] = (shingle[1:] != shingle[:-1]) | (key[1:] != key[:-1])
     shingle, key, n = shingle[fresh], key[fresh], n[fresh]
+    if dealt:
+        return pd.DataFrame({"region": words_of.mixed(shingle ^ _SALT).view(np.int64), "a": key, "b": 0, "need": 0, "shared": 0})
     begins = np.ones(len(key), bool)
     begins[1:] = (shingle[1:] != shingle[:-1]) | (100 * n[:-1] < PERCENT * n[1:])
     start = np.flatnonzero(begins)
@@ -274,7 +283,8 @@ def profiles(docs: DataFrame) -> DataFrame:
 def candidates(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(a, b) keys of points whose vectors are near: enough to connect every pair of linked points."""
     spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(_levels(found))
+    levels, hot = _frequencies(found)
+    levels, hot = spark.sparkContext.broadcast(levels), spark.sparkContext.broadcast(hot)
     points = found.where("key IS NOT NULL")
     total = points.agg(F.sum("n")).first()[0] or 0
     bits = max(8, int(total * (100 - PERCENT) / 100 / 2e6).bit_length())  # ranges of about two million entries
@@ -284,7 +294,10 @@ def candidates(docs: DataFrame, found: DataFrame) -> DataFrame:
 
         def flush() -> Iterator[pa.RecordBatch]:
             shingle, key, n = (np.concatenate(c) for c in zip(*held, strict=True))
-            at = (shingle >> np.uint64(64 - bits)).astype(np.int64)
+            at = (shingle >> np.uint64(64 - bits)).astype(np.int64) << 32  # the range, and the deal of a hot shingle
+            counter = (shingle >> np.uint64(64 - COUNTERS)).astype(np.int64)
+            for i in np.flatnonzero(np.isin(counter, list(hot.value))):
+                at[i] += 1 + int(words_of.mixed(key[i : i + 1].view(np.uint64))[0] % np.uint64(hot.value[int(counter[i])]))
             order = np.argsort(at, kind="stable")
             ranges, first = np.unique(at[order], return_index=True)
             cut = lambda x, kind: pa.array([p.astype(kind).tobytes() for p in np.split(x[order], first[1:])], pa.binary())
@@ -312,7 +325,7 @@ def candidates(docs: DataFrame, found: DataFrame) -> DataFrame:
 
     entries = docs.select("text").mapInArrow(first_shingles, "range long, shingles binary, keys binary, sizes binary")
     met = entries.groupBy("range").applyInPandas(
-        lambda key, rows: _holders(rows, key[0]), "region long, a long, b long, need int, shared long")
+        lambda key, rows: _holders(rows, key[0] & 0xFFFFFFFF > 0), "region long, a long, b long, need int, shared long")
     met = stored(met, "holders")
     vectors = stored(points.groupBy("key").agg(F.min("vector").alias("vector")), "vectors")
     pairs = met.where("region = 0").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"))
@@ -329,50 +342,98 @@ def candidates(docs: DataFrame, found: DataFrame) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(keep))
 
     pairs = pairs.select("a", "b", "_a", "_b").mapInArrow(near, "a long, b long")
-    regions = met.where("region <> 0").select("region", F.col("a").alias("key")).distinct()
-    cells = in_cells(regions, "region", VECTORS_PER_TASK).join(vectors, "key")
+    regions = stored(met.where("region <> 0").select("region", F.col("a").alias("key")).distinct(), "regions")
+    sizes = stored(regions.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "region-sizes")
+    members = regions.join(sizes, "region").join(vectors, "key")
 
     def around(rows: pd.DataFrame) -> pd.DataFrame:
         key = rows["key"].to_numpy(np.int64)
         return pd.DataFrame({"a": key, "b": key[_near_vectors(rows)]}).query("a != b")
 
-    return pairs.union(cells.groupBy("region", "i", "j").applyInPandas(around, "a long, b long"))
+    small = members.where(F.col("size") <= VECTORS_PER_TASK)
+    pairs = pairs.union(small.groupBy("region").applyInPandas(around, "a long, b long"))
+    if sizes.where(F.col("size") > VECTORS_PER_TASK).isEmpty():
+        return pairs
+    large = members.where(F.col("size") > VECTORS_PER_TASK).withColumnRenamed("vector", "point")
+
+    def measure(points: list[bytes], pivots: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        x, y = (v.astype(np.int64) for v in np.split(_stacked([*points, *pivots]), [len(points)]))
+        common = np.stack([np.minimum(x, p).sum(1) for p in y], 1)
+        return common, x.sum(1)[:, None] + y.sum(1)
+
+    to_pivots, open_ = _around_pivots(large, "region", VECTORS_PER_TASK, measure, regions=False)
+    cells = in_cells(open_, "region", VECTORS_PER_TASK).join(vectors, "key")
+    return pairs.union(to_pivots).union(cells.groupBy("region", "i", "j").applyInPandas(around, "a long, b long"))
+
+
+def _around_pivots(members: DataFrame, by: str, limit: int, measure, regions: bool) -> tuple[DataFrame, DataFrame]:
+    """(links to pivots, (`by`, key, open)) for groups of any size; `members` has `by`, key, point and size.
+
+    Points are dealt in chunks, each of which gets its group's pivots. A point near the pivot that most are
+    near to is settled: all such are connected through it. Only the others, `open`, need meet everyone, and with
+    `regions` only in the Voronoi regions that the triangle inequality leaves them.
+    """
+    place = F.row_number().over(Window.partitionBy(by).orderBy(F.xxhash64(F.lit(1), "key")))
+    pivots = members.withColumn("_place", place).where(F.col("_place") <= PIVOTS)
+    chunks = F.ceil(F.col("size") / limit).cast("int")
+    pivots = pivots.select(F.col(by).alias("g"), F.col("_place").alias("q"), F.col("key").alias("pivot"), F.col("point").alias("set"),
+                           F.explode(F.sequence(F.lit(0), chunks - 1)).alias("c"))
+    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks).cast("int"))
+
+    def assign(key, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(own):
+            return pd.DataFrame({c: [] for c in ("g", "key", "q", "near", "pivot")}).astype("int64")
+        own = own.sort_values("q")
+        common, both = measure(rows["point"].tolist(), own["set"].tolist())
+        away = 1.0 - common / np.maximum(both - common, 1)
+        near = 100 * common >= PERCENT * (both - common)
+        at, q = np.nonzero(near | (away <= away.min(1, keepdims=True) + 2 * RADIUS + 1e-9))
+        return pd.DataFrame({
+            "g": rows[by].iloc[0], "key": rows["key"].to_numpy()[at], "q": q, "near": near[at, q].astype(np.int64),
+            "pivot": own["pivot"].to_numpy()[q]})
+
+    rows = stored(dealt.groupBy(by, "chunk").cogroup(pivots.groupBy("g", "c")).applyInPandas(
+        assign, "g long, key long, q long, near long, pivot long"), "around-pivots")
+    to_pivots = rows.where("near = 1 AND key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    busiest = rows.where("near = 1").groupBy("g", "q").agg(F.count(F.lit(1)).alias("n"))
+    busiest = busiest.groupBy("g").agg(F.max_by("q", F.struct("n", "q")).alias("best"))
+    settled = rows.where("near = 1").join(busiest, "g").where("q = best").select("g", "key").distinct()
+    named = rows.select("g", F.xxhash64("g", "q").alias(by), "key") if regions else rows.select("g", F.col("g").alias(by), "key").distinct()
+    named = named.join(settled.withColumn("_settled", F.lit(True)), ["g", "key"], "left")
+    return to_pivots, named.select(by, "key", F.col("_settled").isNull().alias("open"))
 
 
-def in_cells(members: DataFrame, by: str, limit: int, some: str | None = None) -> DataFrame:
-    """Members of each group with cells (i, j) of at most about `limit` rows in which every two of them meet.
+def in_cells(members: DataFrame, by: str, limit: int) -> DataFrame:
+    """Members of groups with cells (i, j) of at most about `limit` rows, in which any two meet of which one is `open`.
 
-    A group within the limit is one cell. A larger one is cut into blocks, and each pair of blocks is a cell; with `some`, a
-    boolean column, only pairs with at least one such member need meet.
+    Blocks of open members (i) meet blocks of all (j); a group without open members has no cells.
     """
-    sizes = members.groupBy(by).agg(F.count(F.lit(1)).alias("_size"))
-    blocks = F.when(F.col("_size") <= limit, 1).otherwise(F.ceil(F.col("_size") * 2 / limit)).cast("int")
-    sizes = sizes.select(F.col(by).alias("_by"), blocks.alias("_blocks"))
-    cut = members.join(sizes, F.col(by) == F.col("_by")).drop("_by")
-    cut = cut.withColumn("_block", F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
-    cut = cut.withColumn("_other", others)
-    if some:  # blocks of such members (i) meet blocks of all (j)
-        here = F.array(F.struct(F.lit(0).alias("side"), F.col("_other").alias("i"), F.col("_block").alias("j")))
-        there = F.array(F.struct(F.lit(1).alias("side"), F.col("_block").alias("i"), F.col("_other").alias("j")))
-        both = F.when(F.col(some), F.concat(here, there)).otherwise(here)
-        cut = cut.withColumn("_cell", F.explode(both))
-        return cut.select(*members.columns, "_cell.i", "_cell.j").distinct()
-    return cut.select(*members.columns, F.least("_block", "_other").alias("i"), F.greatest("_block", "_other").alias("j"))
-
-
-def links(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b) keys that connect the exact components of the points."""
+    sizes = members.groupBy(by).agg(F.count(F.lit(1)).alias("_all"), F.count_if("open").alias("_open"))
+    blocks = lambda n: F.ceil(F.col(n) * 2 / limit).cast("int")
+    sizes = sizes.where("_open > 0").select(F.col(by).alias("_by"), blocks("_open").alias("_is"), blocks("_all").alias("_js"))
+    own = lambda n: F.pmod(F.xxhash64("key"), F.col(n)).cast("int")
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    there = F.transform(each("_is"), lambda i: cell(i, own("_js")))
+    here = F.transform(each("_js"), lambda j: cell(own("_is"), j))
+    cut = members.join(sizes, F.col(by) == F.col("_by"))
+    cut = cut.withColumn("_cell", F.explode(F.when(F.col("open"), F.array_union(there, here)).otherwise(there)))
+    return cut.select(by, "key", "_cell.i", "_cell.j").distinct()
+
+
+def labels(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, label) of the points that link with others, a label being one key of the exact component."""
     groups = components(candidates(docs, found)).select(F.col("label").alias("group"), F.col("v").alias("key"))
     sets = stored(_sets(docs, found, groups), "sets")
     members = groups.join(sets, "key")
     sizes = stored(groups.groupBy("group").agg(F.count(F.lit(1)).alias("size")), "group-sizes")
     small = members.join(sizes.where(F.col("size") <= MEMBERS_PER_TASK), "group")
-    out = small.groupBy("group").applyInPandas(_connected, "a long, b long")
+    out = small.groupBy("group").applyInPandas(_connected, "a long, b long").select(F.col("a").alias("key"), F.col("b").alias("label"))
     large = sizes.where(F.col("size") > MEMBERS_PER_TASK)
     if large.isEmpty():
         return out
-    return out.union(_large(members.join(large, "group")))
+    joined_up = components(_large(members.join(large, "group")))
+    return out.union(joined_up.select(F.col("v").alias("key"), "label"))
 
 
 def _sets(docs: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
@@ -411,49 +472,24 @@ def _sets(docs: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def _large(members: DataFrame) -> DataFrame:
-    """Links within groups of any size: one level of Voronoi regions, then cells of blocks.
+    """Links within groups of any size: one level of Voronoi regions, then cells of blocks."""
 
-    A point that links with its group's first pivot is settled; only the others need meet everyone in
-    their regions.
-    """
-    place = F.row_number().over(Window.partitionBy("group").orderBy(F.xxhash64(F.lit(1), "key")))
-    pivots = members.withColumn("_place", place).where(F.col("_place") <= PIVOTS)
-    chunks = F.ceil(F.col("size") / MEMBERS_PER_TASK).cast("int")
-    pivots = pivots.select(F.col("group").alias("g"), F.col("_place").alias("q"), F.col("key").alias("pivot"), F.col("shingles").alias("set"),
-                           F.explode(F.sequence(F.lit(0), chunks - 1)).alias("c"))
-    dealt = members.withColumn("chunk", F.pmod(F.xxhash64("key"), chunks).cast("int"))
-
-    def assign(key, rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        if not len(rows) or not len(own):
-            return pd.DataFrame({"group": [], "q": [], "key": [], "settled": [], "pivot": []}).astype("int64")
-        own = own.sort_values("q")
-        points = Points([np.frombuffer(b, np.uint64) for b in [*rows["shingles"], *own["set"]]])
-        n = len(rows)
-        common = np.stack([points.common(n + i, np.arange(n)) for i in range(len(own))], 1)
-        away = distance(common, points.n[:n, None], points.n[None, n:])
-        near = linked(common, points.n[:n, None], points.n[None, n:])
-        at, q = np.nonzero(away <= away.min(1, keepdims=True) + 2 * RADIUS + 1e-9)
-        return pd.DataFrame({
-            "group": rows["group"].iloc[0], "q": q, "key": rows["key"].to_numpy()[at],
-            "settled": near[at, 0].astype(np.int64), "pivot": np.where(near[at, q], own["pivot"].to_numpy()[q], rows["key"].to_numpy()[at]),
-        })
+    def measure(points: list[bytes], pivots: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        own = Points([np.frombuffer(b, np.uint64) for b in [*points, *pivots]])
+        n = len(points)
+        common = np.stack([own.common(n + i, np.arange(n)) for i in range(len(pivots))], 1)
+        return common, own.n[:n, None] + own.n[n:]
 
-    regions = dealt.groupBy("group", "chunk").cogroup(pivots.groupBy("g", "c")).applyInPandas(
-        assign, "group long, q long, key long, settled long, pivot long")
-    regions = stored(regions, "regions")
-    to_pivots = regions.where("key <> pivot").select(F.col("key").alias("a"), F.col("pivot").alias("b"))
-    named = regions.select(F.xxhash64("group", "q").alias("region"), "key", (F.col("settled") == 0).alias("open"))
-    cells = in_cells(named, "region", MEMBERS_PER_TASK, some="open")
-    cells = cells.join(members.select("key", "shingles"), "key")
-    return to_pivots.union(cells.groupBy("region", "i", "j").applyInPandas(_connected, "a long, b long"))
+    to_pivots, open_ = _around_pivots(members.withColumnRenamed("shingles", "point"), "group", MEMBERS_PER_TASK, measure, regions=True)
+    cells = in_cells(open_, "group", MEMBERS_PER_TASK).join(members.select("key", "shingles"), "key")
+    return to_pivots.union(cells.groupBy("group", "i", "j").applyInPandas(_connected, "a long, b long"))
 
 
 def joined(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document, with its row and label for those who look it up."""
     found = profiles(docs)
     rows = found.where("counters IS NULL").select("doc_id", "row", F.col("n").alias("n_shingles"), "key")
-    labels = components(links(docs, found)).withColumnRenamed("v", "key")
-    rows = rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+    rows = rows.join(labels(docs, found), "key", "left").withColumn("label", F.coalesce("label", "key"))
     ids = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     rows = rows.join(ids, "label", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))

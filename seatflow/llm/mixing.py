@@ -21,7 +21,7 @@ from seatflow.runtime import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST_COPIES = 3
-ROWS_PER_SLICE = 4096
+ROWS_PER_SLICE = 256
 
 
 def word_count(text: Column) -> Column:

@@ -12,7 +12,7 @@ from checks import bindings as b
 from checks.features import PAST_NAMES, SQL_FEATURES
 from checks.models import models
 from checks.occupancy import SQL_SAMPLE
-from checks.registry import case
+from checks.registry import case, memo
 from checks.timetable import route_hours
 from seatflow.functions.scores import mean_prediction
 from seatflow.operators.joins import feature_view, missing_dates
@@ -229,7 +229,7 @@ def text_sinks(spark, folder):
 
 # --- jobs -------------------------------------------------------------------------------------
 
-_WAREHOUSES: dict[tuple, Warehouse] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = memo()
 
 
 def warehouse(spark, folder) -> Warehouse:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import bindings as b
 from checks.features import SQL_FEATURES, feature_join
-from checks.registry import case
+from checks.registry import case, memo
 from seatflow.functions.scores import class_weight, sample_weight
 from seatflow.operators.joins import past_rows
 from seatflow.operators.learning import (
@@ -179,7 +179,7 @@ def best(spark, folder):
 
 FOREST = {"rounds": 4, "depth": 4, "leaf_rows": 5}
 SMALL = {**FOREST, "step": 0.1}
-_MODELS: dict[tuple, object] = {}
+_MODELS: dict[tuple, object] = memo()
 
 
 def models(spark, folder):

@@ -20,6 +20,21 @@ class Case:
 CASES: dict[str, Case] = {}
 
 
+_MEMOS: list[dict] = []
+
+
+def memo() -> dict:
+    """Where queries keep what they share in a session; `forget` empties it."""
+    _MEMOS.append({})
+    return _MEMOS[-1]
+
+
+def forget() -> None:
+    """Make the next run of every query do its whole work again."""
+    for kept in _MEMOS:
+        kept.clear()
+
+
 def case(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query; without SQL only its rows can be counted."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import bindings as b
-from checks.registry import case
+from checks.registry import case, memo
 from seatflow.functions.casts import schedule_types
 from seatflow.functions.clock import leading_hour
 from seatflow.operators.joins import add_absent_features, fill_weather, schedule_rows
@@ -93,7 +93,7 @@ def listing(spark, folder):
     return route_listing(names_from_schedule(known, fresh))
 
 
-_FOLDERS: dict[tuple, str] = {}
+_FOLDERS: dict[tuple, str] = memo()
 
 
 def timetable_folder(spark, folder, trips, messy: bool):

@@ -32,7 +32,9 @@ from seatflow.plans.ingest import (
     decode_history,
     existing_dates,
     export_past,
+    insert,
 )
+from seatflow.operators.quality import QualityError, require_counts
 from seatflow.plans.scoring import publish, score_future, score_past
 from seatflow.plans.training import make_split, train
 from seatflow.runtime import fresh_path, stored
@@ -284,6 +286,28 @@ def export_count(spark, folder):
     return spark.createDataFrame([(n,)], "n_rows long")
 
 
+@case("quarantined_rows", f"""WITH {b.SQL_HOURLY}
+SELECT 'kept' AS what, count(*) AS n FROM hourly
+UNION ALL SELECT 'quarantined', count(*) FROM hourly WHERE route_id = '3' AND hour + 20 > 23
+UNION ALL SELECT 'stopped', CAST(count(*) > 0 AS BIGINT) FROM hourly WHERE route_id = '3'""")
+def quarantined_rows(spark, folder):
+    """Rows that break a rule are written and copied aside; counts that do not add up stop a strict load."""
+    three = F.col("route_id") == "3"
+    rows = stored(b.typed_hourly(spark, folder).withColumn("hour", F.when(three, F.col("hour") + 20).otherwise(F.col("hour")).cast("tinyint")), "altered")
+    place = Warehouse(fresh_path(spark, "checked"))
+    insert(rows, TRAFFIC, place)
+    try:
+        require_counts(rows.withColumn("n_obs", F.when(three, F.col("n_obs") + 1).otherwise(F.col("n_obs"))), "fail")
+        stopped = 0
+    except QualityError:
+        stopped = 1
+    counts = [("kept", place.read(spark, TRAFFIC)), ("quarantined", spark.read.schema(TRAFFIC.schema).parquet(place.quarantine(TRAFFIC)))]
+    out = spark.createDataFrame([("stopped", stopped)], "what string, n long")
+    for what, kept in counts:
+        out = out.unionByName(kept.agg(F.lit(what).alias("what"), F.count("*").alias("n")))
+    return out
+
+
 SQL_DECODED = f"""{b.SQL_OBS}, {SQL_SAMPLE.format(source='obs', k=30)}, {b.sql_usable('sampled')},
 {b.SQL_RESOLVED}, {b.sql_hourly('resolved', where='CAST(local_ts AS DATE) = CAST(utc AS DATE)')}"""
 

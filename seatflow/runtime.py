@@ -13,7 +13,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def local_session(cores: str = "*", app: str = "seatflow") -> SparkSession:
-    """A single-machine session for tests and the bench; a cluster brings its own."""
+    """A single-machine session for tests and the bench, with a shared folder of its own; a cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -23,6 +23,7 @@ def local_session(cores: str = "*", app: str = "seatflow") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="seatflow-"))
         .getOrCreate()
     )
 

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructField, StructType
 
 from seatflow.llm import text as words_of
 from seatflow.llm.files import mapped, ship
@@ -229,7 +229,7 @@ def _judge(array: SuffixArray, items: Items) -> tuple:
 def judged(docs: DataFrame, benchmark: DataFrame, keep_clean: bool = False) -> DataFrame:
     """`docs` with words, hit words and items; with `keep_clean` only clean rows and no new columns."""
     items = items_of(benchmark)
-    kinds = _parse_datatype_string(_RESULTS)
+    kinds = StructType.fromDDL(_RESULTS)
     if not keep_clean:
         docs = docs.drop(*kinds.names)
     schema = docs.schema if keep_clean else StructType([*docs.schema.fields, *[StructField(f.name, f.dataType) for f in kinds]])

@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructField, StructType
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 200
@@ -312,7 +312,7 @@ _RESULTS = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 stri
 
 def found(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with counts of the base, its digest, and all spans as `kind:start:end`."""
-    kinds = _parse_datatype_string(_RESULTS)
+    kinds = StructType.fromDDL(_RESULTS)
     docs = docs.drop(*kinds.names)
     schema = StructType([*docs.schema.fields, *[StructField(f.name, f.dataType) for f in kinds]])
     at, shared = docs.columns.index("text"), docs.sparkSession.sparkContext.broadcast(model)

@@ -7,7 +7,8 @@ decoded by Viterbi. Labelled pages are made from a bounded sample of pages: thei
 layouts drawn at random whose parts are known to be article, menu, header, footer, sidebar, notice, advert, form or comment.
 
 NULL and empty pages give an empty text. Script, style and similar elements, comments and tags
-that never close hide what follows them up to the end of the page, as in a browser. Any nesting depth works: a tag's
+that never close hide what follows them up to the end of the page, as in a browser. A '<' that begins no tag is text; texts
+of formulas are read, those of datalists are not. Any nesting depth works: a tag's
 features are handed down once. White space is what Python's `str.split` takes for it. Repeated pages are read one by one; columns of the
 table named `text` or `n_chars` are replaced, all others are kept.
 """
@@ -30,11 +31,15 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 SAMPLE_PAGES = 300
 LABELLED_PAGES = 400
 
-HIDDEN = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg math select option".split())
+HIDDEN = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg select".split())
+#: Elements whose texts are not shown, but whose end other tags may imply.
+UNSEEN = frozenset("datalist annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike "
-    "strong sub sup time tt u var wbr br img input button".split())
+    "strong sub sup time tt u var wbr br img input button "
+    "math semantics annotation annotation-xml mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced "
+    "menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction".split())
 _TOLD = frozenset(
     "html body article main section nav header footer aside form ul ol li dl table td p h1 h2 h3 h4 blockquote pre figure "
     "figcaption button a div fieldset details address".split())
@@ -50,6 +55,9 @@ _MEANS = {word: group for group, words in {
     "more": "related recommended share sharing social more popular trending tags meta byline links",
     "main": "article content post entry story main body text page-content maincontent",
 }.items() for word in words.split()}
+#: A '<' that begins markup; any other is text.
+_MARKUP = re.compile(r"<(?:[a-zA-Z!?]|/.)", re.S)
+_BEGINS = re.compile(r"</?[a-zA-Z]")
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -79,7 +87,7 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, frozenset]] = []
     parts: list[str] = []
-    linked, links, start, above = 0, 0, 0, frozenset()
+    linked, links, unseen, start, above = 0, 0, 0, 0, frozenset()
     here = above
 
     def close() -> None:
@@ -94,12 +102,9 @@ def blocks(page: str) -> list[Block]:
     i, n = 0, len(page)
     open_count: dict[str, int] = {}
     while i < n:
-        j = page.find("<", i)
-        if j < 0:
-            j = n
-        elif not page[j + 1 : j + 2].isalpha() and page[j + 1 : j + 2] not in ("/", "!", "?"):
-            j = page.find("<", j + 1) if page.find("<", j + 1) >= 0 else n  # a plain sign
-        if j > i:
+        sign = _MARKUP.search(page, i)
+        j = sign.start() if sign else n
+        if j > i and not unseen:
             if not parts:
                 start, here = i, stack[-1][1] if stack else above
             parts.append(page[i:j])
@@ -111,7 +116,7 @@ def blocks(page: str) -> list[Block]:
             k = page.find("-->", j + 4)
             i = n if k < 0 else k + 3
             continue
-        if page[j + 1] in "!?" or (page[j + 1] == "/" and not page[j + 2 : j + 3].isalpha()):
+        if not _BEGINS.match(page, j):
             k = page.find(">", j)
             i = n if k < 0 else k + 1
             continue
@@ -129,11 +134,12 @@ def blocks(page: str) -> list[Block]:
                     name, _ = stack.pop()
                     open_count[name] -= 1
                     links -= name == "a"
+                    unseen -= name in UNSEEN
                     if name == tag:
                         break
             continue
         if tag in HIDDEN:
-            if m[2].endswith("/") and tag in ("svg", "math"):
+            if m[2].endswith("/") and tag == "svg":
                 continue
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, i)
             i = n if not end else end.end()
@@ -148,11 +154,13 @@ def blocks(page: str) -> list[Block]:
                 for name, _ in stack[depth:]:
                     open_count[name] -= 1
                     links -= name == "a"
+                    unseen -= name in UNSEEN
                 del stack[depth:]
         names = " ".join(a or b or c for a, b, c in _NAMES.findall(m[2])) if "=" in m[2] else ""
         stack.append((tag, _handed(stack[-1][1] if stack else above, tag, names)))
         open_count[tag] = open_count.get(tag, 0) + 1
         links += tag == "a"
+        unseen += tag in UNSEEN
     close()
     return out
 

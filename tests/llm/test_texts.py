@@ -51,6 +51,18 @@ def test_markup_that_is_odd():
     assert text("<p>one<p>two<li>three</ul>four") == ["one", "two", "three", "four"]
 
 
+def test_plain_signs_formulas_and_open_options_cut_nothing():
+    text = lambda page: [b.text for b in pages.blocks(page)]
+    assert text("<p>if 1 < 2 and 3 < 4</p><p>x << y</p><p><3 <3</p>end") == ["if 1 < 2 and 3 < 4", "x << y", "<3 <3", "end"]
+    assert text("a < b <") == ["a < b <"] and text("<") == ["<"] and text("a <<") == ["a <<"] and text("a </") == ["a </"]
+    assert text("a <é b <p>c") == ["a <é b", "c"] and text("a </é>b") == ["a b"]
+    assert text("<datalist><option>one<option>two</datalist><p>rest</p>") == ["rest"]
+    assert text("<form><datalist><option>one</form><p>rest") == ["rest"]
+    assert text("<p>so <math><mi>a</mi><mo>&lt;</mo><mn>2</mn></math> holds</p>") == ["so a<2 holds"]
+    assert text("<p><math><semantics><mi>x</mi><annotation>TeX</annotation></semantics></math> it is") == ["x it is"]
+    assert text("<p>one" + " <" * 100_000 + "</p>two")[1:] == ["two"]
+
+
 def test_pages_without_text(spark, field):
     schema = "page_id long, url string, html string, text int, n_chars string"
     rows = [(1, None, None, 1, "x"), (2, "u", "", 1, "x"), (3, "u", "<nav>menu</nav>", 1, "x"), (3, "u", "<nav>menu</nav>", 1, "x")]

@@ -146,6 +146,40 @@ def test_personal_data_columns_and_redaction(spark, finder):
     assert pii.found(docs.where("false"), finder).count() == 0 and pii.fit(docs.where("false"))
 
 
+WRITTEN_OUT = [
+    "jon.doe(at)example.org", "jon.doe [at] example.org", "jon{at}example.com", "jon [at] example [.] com", "jon at example dot com", "jon AT example DOT com",
+    "jon\u00a0at\u2003example\u00a0dot\u3000com", "jon\x0b@\x1cexample.com", "jon＠example.com", "jon<at>example<dot>com", "jon at example.com",
+]
+
+
+def test_addresses_in_texts_without_digits(spark, finder):
+    texts = [f"please mail {a} today" for a in WRITTEN_OUT]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.found(docs, finder).collect()}
+    clean = {r.doc_id: r.text for r in pii.redacted(docs, finder).collect()}
+    told = 0
+    for i, text in enumerate(texts):
+        base = pii.base_spans(text)
+        spans = pii.ordered(base + finder.added(text, base))
+        assert pii.candidates(text) and got[i] == ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert clean[i] == pii.redact(text, spans)
+        told += bool(spans)
+    assert got[0] and got[2] and told > len(texts) // 2
+
+
+def test_no_candidate_without_a_trace():
+    import pyarrow.compute as pc
+
+    rng = random.Random(6)
+    parts = ["jon", "ab", "x", " ", "\u00a0", "\x0b", "\x85", "\n", "(", ")", "[", "]", "{", "}", "<", ">", "at", "AT", "@", "＠", "dot", "DOT", ".", "-", ":", "é", "7"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(3, 14))) for _ in range(60_000)]
+    texts += ["jon" + "".join(rng.choice(part) for part in (
+        [" ", "\u2003", ""], "([{<", ["at", "@"], ")]}>", ["", "\x1c"], ["ab", "a-b"], [".", " dot ", "(dot)", "\u00a0DOT\x0b", "{ . }"], ["com", "org"])) for _ in range(2000)]
+    traced = pc.match_substring_regex(pa.array(texts), pii._TRACE).to_pylist()
+    held = [bool(pii.candidates(t) or pii.base_spans(t)) for t in texts]
+    assert sum(held) > 1000 and not [t for t, h, seen in zip(texts, held, traced, strict=True) if h and not seen]
+
+
 def test_toxicity_of_held_out_texts(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels.where(langid.fold(4) != 2))

@@ -1,7 +1,8 @@
 """Toxicity by compression distance: two zstandard dictionaries, one of toxic and one of ordinary text.
 
-Each dictionary holds what its class repeats and the other does not (by the likelihood ratio of document counts). A window,
-a word or a piece of a long one, is compressed with either dictionary; its advantage is how much
+Each dictionary holds what its class repeats and the other does not (by the likelihood ratio of document counts); all windows of the
+sample that pass go in, so the dictionaries grow with its vocabulary. A window, a word or a piece of a long one, or a few
+characters in a row of a script that sets no spaces, is compressed with either dictionary; its advantage is how much
 shorter the toxic dictionary makes it, as a part of what a window that this dictionary holds whole would gain. A text's largest advantages go into a
 logistic curve, fitted across parts of the sample, each measured with
 dictionaries made from the others, which turns them into a probability.
@@ -10,7 +11,7 @@ end of its input and stores a block that does not shrink as it is.
 
 NULL, empty and letterless texts have no windows and get the score of no advantage; without labelled
 rows of both classes all scores are the share of toxic ones (0 if none). Labels with a NULL id or mark are ignored, a
-repeated doc_id is toxic if any of its labels is, of texts that agree in two of their least word hashes one counts in the fit. Long texts are scored whole. Columns of the table named
+repeated doc_id is toxic if any of its labels is, of texts that agree in the least two hashes of four or more long words one counts in the fit. Long texts are scored whole. Columns of the table named
 `score` or `predicted` are replaced; all others are kept.
 """
 
@@ -33,6 +34,7 @@ from seatflow.runtime import stored
 THRESHOLD = 0.3
 #: Expected number of labelled documents of each class that the model is fitted on, at most.
 SAMPLE_PER_CLASS = 2000
+#: Size up to which a dictionary takes the smallest tables of the compressor; beyond it they grow.
 DICTIONARY_BYTES = 6144
 #: A word tells if it is so many times as common in toxic documents, and its likelihood ratio is one that
 #: chance gives to no word of the sample at this level.
@@ -42,6 +44,10 @@ _LETTERS = words_of.word_table([(0x00, 0x60), (0x7B, 0x7F)])
 #: A window that costs fewer bytes beyond the least than these tells little.
 LEAST_SAVED = 3
 _PIECE = 48
+#: Characters of a window in scripts without spaces: Thai to Lao, Burmese, Khmer, and radicals to ideographs, as ranges of the
+#: first three bytes of a character.
+GRAMS = (2, 4)
+_UNSPACED = [(0xE0B880, 0xE0BBBF), (0xE18080, 0xE1829F), (0xE19E80, 0xE19FBF), (0xE2BA80, 0xE9BFBF), (0xF0A080, 0xF0B3BF)]
 _BEFORE, _AFTER = b"<0123456789#ABCDEFGHIJKLMNOPQRS>", b'!"%&()*+,-./'
 #: Marks of a window's ends, shorter than the shortest match, so that a part of a word in the dictionary costs more than the whole.
 _FIRST, _LAST = b"\x01\x02\x03", b"\x04\x05\x06"
@@ -68,10 +74,11 @@ class Model:
     def lengths(self, windows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Compressed lengths with the ordinary and the toxic dictionary."""
         if not hasattr(self, "_pair"):
+            size = max(len(self.toxic), len(self.ordinary))
+            more = max(0, -(-size // DICTIONARY_BYTES) - 1).bit_length()
             how = zstandard.ZstdCompressionParameters(
-                window_log=14, hash_log=12, chain_log=12, search_log=4, min_match=4, target_length=64, strategy=zstandard.STRATEGY_BTOPT,
+                window_log=14 + more, hash_log=12 + more, chain_log=12 + more, search_log=4 + more, min_match=4, target_length=64, strategy=zstandard.STRATEGY_BTOPT,
                 write_content_size=0, write_checksum=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
-            size = max(len(self.toxic), len(self.ordinary))
             own = lambda body: zstandard.ZstdCompressionDict(
                 body.ljust(size) + _BEFORE + _AFTER, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self._pair = [zstandard.ZstdCompressor(dict_data=own(b), compression_params=how) for b in (self.ordinary, self.toxic)]
@@ -105,9 +112,7 @@ class Model:
     def features(self, texts: pa.Array) -> np.ndarray:
         """Per text: its largest advantage, and the mean of its three largest."""
         parts = []
-        for _, _, data, offsets in words_of.chunks(pc.utf8_lower(texts.cast(pa.large_string()))):
-            starts, ends, bounds = words_of.words(data, offsets, _LETTERS)
-            starts, ends, bounds = pieces(starts, ends, bounds)
+        for data, starts, ends, bounds in windows(texts):
             hashes = words_of.word_hashes(data, starts, ends)
             gain = self.advantages(hashes, lambda i: data[starts[i] : ends[i]].tobytes())  # noqa: B023
             out = np.zeros((len(bounds) - 1, 2))
@@ -136,6 +141,41 @@ def pieces(starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray) -> tuple[np
     return first, last, np.concatenate([[0], np.cumsum(times)])[bounds]
 
 
+def grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, word) of all runs of `GRAMS` characters within words whose script sets no spaces."""
+    none = np.zeros(0, np.int64)
+    lead = np.flatnonzero(data >= 0xE0)
+    lead = lead[lead + 2 < len(data)]
+    code = (data[lead].astype(np.int64) << 16) | (data[lead + 1].astype(np.int64) << 8) | data[lead + 2]
+    lead = lead[np.logical_or.reduce([(code >= a) & (code <= b) for a, b in _UNSPACED])]
+    if not len(lead):
+        return none, none, none
+    stop = lead + np.where(data[lead] >= 0xF0, 4, 3)
+    word = np.searchsorted(starts, lead, side="right") - 1
+    joined = np.concatenate([[False], (lead[1:] == stop[:-1]) & (word[1:] == word[:-1])])
+    run = np.cumsum(~joined)  # characters without a gap, in one word
+    found = []
+    for n in GRAMS:
+        k = np.flatnonzero(run[: len(run) - n + 1] == run[n - 1 :]) if len(run) >= n else none
+        found.append((lead[k], stop[k + n - 1] if len(k) else none, word[k]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def windows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, starts, ends, first window of each row and the total) of lower-cased texts, some rows at a time."""
+    for _, _, data, offsets in words_of.chunks(pc.utf8_lower(texts.cast(pa.large_string()))):
+        starts, ends, bounds = words_of.words(data, offsets, _LETTERS)
+        more, until, word = grams(data, starts, ends)
+        row = np.searchsorted(bounds, word, side="right") - 1
+        starts, ends, bounds = pieces(starts, ends, bounds)
+        if len(more):
+            rows = np.concatenate([np.repeat(np.arange(len(bounds) - 1), np.diff(bounds)), row])
+            order = np.argsort(rows, kind="stable")
+            starts, ends = np.concatenate([starts, more])[order], np.concatenate([ends, until])[order]
+            bounds = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(bounds) - 1))])
+        yield data, starts, ends, bounds
+
+
 def _design(features: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(features)), features])
 
@@ -153,13 +193,13 @@ def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.02, steps: int =
     return w
 
 
-def _body(words: list[str], limit: int) -> bytes:
-    """The words, the most telling last, as far as they fit."""
+def _body(words: list[bytes], limit: int | None = None) -> bytes:
+    """The words, the most telling last; with a limit, as far as they fit."""
     out, size = [], 0
     for word in words:
-        entry = _FIRST + word.encode() + _LAST
+        entry = _FIRST + word + _LAST
         size += len(entry)
-        if size > limit:
+        if limit is not None and size > limit:
             break
         out.append(entry)
     return b"".join(reversed(out))
@@ -174,10 +214,10 @@ def _dictionaries(held: DataFrame, size: dict[tuple[int, int], int], parts: tupl
     term = lambda c, n: F.col(c) * F.log(F.greatest(F.col(c), F.lit(0.5)) * (n1 + n0) / ((F.col("c1") + F.col("c0")) * n))
     held = held.where("c1 + c0 > 0").withColumn("ratio", 2 * (term("c1", n1) + term("c0", n0)))
     tells = (F.col("ratio") >= ratio) & (F.col("c1") / n1 >= LEAST_TIMES * (F.col("c0") + 0.5) / n0)
-    most = DICTIONARY_BYTES // 7  # entries that fit
-    toxic = _body([r.word for r in held.where(tells).orderBy(F.desc("ratio"), "word").limit(most).collect()], DICTIONARY_BYTES)
+    toxic = _body([bytes(r.word) for r in held.where(tells).orderBy(F.desc("ratio"), "word").collect()])
+    most = len(toxic) // 7 + 1  # entries that fit
     usual = held.where(~tells & (F.col("c1") / n1 <= 2 * F.col("c0") / n0)).orderBy(F.desc("c0"), "word").limit(most).collect()
-    return toxic, _body([r.word for r in usual], len(toxic))
+    return toxic, _body([bytes(r.word) for r in usual], len(toxic))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, seed: int = 0) -> Model:
@@ -191,15 +231,29 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, s
     share = F.when(F.col("toxic") == 1, F.lit(per_class / counts[1])).otherwise(F.lit(per_class / counts[0]))
     chosen = F.broadcast(marks.where(draw < share))  # about twice `per_class` rows
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z\x{80}-\x{10FFFF}]+"), F.lit(0))
-    least = lambda turn: F.array_min(F.transform(
-        F.filter("words", lambda w: F.length(w) > 8), lambda w: F.xxhash64(F.lit(turn), w)))
-    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id").withColumn("words", words)
+    long = F.array_distinct(F.filter("words", lambda w: F.length(w) > 8))
+    least = lambda turn: F.when(
+        F.size("long") >= 4, F.array_min(F.transform("long", lambda w: F.xxhash64(F.lit(turn), w))))  # fewer tell no copy
+    sample = docs.where("text IS NOT NULL").select("doc_id", "text").join(chosen, "doc_id").withColumn("words", words).withColumn("long", long)
     sample = sample.withColumns({f"_{t}": F.coalesce(least(t), F.xxhash64("text")) for t in (1, 2)})
-    sample = sample.dropDuplicates(["toxic", "_1", "_2"]).drop("_1", "_2")  # of near copies one counts
+    sample = sample.dropDuplicates(["toxic", "_1", "_2"]).drop("_1", "_2", "words", "long")  # of near copies one counts
     sample = stored(sample.withColumn("part", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(PARTS))), "toxicity-sample")
     rate = counts[1] / (counts[0] + counts[1])
     size = {(r.toxic, r.part): r.n for r in sample.groupBy("toxic", "part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    held = sample.select("toxic", "part", F.explode(F.array_distinct("words")).alias("word")).where(F.length("word") <= _PIECE // 4)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = 0
+            for data, starts, ends, bounds in windows(batch.column(0)):
+                whole, starts, ends = data.tobytes(), starts.tolist(), ends.tolist()
+                own = [{whole[starts[i] : ends[i]] for i in range(a, b)} for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                of = pa.array(np.repeat(np.arange(row, row + len(own)), [len(x) for x in own]), pa.int64())
+                words = pa.array([w for x in own for w in x], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(of), batch.column(2).take(of), words], ["toxic", "part", "word"])
+                row += len(own)
+
+    kinds = dict(sample.dtypes)
+    held = sample.select("text", "toxic", "part").mapInArrow(cut, f"toxic {kinds['toxic']}, part {kinds['part']}, word binary")
     held = stored(held.groupBy("word").agg(*[
         F.count_if((F.col("toxic") == c) & (F.col("part") == h)).alias(f"n{c}{h}") for c in (0, 1) for h in range(PARTS)]), "toxicity-words")
     ratio = 2 * np.log(max(2, held.count()) / LEVEL)

@@ -217,3 +217,48 @@ def test_long_words_become_windows():
     starts, ends, bounds = toxicity.pieces(np.array([0, 10]), np.array([5, 130]), np.array([0, 1, 2]))
     assert starts.tolist() == [0, 10, 58, 106] and ends.tolist() == [5, 58, 106, 130] and bounds.tolist() == [0, 1, 4]
     assert toxicity.Model(b"", b"").features(pa.array([None, ""], pa.string())).shape == (2, 2)
+
+
+def test_every_word_of_a_large_dictionary_is_found():
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(6, 24))).encode()
+    own, others = [word() for _ in range(4000)], [word() for _ in range(4000)]
+    model = toxicity.Model(toxicity._body(own), toxicity._body(others))
+    texts = pa.array([w.decode() for w in own])
+    assert len(model.toxic) > 10 * toxicity.DICTIONARY_BYTES
+    assert (model.features(texts)[:, 0] > 0.5).mean() > 0.99
+    assert (model.features(pa.array([w.decode() for w in others]))[:, 0] < 0.2).mean() > 0.99
+
+
+def marked(marks, rows, line):
+    """Documents of `line()` words, of which every second one has a mark."""
+    rng, out = random.Random(8), []
+    for i in range(rows):
+        words = line()
+        if i % 2:
+            words[rng.randrange(len(words))] = rng.choice(marks)
+        out.append(words)
+    return out
+
+
+def test_toxic_marks_of_any_length_and_script(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("aeioubcdfglmnprst") for _ in range(rng.randint(3, 8)))
+    signs = [chr(c) for c in range(0x4E00, 0x4F00)]
+    long = marked(["schwarzkopfgegenstand", "antidisfrobnicationary"], 300, lambda: [word() for _ in range(30)])
+    signed = marked(["\u9f8d\u9f9c", "\u9b54\u9b3c\u9ed1"], 300, lambda: [rng.choice(signs) for _ in range(60)])
+    for texts in ([" ".join(x) for x in long], ["".join(x) for x in signed]):
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+        held_out = toxicity.scored(docs, toxicity.fit(docs, labels)).where("doc_id >= 200").collect()
+        assert sum(r.predicted == r.doc_id % 2 for r in held_out) >= 95
+
+
+def test_all_telling_words_are_learned(spark):
+    rng = random.Random(2)
+    marks = ["q" + "".join(rng.choice("aeioubcdfglmnprst") for _ in range(11)) for _ in range(700)]
+    plain = ["".join(rng.choice("aeioubcdfglmnprst") for _ in range(6)) for _ in range(100)]
+    rows = [(i, " ".join(rng.sample(plain, 20) + (rng.sample(marks, 70) if i % 2 else []))) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int"))
+    assert sum(m.encode() in model.toxic for m in marks) > 690

@@ -30,35 +30,29 @@ from seatflow.schemas import (
 
 log = logging.getLogger(__name__)
 
-# The search spaces, in the parameters that MLlib's trees have. Depth, leaf size and the two sampling
-# shares follow the requirements as far as MLlib goes; boosting level by level needs far fewer rounds.
+MLLIB_DEPTH = 30
+# The search spaces: rounds, steps, depths, leaf sizes and sampling shares of the requirements, as far as MLlib's
+# trees have them. Unlimited depth is MLlib's largest.
 REGRESSOR_GRID = {
-    "rounds": [10, 20, 40],
-    "step": [0.05, 0.1, 0.2],
-    "depth": [3, 5, 8],
+    "rounds": [300, 500, 1000],
+    "step": [0.01, 0.05, 0.1, 0.2],
+    "depth": [5, 10, 20, MLLIB_DEPTH],
     "leaf_rows": [10, 20, 50, 100],
     "row_share": [0.7, 0.8, 0.9, 1.0],
     "feature_share": [0.7, 0.8, 0.9, 1.0],
 }
-FOREST_GRID = {
-    "rounds": [10, 20, 40],
-    "depth": [5, 8, 10],
-    "leaf_rows": [20, 50, 100],
-    "row_share": [0.7, 0.8, 0.9],
-    "feature_share": [0.7, 0.8, 0.9],
-}
 CLASSIFIER_GRID = {
-    "rounds": [10, 20],
-    "step": [0.05, 0.1],
-    "depth": [3, 5],
+    "rounds": [300, 500, 1000],
+    "step": [0.01, 0.05, 0.1],
+    "depth": [5, 10, 15, MLLIB_DEPTH],
     "leaf_rows": [20, 50, 100],
     "row_share": [0.7, 0.8, 0.9],
     "feature_share": [0.7, 0.8, 0.9],
 }
+FOREST_GRID = {name: values for name, values in CLASSIFIER_GRID.items() if name != "step"}
 _MLLIB_NAMES = {
     "depth": "maxDepth", "leaf_rows": "minInstancesPerNode", "row_share": "subsamplingRate", "feature_share": "featureSubsetStrategy",
 }
-MLLIB_DEPTH = 30
 
 
 def sql_text(value: str) -> str:

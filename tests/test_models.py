@@ -163,3 +163,12 @@ def test_weights_reach_the_learner(spark, rows):
     prepared = learning.preprocessor(rows)
     got = {int(r[0]): r[1] for r in learning.training_rows(prepared, rows, "label").select("_label", "_weight").distinct().collect()}
     assert got == {0: 1.0, 1: 2.25, 2: 6.0, 3: 12.5, 4: 24.0, 5: 35.0}
+
+
+def test_search_spaces_are_those_of_the_requirements():
+    from seatflow.operators.learning import CLASSIFIER_GRID, FOREST_GRID, REGRESSOR_GRID
+
+    assert REGRESSOR_GRID["rounds"] == CLASSIFIER_GRID["rounds"] == FOREST_GRID["rounds"] == [300, 500, 1000]
+    assert REGRESSOR_GRID["step"] == [0.01, 0.05, 0.1, 0.2] and CLASSIFIER_GRID["step"] == [0.01, 0.05, 0.1]
+    assert REGRESSOR_GRID["depth"] == [5, 10, 20, 30] and CLASSIFIER_GRID["depth"] == FOREST_GRID["depth"] == [5, 10, 15, 30]
+    assert "step" not in FOREST_GRID

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.registry import Case
-from seatflow.llm import decontam, html, langid, mixing, ngram_join, pii, rollups, topk, toxicity, urls
+from seatflow.llm import decontam, html, langid, mixing, ngram_join, packing, pii, ranked, rollups, topk, toxicity, urls, whitening
 from seatflow.runtime import fresh_path
 
 CASES: dict[str, Case] = {}
@@ -112,4 +112,42 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.joined(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+t AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM t GROUP BY ALL),
+c AS (SELECT count(*) AS docs, sum(len(terms)) AS total FROM d WHERE len(terms) > 0),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term, docs),
+i AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS terms FROM benchmark),
+q AS (SELECT i, item_id, unnest(terms) AS term FROM i),
+s AS (SELECT i, item_id, r, doc_id,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // CAST(total AS BIGINT))))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term), c GROUP BY ALL),
+placed AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10""")
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.top_documents(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query()
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    placed = packing.packed_documents(_table(spark, folder, "documents"))
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "bound")
+
+
+@query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    table = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(table)
+    rows = whitening.whitened(table, model)
+    explained = F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    each = F.posexplode(F.arrays_zip(F.col("whitened"), explained.alias("explained"))).alias("at", "x")
+    return rows.select("vec_id", "deviation", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("bigint").alias("n"), "deviation", "x.whitened", "x.explained",
+        F.lit(whitening.identity_error(rows, len(model.values))).cast("double").alias("identity_error"))
+
+
 CASES["pipeline"] = Case("pipeline", corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)

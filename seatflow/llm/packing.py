@@ -10,22 +10,25 @@ the released documents are dealt anew, and best-fit decreasing runs again. Round
 bound, or when a round saves nothing; then the packing before it stands.
 
 A partition holds lengths and row numbers only, no text. NULL texts are empty; an empty text is the closing id alone.
-NULL or repeated ids and repeated texts are documents like others; equal lengths are told apart by row number, so a stored
+Runs of characters in a batch are told apart by
+64-bit hashes. NULL or repeated ids and repeated texts are documents like others; equal lengths are told apart by row number, so a stored
 table is always packed alike. An empty table gives no rows. Long texts are read whole. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from seatflow.llm.text import chunks, word_hashes
 from seatflow.runtime import stored
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
@@ -36,42 +39,107 @@ PIECES_PER_PARTITION = 16384
 SHARE = 0.25
 ROUNDS = 8
 
-#: Fixed value: how the vocabulary's texts are cut into parts that are encoded one by one.
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Characters whose class no version of Unicode has changed; texts with others are encoded as a whole.
-_PLAIN = regex.compile(r"[\t\n\r\x20-\x7e¡-¬®-ɏА-я‐-‧ぁ-ゖァ-ヺ一-龥가-힣]*")
-_CACHED = 300_000
+#: Letters whose class no version of Unicode has changed, and all other characters that are cut here; texts with others are encoded as a whole.
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏА-яぁ-ゖァ-ヺ一-龥가-힣"
+_PLAIN = re.compile(rf"[\t\n\r\x20-\x7e¡-¬®-±´-¸»¿×÷‐-‧{_LETTERS}]*")
+#: Fixed value: the parts of such texts that the vocabulary's tokenizer encodes one by one.
+_PARTS = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
+_CACHED = 500_000
+_CHUNK_BYTES = 8 << 20
+_BLANK = np.isin(np.arange(256), [0x09, 0x0A, 0x0D, 0x20])
 _FLUSH_BYTES = 8 << 20
 
 
+def _packed_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Spelled(dict):
+    """Per code point the characters that stand for its bytes in the vocabulary: printable bytes for themselves, others from 256 on."""
+
+    def __init__(self):
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in plain]
+        self.of = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(self.of[b] for b in chr(code).encode())
+        return self[code]
+
+
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers; keeps the ids of a bounded number of short parts."""
+    """Ids of texts, by runs of characters up to the next single space: no part that is encoded crosses such a place.
+
+    A run that occurs often in a batch is looked up once. Ids of a bounded number of runs and parts are kept.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if any(s in text for s in self.special) or not _PLAIN.fullmatch(text):
-            return self._ids(text)
-        known, out = self.known, []
-        for part in _PARTS.findall(text):
-            ids = known.get(part)
+        self.model, self.spelled = self.tokenizer.model, _Spelled()
+        self.runs: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _plain(self, text: str | None) -> bool:
+        return text is None or bool(_PLAIN.fullmatch(text)) and not any(s in text for s in self.special)
+
+    def _encoded(self, run: bytes) -> bytes:
+        out, parts = [], self.parts
+        for part in _PARTS.findall(run.decode()):
+            ids = parts.get(part)
             if ids is None:
-                ids = self._ids(part)
+                ids = _packed_ids([t.id for t in self.model.tokenize(part.translate(self.spelled))])
                 if len(part) < 64:
-                    if len(known) >= _CACHED:
-                        known.clear()
-                    known[part] = ids
+                    if len(parts) >= _CACHED:
+                        parts.clear()
+                    parts[part] = ids
             out.append(ids)
         return b"".join(out)
 
+    def _lists(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        runs, raw, out = self.runs, data.tobytes(), []
+        for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+            run = raw[start:end]
+            ids = runs.get(run)
+            if ids is None:
+                ids = self._encoded(run)
+                if end - start < 64:
+                    if len(runs) >= _CACHED:
+                        runs.clear()
+                    runs[run] = ids
+            out.append(ids)
+        return out
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text in order; NULL has none."""
+        for first, last, data, offsets in chunks(texts, _CHUNK_BYTES):
+            own = texts.slice(first, last - first).to_pylist()
+            plain = np.array([self._plain(text) for text in own], bool)
+            blank = np.zeros(len(data) + 2, bool)  # also in front and behind
+            blank[1:-1] = _BLANK[data]
+            begins = (data == 0x20) & ~blank[:-2] & ~blank[2:]
+            edges = offsets[1:-1][(offsets[1:-1] > 0) & (offsets[1:-1] < len(data))]
+            begins[edges - 1] = False  # a space that ends a row
+            begins[offsets[:-1][np.diff(offsets) > 0]] = True
+            starts = np.flatnonzero(begins)
+            ends = np.append(starts[1:], len(data))[: len(starts)]
+            row = np.searchsorted(offsets, starts, side="right") - 1
+            kept = plain[row]
+            starts, ends, row = starts[kept], ends[kept], row[kept]
+            _, one, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            lists = self._lists(data, starts[one], ends[one])
+            flat, sizes = np.frombuffer(b"".join(lists), "<u4"), np.array([len(ids) // 4 for ids in lists], np.int64)
+            at = np.cumsum(sizes) - sizes
+            n = sizes[which] if len(which) else np.zeros(0, np.int64)
+            upto = np.concatenate([[0], np.cumsum(n)])
+            ids = flat[np.repeat(at[which] - upto[:-1], n) + np.arange(upto[-1])] if len(which) else flat
+            bounds = upto[np.searchsorted(row, np.arange(len(own) + 1))]
+            for i, text in enumerate(own):
+                if plain[i]:
+                    yield ids[bounds[i] : bounds[i + 1]]
+                else:
+                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
 
 @lru_cache(4)
 def encoder(path: str) -> Encoder:
@@ -95,8 +163,8 @@ def tokenised(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCAB
                     doc_ids.take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()),
                     pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())], names)
 
-            for row, text in enumerate(batch.column(1)):
-                data = own.encode(text.as_py()) + closing
+            for row, encoded in enumerate(own.encode(batch.column(1))):
+                data = encoded.tobytes() + closing
                 n, at, piece = len(data) // 4, 0, 0
                 step = n % capacity or capacity
                 while at < n:

@@ -134,8 +134,9 @@ def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
-    placed = packing.packed_documents(_table(spark, folder, "documents"))
-    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset", "bound")
+    pieces = packing.tokenised(_table(spark, folder, "documents"))
+    digests = pieces.select("key", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return digests.join(packing.packed(pieces.select("key", "length")), "key").drop("key")
 
 
 @query()

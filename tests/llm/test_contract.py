@@ -12,7 +12,7 @@ SMALL = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = set(contract.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
 
 
@@ -20,7 +20,7 @@ def test_all_are_registered():
 def test_those_with_sql_agree(spark):
     from tools.compare import compare
 
-    results = compare(spark, SMALL, ["op1_topk", "op5_url_filter"])
+    results = compare(spark, SMALL, ["op1_topk", "op5_url_filter", "op11_ranked_search"])
     assert all(r.startswith("ok") for r in results.values()), results
 
 

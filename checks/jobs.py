@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from checks import bindings as b
 from checks.features import PAST_NAMES, SQL_FEATURES
-from checks.models import models
+from checks.models import SQL_PREDICTED, one_split_models
 from checks.occupancy import SQL_SAMPLE
 from checks.registry import case, memo
 from checks.timetable import route_hours
@@ -38,7 +38,7 @@ from seatflow.operators.quality import QualityError, require_counts
 from seatflow.plans.scoring import publish, score_future, score_past
 from seatflow.plans.training import make_split, train
 from seatflow.runtime import fresh_path, stored
-from seatflow.schemas import CALENDAR, TRAFFIC, WEATHER, WEATHER_FEATURES
+from seatflow.schemas import CALENDAR, TRAFFIC, TUNE_TRIALS, WEATHER, WEATHER_FEATURES
 from seatflow.sinks.reports import append_failures, save_dashboard, save_dates
 from seatflow.sinks.tables import save_hourly, upsert
 from seatflow.sources.snapshots import landed, with_path_clock
@@ -347,16 +347,21 @@ def job_features(spark, folder):
     return b.with_text_time(place.read(spark, TRAFFIC))
 
 
-SQL_TRAINED = """SELECT unnest(['n_trials', 'best_is_a_trial', 'error_on_scale']) AS fact, unnest([2.0, 1.0, 1.0]) AS value"""
+def sql_trained(trials: int) -> str:
+    return f"""SELECT unnest(['n_trials', 'best_is_a_trial', 'error_on_scale']) AS fact, unnest([{trials}.0, 1.0, 1.0]) AS value"""
+
+
+#: Settings that the queries draw from the whole grid: all for the means, fewer for the classes, whose rounds grow six trees each.
+TRIALS = {"regressor": TUNE_TRIALS, "classifier": 12}
 
 
 def _trained(spark, folder, kind: str) -> DataFrame:
-    """Two settings drawn from the whole grid, the better one fitted on all rows and measured on the later ones."""
+    """The best of the drawn settings, fitted on all rows and measured on the later ones."""
     path = fresh_path(spark, "split")
     tables = (warehouse(spark, folder).read(spark, t) for t in (TRAFFIC, CALENDAR, WEATHER))
     label = "avg_occupancy" if kind == "regressor" else "max_occupancy"
     make_split(feature_view(*tables, label), path, 1, ("2024-01-01", "2024-01-20"), ("2024-01-21", "2024-01-31"))
-    done = train(spark, path, 1, kind, fresh_path(spark, "model"), trials=2)
+    done = train(spark, path, 1, kind, fresh_path(spark, "model"), trials=TRIALS[kind])
     tried = done.trials.select("settings").collect()
     error = F.col("rmse").between(0, 5) if kind == "regressor" else F.col("weighted_recall").between(0, 1)
     facts = {
@@ -367,30 +372,24 @@ def _trained(spark, folder, kind: str) -> DataFrame:
     return done.metrics.select(F.inline(rows))
 
 
-@case("job_train", SQL_TRAINED)
+@case("job_train", sql_trained(TRIALS["regressor"]))
 def job_train(spark, folder):
     return _trained(spark, folder, "regressor")
 
 
-@case("job_train_classes", SQL_TRAINED)
+@case("job_train_classes", sql_trained(TRIALS["classifier"]))
 def job_train_classes(spark, folder):
     return _trained(spark, folder, "classifier")
 
 
-def _checked(scored: DataFrame) -> DataFrame:
-    """Keys and actual values, and whether both predictions are on the scale."""
-    on_scale = F.col("pred_avg").between(0, 5) & F.col("pred_max").between(0, 5)
-    return scored.withColumn("on_scale", on_scale).drop("pred_avg", "pred_max")
-
-
 @case("job_score_past", f"""WITH {b.SQL_HOURLY}
 SELECT route_id, CAST(direction_id AS INTEGER) AS direction_id, date, CAST(hour AS INTEGER) AS hour, 'past' AS type,
-  CAST(CAST(avg_occupancy AS FLOAT) AS DOUBLE) AS actual_avg, CAST(max_occupancy AS INTEGER) AS actual_max, true AS on_scale
+  CAST(CAST(avg_occupancy AS FLOAT) AS DOUBLE) AS actual_avg, CAST(max_occupancy AS INTEGER) AS actual_max, {SQL_PREDICTED}
 FROM hourly""")
 def job_score_past(spark, folder):
     path = fresh_path(spark, "export")
     export_past(spark, warehouse(spark, folder), "2024-01-01", path)
-    return _checked(score_past(past_export(spark, path), *models(spark, folder)))
+    return score_past(past_export(spark, path), *one_split_models(spark, folder))
 
 
 SCORED_DAYS = [date(2024, 1, day) for day in range(20, 24)]
@@ -400,7 +399,7 @@ def _future(spark, folder):
     weather = b.raw_weather(spark, folder)
     history, forecast = weather.where("date < '2024-01-20'"), weather.where("date >= '2024-01-20'")
     hours = route_hours(spark, folder, b.moved_trips(spark, folder), [str(d) for d in SCORED_DAYS])
-    return hours, score_future(hours, SCORED_DAYS, history, forecast, *models(spark, folder))
+    return hours, score_future(hours, SCORED_DAYS, history, forecast, *one_split_models(spark, folder))
 
 
 SQL_FUTURE = b.sql_route_hours("(DATE '2024-01-01' + CAST(o_orderkey % 35 AS INTEGER))", "2024-01-20", "2024-01-23")
@@ -408,25 +407,25 @@ SQL_FUTURE = b.sql_route_hours("(DATE '2024-01-01' + CAST(o_orderkey % 35 AS INT
 
 @case("job_score_future", f"""WITH {SQL_FUTURE}
 SELECT route_id, direction_id, date, hour, 'future' AS type, CAST(NULL AS DOUBLE) AS actual_avg,
-  CAST(NULL AS INTEGER) AS actual_max, true AS on_scale FROM route_hours""")
+  CAST(NULL AS INTEGER) AS actual_max, {SQL_PREDICTED} FROM route_hours""")
 def job_score_future(spark, folder):
-    return _checked(_future(spark, folder)[1])
+    return _future(spark, folder)[1]
 
 
 @case("job_publish", f"""WITH {SQL_FUTURE}, {b.SQL_HOURLY}
 SELECT h.route_id, CAST(h.direction_id AS INTEGER) AS direction_id, h.date, CAST(h.hour AS INTEGER) AS hour, 'past' AS type,
-  CAST(CAST(h.avg_occupancy AS FLOAT) AS DOUBLE) AS actual_avg, CAST(h.max_occupancy AS INTEGER) AS actual_max, true AS on_scale
+  CAST(CAST(h.avg_occupancy AS FLOAT) AS DOUBLE) AS actual_avg, CAST(h.max_occupancy AS INTEGER) AS actual_max, {SQL_PREDICTED}
 FROM hourly h WHERE NOT EXISTS (SELECT 1 FROM route_hours f
   WHERE f.route_id = h.route_id AND f.direction_id = h.direction_id AND f.date = h.date)
-UNION ALL SELECT route_id, direction_id, date, hour, 'future', NULL, NULL, true FROM route_hours
+UNION ALL SELECT route_id, direction_id, date, hour, 'future', NULL, NULL, {SQL_PREDICTED} FROM route_hours
 WHERE route_id IN (SELECT route_id FROM hourly)""")
 def job_publish(spark, folder):
     path = fresh_path(spark, "export")
     export_past(spark, warehouse(spark, folder), "2024-01-01", path)
-    past = score_past(past_export(spark, path), *models(spark, folder))
+    past = score_past(past_export(spark, path), *one_split_models(spark, folder))
     hours, future = _future(spark, folder)
     merged, _ = publish(past, future, hours, fresh_path(spark, "dashboard"), "2024-01-20T08:00:00Z")
-    return _checked(merged)
+    return merged
 
 
 # --- streams ----------------------------------------------------------------------------------

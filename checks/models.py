@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks import bindings as b
@@ -15,14 +16,18 @@ from seatflow.functions.scores import class_weight, sample_weight
 from seatflow.operators.joins import past_rows
 from seatflow.operators.learning import (
     REGRESSOR_GRID,
+    classifier_stages,
+    compact,
     draw_parameters,
     fit_classifier,
     fit_regressor,
     load_model,
+    one_vs_rest_stages,
     predict,
     preprocessor,
     save_model,
     search,
+    training_rows,
 )
 from seatflow.operators.metrics import (
     class_distribution,
@@ -34,7 +39,7 @@ from seatflow.operators.metrics import (
 )
 from seatflow.operators.ordering import best_trial, medians, most_frequent, temporal_cut
 from seatflow.runtime import fresh_path, stored
-from seatflow.schemas import BOOLEAN_FEATURES, CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from seatflow.schemas import BOOLEAN_FEATURES, CATEGORICAL_FEATURES, CLASS_WEIGHTS, NUMERIC_FEATURES
 
 NAMES = "(VALUES (0, 'EMPTY'), (1, 'MANY_SEATS'), (2, 'FEW_SEATS'), (3, 'STANDING'), (4, 'CRUSHED'), (5, 'FULL')) AS names(class, name)"
 WEIGHTS = "(VALUES (0, 1.0), (1, 1.5), (2, 3.0), (3, 5.0), (4, 8.0), (5, 10.0)) AS weights(class, weight)"
@@ -220,20 +225,68 @@ def rf_scores(spark, folder):
     )
 
 
-@case("tuning_trials", "SELECT CAST(3 AS BIGINT) AS n_trials, CAST(3 AS BIGINT) AS n_from_grid, true AS best_wins")
+#: What `one_split_models` predict, as SQL over `hour`.
+SQL_PREDICTED = "CASE WHEN hour < 12 THEN 1.25 ELSE 3.5 END AS pred_avg, CAST(CASE WHEN hour < 7 THEN 1 ELSE 4 END AS INTEGER) AS pred_max"
+
+
+def one_split_models(spark, folder):
+    """Both models fitted on labels that one split of the hour tells apart, so that SQL can say what they predict."""
+    key = ("one split", spark.sparkContext.applicationId, folder)
+    if key not in _MODELS:
+        labels = {"avg_occupancy": F.when(F.col("hour") < 12, 1.25).otherwise(3.5), "max_occupancy": F.when(F.col("hour") < 7, 1).otherwise(4)}
+        rows = compact(feature_join(spark, folder).withColumns(labels), "one-split")
+        prepared = preprocessor(rows)
+        split = {"depth": 1, "leaf_rows": 1, "step": 0.5}
+        _MODELS[key] = (
+            fit_regressor(rows, "avg_occupancy", {**split, "rounds": 1}, prepared),
+            fit_classifier(rows, "max_occupancy", {**split, "rounds": 2}, prepared, boosted=True),
+        )
+    return _MODELS[key]
+
+
+@case("split_predictions", f"""WITH {b.SQL_HOURLY}
+SELECT date, CAST(hour AS INTEGER) AS hour, route_id, CAST(direction_id AS INTEGER) AS direction_id, {SQL_PREDICTED} FROM hourly""")
+def split_predictions(spark, folder):
+    """Predictions of boosted models, row by row."""
+    rows = predict(feature_join(spark, folder), *one_split_models(spark, folder))
+    return rows.select(F.col("date").cast("string").alias("date"), "hour", "route_id", "direction_id", "pred_avg", "pred_max")
+
+
+def _tuning_sample(spark, folder):
+    return stored(temporal_cut(feature_join(spark, folder), ["date", "hour", "route_id", "direction_id"]), "tuning")
+
+
+@case("tuning_trials", "SELECT CAST(30 AS BIGINT) AS n_trials, CAST(30 AS BIGINT) AS n_from_grid, true AS best_wins, true AS rounds_kept")
 def tuning_trials(spark, folder):
-    """Three settings drawn from the whole grid, all fitted and scored; the best one has the least error."""
-    rows = feature_join(spark, folder)
-    sample = stored(temporal_cut(rows, ["date", "hour", "route_id", "direction_id"]), "tuning")
-    drawn = draw_parameters(REGRESSOR_GRID, trials=3)
-    trials, chosen = search(sample, "avg_occupancy", "regressor", drawn)
+    """All settings drawn from the whole grid, fitted and scored; the best one has the least error."""
+    drawn = draw_parameters(REGRESSOR_GRID)
+    trials, chosen = search(_tuning_sample(spark, folder), "avg_occupancy", "regressor", drawn)
     texts = [json.dumps(d, sort_keys=True) for d in drawn]
+    asked_for = F.get_json_object("settings", "$.rounds").cast("int")
     return trials.agg(
         F.count("score").alias("n_trials"), F.count_if(F.col("settings").isin(texts)).alias("n_from_grid"),
-        (F.min_by("settings", "score") == json.dumps(chosen, sort_keys=True)).alias("best_wins"),
+        (F.min_by("settings", F.struct("score", "trial")) == json.dumps(chosen, sort_keys=True)).alias("best_wins"),
+        F.every((F.col("rounds") <= F.col("fitted")) & (F.col("fitted") <= asked_for)).alias("rounds_kept"),
     )
 
 
+@case("joint_classes", "SELECT unnest(['joint', 'one_vs_rest']) AS learner, true AS better_than_one_class, true AS near_the_other")
+def joint_classes(spark, folder):
+    """Weighted recall of the boosted model of all classes beside a boosted model per class, on the rows that both learned from."""
+    rows = compact(feature_join(spark, folder), "joint")
+    prepared = preprocessor(rows)
+    fitted = compact(training_rows(prepared, rows, "max_occupancy"), "joint")
+    setting = {"rounds": 5, "depth": 4, "leaf_rows": 20, "step": 0.3}
+    scored = None
+    for learner, stages in (("joint", classifier_stages(fitted, setting, boosted=True)), ("one_vs_rest", one_vs_rest_stages(fitted, setting))):
+        one = class_metrics(PipelineModel(stages).transform(fitted), "_label", "prediction").select(F.lit(learner).alias("learner"), "weighted_recall")
+        scored = one if scored is None else scored.unionByName(one)
+    both = Window.partitionBy(F.lit(1))  # two rows
+    apart = F.max("weighted_recall").over(both) - F.min("weighted_recall").over(both)
+    one_class = max(CLASS_WEIGHTS.values()) / sum(CLASS_WEIGHTS.values())  # whoever always says the heaviest class
+    return scored.select("learner", (F.col("weighted_recall") > one_class).alias("better_than_one_class"), (apart < 0.05).alias("near_the_other"))
+
+
 @case("model_roundtrip", f"WITH {b.SQL_HOURLY} SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM hourly")
 def model_roundtrip(spark, folder):
     rows = feature_join(spark, folder)

@@ -6,23 +6,25 @@ import json
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
 
 import numpy as np
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.functions.scores import class_prediction, class_weight, mean_prediction, sample_weight
-from seatflow.operators.metrics import class_metrics, regression_metrics
+from seatflow.operators.boosting import boost_classes, boosted_regressor, regressor_errors
+from seatflow.operators.halving import halved
+from seatflow.operators.metrics import class_metrics
 from seatflow.operators.ordering import best_trial, medians, most_frequent
 from seatflow.runtime import stored, use_checkpoints
 from seatflow.schemas import (
     BOOLEAN_FEATURES,
     CATEGORICAL_FEATURES,
+    CLASSES,
     NUMERIC_FEATURES,
     SEED,
     TUNE_TRIALS,
@@ -126,28 +128,26 @@ def training_rows(prepared: PipelineModel, rows: DataFrame, label: str) -> DataF
 def regressor_stages(rows: DataFrame, chosen: Mapping) -> list[Transformer]:
     """Boosted trees fitted on training rows, and the clip of their predictions to 0-5 (M5)."""
     use_checkpoints(rows.sparkSession)
-    options = mllib_parameters(chosen, steps=True)
-    learner = GBTRegressor(
-        labelCol="_label", predictionCol="_raw", seed=SEED,
-        maxIter=options.pop("rounds"), stepSize=options.pop("step"), **options,
-    )
     clip = SQLTransformer(statement="select *, least(greatest(_raw, 0D), 5D) as prediction from __THIS__")
-    return [learner.fit(rows), clip]
+    return [boosted_regressor(mllib_parameters(chosen, steps=True)).fit(rows), clip]
 
 
 def classifier_stages(rows: DataFrame, chosen: Mapping, boosted: bool = False) -> list[Transformer]:
-    """Six-class trees fitted on weighted training rows (M6).
-
-    MLlib boosts two classes only: `boosted` fits one boosted model per class, else it is a forest.
-    """
+    """Six-class trees fitted on weighted training rows: one boosted model of all classes, or a forest (M6)."""
     use_checkpoints(rows.sparkSession)
     options = mllib_parameters(chosen, steps=boosted)
-    rounds = options.pop("rounds")
-    columns = {"labelCol": "_label", "predictionCol": "prediction", "weightCol": "_weight"}
     if boosted:
-        one = GBTClassifier(maxIter=rounds, stepSize=options.pop("step"), seed=SEED, **options)
-        return [OneVsRest(classifier=one, **columns).fit(rows)]
-    return [RandomForestClassifier(numTrees=rounds, seed=SEED, **columns, **options).fit(rows)]
+        return boost_classes(rows, options)[0].stages()
+    columns = {"labelCol": "_label", "predictionCol": "prediction", "weightCol": "_weight"}
+    return [RandomForestClassifier(numTrees=options.pop("rounds"), seed=SEED, **columns, **options).fit(rows)]
+
+
+def one_vs_rest_stages(rows: DataFrame, chosen: Mapping) -> list[Transformer]:
+    """MLlib's own way to boost several classes, to compare with: a two-class model per class."""
+    use_checkpoints(rows.sparkSession)
+    options = mllib_parameters(chosen, steps=True)
+    one = GBTClassifier(maxIter=options.pop("rounds"), stepSize=options.pop("step"), seed=SEED, **options)
+    return [OneVsRest(classifier=one, labelCol="_label", predictionCol="prediction", weightCol="_weight").fit(rows)]
 
 
 def fit_regressor(train: DataFrame, label: str, chosen: Mapping, prepared: PipelineModel | None = None) -> PipelineModel:
@@ -171,44 +171,57 @@ def draw_parameters(grid: Mapping[str, Sequence], trials: int = TUNE_TRIALS, see
     return [{name: rng.choice(values).item() for name, values in grid.items()} for _ in range(trials)]
 
 
+def compact(rows: DataFrame, name: str) -> DataFrame:
+    """`rows` stored in as few files as their bytes need: every round of a fit runs a task per partition."""
+    return stored(rows.hint("rebalance"), name)
+
+
 def search(
     sample: DataFrame,
     label: str,
     kind: str,
     settings: Sequence[Mapping],
-    at_once: int = 4,
+    at_once: int = 8,
     boosted: bool = False,
+    first: int = 2,
+    keep: int = 4,
 ) -> tuple[DataFrame, dict]:
     """Fit every setting on `part` = train, score it on `part` = validation.
 
-    `boosted` makes the classifiers boosted ones.
+    `boosted` makes the classifiers boosted ones, six trees a round. Boosted fits are shared between numbers of rounds and halved (`first`, `keep`), and a
+    setting's rounds are the most that it may have: those after the least validation error do not count. A forest is fitted whole.
 
-    Returns the trials and the best setting: lowest RMSE, or highest weighted recall. Preparation
-    is the same for all trials, so it is done once and stored; trials are submitted side by side.
+    Returns the trials (settings, score, the rounds that count, rounds fitted) and the best setting: lowest RMSE, or highest weighted recall.
+    Preparation is the same for all trials, so it is done once and stored.
     """
     spark = sample.sparkSession
+    use_checkpoints(spark)
     train, validation = (sample.where(F.col("part") == p) for p in ("train", "validation"))
     prepared = preprocessor(train)
-    fit_rows, check_rows = (stored(training_rows(prepared, df, label), "tuning") for df in (train, validation))
-    stages = regressor_stages if kind == "regressor" else partial(classifier_stages, boosted=boosted)
-    score_of = _rmse if kind == "regressor" else _weighted_recall
-
-    def run(numbered: tuple[int, Mapping]) -> tuple:
-        trial, chosen = numbered
-        model = PipelineModel(stages(fit_rows, chosen))
-        return trial, json.dumps(dict(chosen), sort_keys=True), score_of(model.transform(check_rows))
-
-    with ThreadPoolExecutor(at_once) as pool:
-        scored = list(pool.map(run, enumerate(settings)))
-    trials = spark.createDataFrame(scored, "trial int, settings string, score double")
+    fit_rows, check_rows = (compact(training_rows(prepared, df, label), "tuning") for df in (train, validation))
+
+    def errors_of(chosen: Mapping, rounds: int) -> list[float]:
+        options = mllib_parameters({**chosen, "rounds": rounds}, steps=True)
+        if kind == "regressor":
+            return regressor_errors(fit_rows, check_rows, options)
+        return [1 - recall for recall in boost_classes(fit_rows, options, check_rows)[1]]
+
+    def forest(chosen: Mapping) -> float:
+        return _weighted_recall(PipelineModel(classifier_stages(fit_rows, chosen)).transform(check_rows))
+
+    if kind == "regressor" or boosted:
+        trees = 1 if kind == "regressor" else len(CLASSES)
+        found = halved(settings, errors_of, first, keep, max(1, 2 * at_once // (1 + trees)))
+        scores = [(o.error if kind == "regressor" else 1 - o.error, o.rounds, o.fitted) for o in found]
+    else:
+        with ThreadPoolExecutor(at_once) as pool:
+            scores = [(recall, int(s["rounds"]), int(s["rounds"])) for s, recall in zip(settings, pool.map(forest, settings), strict=True)]
+    rows = [(trial, json.dumps(dict(s), sort_keys=True), *score) for trial, (s, score) in enumerate(zip(settings, scores, strict=True))]
+    trials = spark.createDataFrame(rows, "trial int, settings string, score double, rounds int, fitted int")
     best = best_trial(trials, "score", maximize=kind != "regressor").first()
     return trials, json.loads(best.settings)
 
 
-def _rmse(scored: DataFrame) -> float:
-    return regression_metrics(scored, "_label", "prediction").first().rmse
-
-
 def _weighted_recall(scored: DataFrame) -> float:
     return class_metrics(scored, "_label", "prediction").first().weighted_recall
 
@@ -224,7 +237,7 @@ def _predicted(rows: DataFrame, model: Transformer | None, name: str, finish: Ca
         try:
             scored = model.transform(rows)
             return scored.select(*rows.columns, finish(F.col("prediction")).cast(kind).alias(name))
-        except Exception as error:
+        except (AnalysisException, IllegalArgumentException) as error:  # columns that the model needs and the rows lack
             log.warning("%s left empty: %s", name, error)
     return rows.withColumn(name, F.lit(None).cast(kind))
 

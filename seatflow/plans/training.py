@@ -13,6 +13,7 @@ from seatflow.operators.learning import (
     CLASSIFIER_GRID,
     FOREST_GRID,
     REGRESSOR_GRID,
+    compact,
     draw_parameters,
     fit_classifier,
     fit_regressor,
@@ -20,7 +21,7 @@ from seatflow.operators.learning import (
     search,
 )
 from seatflow.operators.metrics import class_metrics, regression_metrics
-from seatflow.operators.ordering import example_row, temporal_cut
+from seatflow.operators.ordering import best_trial, example_row, temporal_cut
 from seatflow.schemas import ALL_FEATURES, TEST_SPAN, TRAIN_SPAN, TUNE_TRIALS
 from seatflow.runtime import stored
 from seatflow.sinks.tables import save_split
@@ -34,6 +35,8 @@ class Trained:
     model: PipelineModel
     trials: DataFrame
     best: dict
+    #: How many of the best setting's rounds the model has.
+    rounds: int
     metrics: DataFrame
 
 
@@ -55,14 +58,14 @@ def train(
     kind: str,
     model_path: str | None = None,
     settings: Sequence[Mapping] | None = None,
-    at_once: int = 4,
+    at_once: int = 8,
     boosted: bool = True,
     trials: int = TUNE_TRIALS,
 ) -> Trained:
     """Search on the first part of the training rows, fit on all of them, measure on the test rows.
 
-    Without `settings`, `trials` of them are drawn from the learner's grid. `boosted` makes the classifier one
-    boosted model per class, else it is a forest.
+    Without `settings`, `trials` of them are drawn from the learner's grid. `boosted` makes the classifier a
+    boosted model, else it is a forest. The model has the rounds that served the best setting best.
     """
     label = LABELS[kind]
     rows, test = split_frames(spark, split_path, version)
@@ -72,12 +75,15 @@ def train(
         grid = REGRESSOR_GRID if kind == "regressor" else CLASSIFIER_GRID if boosted else FOREST_GRID
         settings = draw_parameters(grid, trials)
     tried, best = search(sample, label, kind, settings, at_once, boosted)
+    rounds = best_trial(tried, "score", maximize=kind != "regressor").first().rounds
+    final = {**best, "rounds": rounds}
+    rows = compact(rows, "training")
     if kind == "regressor":
-        model = fit_regressor(rows, label, best)
+        model = fit_regressor(rows, label, final)
         metrics = regression_metrics(model.transform(test), label, "prediction")
     else:
-        model = fit_classifier(rows, label, best, boosted=boosted)
+        model = fit_classifier(rows, label, final, boosted=boosted)
         metrics = class_metrics(model.transform(test), label, "prediction")
     if model_path is not None:
         save_model(model, model_path, metrics, example_row(rows.select(*ALL_FEATURES), ["route_id", "hour"]))
-    return Trained(model, tried, best, metrics)
+    return Trained(model, tried, best, rounds, metrics)

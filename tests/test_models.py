@@ -135,28 +135,98 @@ def rows(spark):
 
 def test_search_and_scoring(spark, rows, tmp_path):
     sample = temporal_cut(rows, ["t"], fraction=0.5)
-    trials, best = learning.search(sample, "label", "regressor", [SMALL, {**SMALL, "depth": 1}], at_once=2)
+    trials, best = learning.search(sample, "label", "regressor", [SMALL, {**SMALL, "depth": 1}])
     scores = {r.trial: r.score for r in trials.collect()}
     assert len(scores) == 2 and best["depth"] == (3 if scores[0] <= scores[1] else 1)
     _, chosen = learning.search(sample, "label", "classifier", [FOREST], at_once=1)
     assert chosen == FOREST
-    _, chosen = learning.search(sample.where("t < 60"), "label", "classifier", [{**SMALL, "rounds": 1}], boosted=True)
-    assert chosen == {**SMALL, "rounds": 1}
+    trials, chosen = learning.search(sample.where("t < 60"), "label", "classifier", [{**SMALL, "rounds": 2}], boosted=True)
+    assert chosen == {**SMALL, "rounds": 2} and 0 <= trials.first().score <= 1
     average = learning.fit_regressor(rows, "label", SMALL)
     classes = learning.fit_classifier(rows, "label", FOREST)
-    boosted = learning.fit_classifier(rows.where("t < 120"), "label", {**SMALL, "rounds": 1}, boosted=True)
+    boosted = learning.fit_classifier(rows, "label", {"rounds": 3, "depth": 4, "leaf_rows": 1, "step": 0.5}, boosted=True)
     inputs = rows.select(*ALL_FEATURES)
     scored = learning.predict(inputs, average, classes)
     assert scored.columns == [*ALL_FEATURES, "pred_avg", "pred_max"]
     assert scored.where("not (pred_avg between 0 and 5) or not (pred_max between 0 and 5)").count() == 0
-    assert learning.predict(inputs, None, boosted).where("pred_max is null or pred_avg is not null").count() == 0
+    named = learning.predict(rows, None, boosted)
+    assert named.where("pred_max is null or pred_avg is not null").count() == 0
+    assert named.where("pred_max = label").count() > 500  # the label follows from the hour
     failing = learning.predict(inputs.drop("weekday"), average, None)
     assert failing.where("pred_avg is not null").count() == 0 and failing.count() == 600
 
-    learning.save_model(average, str(tmp_path / "m"), trials, inputs.limit(1))
-    again = learning.predict(inputs, learning.load_model(spark, str(tmp_path / "m")), None)
-    pairs = again.groupBy("pred_avg").count().exceptAll(learning.predict(inputs, average, None).groupBy("pred_avg").count())
-    assert pairs.count() == 0 and learning.load_model(spark, str(tmp_path / "none")) is None
+    for name, model in (("m", average), ("c", boosted)):
+        path, asked = str(tmp_path / name), (lambda m, name=name: learning.predict(inputs, *((m, None) if name == "m" else (None, m))))
+        learning.save_model(model, path, trials, inputs.limit(1))
+        both = [asked(m).groupBy("pred_avg", "pred_max").count() for m in (model, learning.load_model(spark, path))]
+        assert both[0].exceptAll(both[1]).count() == both[1].exceptAll(both[0]).count() == 0
+    assert learning.load_model(spark, str(tmp_path / "none")) is None
+
+
+def test_shared_search_picks_what_separate_fits_pick(spark, rows):
+    """Fits shared between numbers of rounds, halved or not, give the errors of fits of their own."""
+    from pyspark.ml.regression import GBTRegressor
+
+    sample = temporal_cut(rows, ["t"], fraction=1.0)
+    settings = [{**SMALL, "rounds": n, "depth": d, "step": s} for n, d, s in ((2, 2, 0.3), (6, 2, 0.3), (6, 4, 0.3), (3, 4, 0.05), (5, 1, 0.1))]
+    trials, best = learning.search(sample, "label", "regressor", settings, keep=1)
+    found = {r.trial: r for r in trials.collect()}
+    train, check = (sample.where(f"part = '{p}'") for p in ("train", "validation"))
+    prepared = learning.preprocessor(train)
+    fit_rows, check_rows = (learning.compact(learning.training_rows(prepared, df, "label"), "t") for df in (train, check))
+    least = []
+    for trial, setting in enumerate(settings):
+        errors = []
+        for n in range(1, setting["rounds"] + 1):  # a fit for every number of rounds
+            options = learning.mllib_parameters({**setting, "rounds": n}, steps=True)
+            model = GBTRegressor(labelCol="_label", predictionCol="p", seed=42, maxIter=options.pop("rounds"), stepSize=options.pop("step"), **options).fit(fit_rows)
+            errors.append(metrics.regression_metrics(model.transform(check_rows), "_label", "p").first().rmse)
+        least.append(min(errors))
+        assert math.isclose(found[trial].score, min(errors), rel_tol=1e-9) and found[trial].rounds == errors.index(min(errors)) + 1
+    assert best == settings[least.index(min(least))]
+    assert learning.search(sample, "label", "regressor", settings)[1] == best
+
+
+def test_halving_spends_rounds_on_the_better_half():
+    from seatflow.operators.halving import halved
+
+    asked = []
+
+    def errors_of(setting, rounds):
+        asked.append((setting["depth"], rounds))
+        turn = setting.get("turn", 10**9)
+        return [setting["depth"] + (1 / (1 + n) if n <= turn else 1) for n in range(1, rounds + 1)]
+
+    settings = [{"rounds": r, "depth": d} for d in range(8) for r in (300, 1000)]
+    out = halved(settings, errors_of, first=4, keep=4, at_once=2)
+    assert sorted(asked)[:5] == [(0, 4), (0, 16), (0, 64), (0, 256), (0, 1000)] and (1, 16) in asked and (1, 64) not in asked and (2, 16) not in asked
+    assert len(asked) == 8 + 2 + 1 + 1 + 1  # settings that differ in rounds are one fit
+    assert (out[0].rounds, out[0].fitted, out[1].rounds, out[1].fitted) == (300, 300, 1000, 1000)
+    assert min(range(16), key=lambda t: out[t].error) == 1
+    asked.clear()
+    out = halved([{"rounds": 1000, "depth": 0, "turn": 20}], errors_of, first=4, keep=4, at_once=1)
+    assert [n for _, n in asked] == [4, 16, 64] and (out[0].rounds, out[0].fitted) == (20, 64)  # no longer improving
+    asked.clear()
+    assert halved([], errors_of) == [] and halved([{"rounds": 7, "depth": 1}], errors_of, keep=1)[0].rounds == 7 and asked == [(1, 7)]
+    assert halved([{"rounds": 2, "depth": 1}], lambda s, n: [float("nan")] * n)[0].error == math.inf
+
+
+def test_joint_boosting_lowers_the_softmax_loss(spark):
+    """Two classes that one split tells apart, by hand: start at the log shares, steps of gradient over curvature."""
+    from pyspark.ml.linalg import Vectors
+
+    from seatflow.operators.boosting import boost_classes
+
+    data = [(Vectors.dense([float(i % 10)]), float(2 if i % 10 < 4 else 5), 1.0 + (i % 10 < 4)) for i in range(100)]
+    rows = stored(spark.createDataFrame(data, ["features", "_label", "_weight"]).coalesce(1), "joint")
+    model, recalls = boost_classes(rows, {"rounds": 1, "step": 0.5, "maxDepth": 1}, rows)
+    shares = {2: 80 / 140, 5: 60 / 140}
+    assert all(math.isclose(model.start[c], math.log(p)) for c, p in shares.items()) and model.start[0] < -20
+    tree = model.trees[0][2]
+    below, above = tree.predict(Vectors.dense([0.0])), tree.predict(Vectors.dense([9.0]))
+    curve = shares[2] * (1 - shares[2]) * 6 / 5
+    assert math.isclose(below, min(4.0, (1 - shares[2]) / curve), rel_tol=1e-6) and math.isclose(above, max(-4.0, -shares[2] / curve), rel_tol=1e-6)
+    assert math.isclose(recalls[0], (3 + 10) / 28.5)
 
 
 def test_weights_reach_the_learner(spark, rows):

@@ -137,23 +137,30 @@ def temporal_cut(
 ) -> DataFrame:
     """The first `fraction` of the rows in time order, marked `train` or `validation` in `part`.
 
-    Only the columns of `order`, a total order, are ranked; the rows themselves are then filtered by the two keys
-    at which the parts end.
+    Only the columns of `order` are ranked; the rows themselves are then filtered by the two keys at which the
+    parts end. Where rows on both sides of an end have the same key, the rows are ranked instead, so the parts keep their sizes.
     """
     kinds = dict(rows.dtypes)
     keys = ranked(rows.select(*order), order)
     sample = F.floor(F.col("group_size") * F.lit(fraction))
     last, first = sample - 1, F.floor(sample * F.lit(train_fraction))
-    cuts = keys.where((F.col("rank") == last) | (F.col("rank") == first)).select(
-        (F.col("rank") == last).alias("_last"), (F.col("rank") == first).alias("_first"), *[F.col(c).cast("string") for c in order])
-    cuts = cuts.collect()  # two rows at most
-    here = F.struct(*order)
-    at = lambda flag: next((F.struct(*[F.lit(r[c]).cast(kinds[c]).alias(c) for c in order]) for r in cuts if r[flag]), None)
-    end, middle = at("_last"), at("_first")
+    place = F.col("rank")
+    near = place.isin(last, sample, first - 1, first)
+    cuts = keys.where(near).select(
+        (place == last).alias("_last"), (place == sample).alias("_after"), (place == first - 1).alias("_before"),
+        (place == first).alias("_first"), *[F.col(c).cast("string") for c in order])
+    cuts = cuts.collect()  # four rows at most
+    key = lambda flag: next((tuple(r[c] for c in order) for r in cuts if r[flag]), None)
+    end, middle = key("_last"), key("_first")
     if end is None:
         return rows.where(F.lit(False)).withColumn("part", F.lit("train"))
-    part = F.lit("train") if middle is None else F.when(here < middle, "train").otherwise("validation")
-    return rows.where(here <= end).withColumn("part", part)
+    if end == key("_after") or middle is not None and middle == key("_before"):
+        part = F.when(place < first, "train").otherwise("validation")
+        return ranked(rows, order).where(place <= last).withColumn("part", part).drop("rank", "group_size")
+    here = F.struct(*order)
+    at = lambda values: F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(order, values, strict=True)])
+    part = F.lit("train") if middle is None else F.when(here < at(middle), "train").otherwise("validation")
+    return rows.where(here <= at(end)).withColumn("part", part)
 
 
 def by_key(df: DataFrame, key: Sequence[str]) -> DataFrame:

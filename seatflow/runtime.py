@@ -57,11 +57,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def held(df: DataFrame, name: str, already: bool = False) -> Iterator[DataFrame]:
-    """`df` stored as by `stored`, and removed again at the end; `already` stored frames pass through."""
-    if already:
-        yield df
-        return
+def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """`df` stored as by `stored`, and removed again at the end."""
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     try:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,30 +37,29 @@ def upsert(
     table: FeatureTable,
     path: str,
     merge: Callable[[DataFrame, FeatureTable, str], None] | None = None,
-    staged: bool = False,
 ) -> None:
     """Insert rows, replacing those with the same key (K2).
 
     Only the partitions that the incoming rows touch are read and rewritten, and an old partition
     stays until its new one is written; a table without partitions is kept as a single one. Of incoming
-    rows with the same key the greatest in the order of their columns counts. Plain parquet has
+    rows with the same key the greatest in the order of their columns counts; NULL is a value of a key, and of a partition, like
+    others. What is left of the incoming rows is held once, so they are worked out once whatever they come from. Plain parquet has
     one writer at a time; `merge` hands the same rows to a table format with transactions instead.
-    `staged` says that `incoming` is already a stored table.
     """
     spark = incoming.sparkSession
     if merge is not None:
         merge(conform(incoming, table), table, path)
         return
     part = table.partition or _WHOLE
-    with held(incoming, table.name, staged) as source:
-        rest = [F.col(c).desc_nulls_last() for c in table.schema.names if c not in table.key]
-        rows = first_per(conform(source, table), table.key, rest or [F.lit(0)])
+    rest = [F.col(c).desc_nulls_last() for c in table.schema.names if c not in table.key]
+    with held(first_per(conform(incoming, table), table.key, rest or [F.lit(0)]), table.name) as rows:
         if table_exists(spark, path, table.schema):
             current = read_table(spark, table, path)
             if table.partition:
                 current = _touched(current, rows, table.partition)
-            untouched = current.join(rows.select(*table.key), table.key, "left_anti")
-            rows = untouched.unionByName(rows)
+            keys = rows.select(*[F.col(c).alias(f"_new_{c}") for c in table.key])
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in table.key])
+            rows = current.join(keys, same, "left_anti").unionByName(rows)
         rows = conform(rows, table)
         if not table.partition:
             rows = rows.withColumn(_WHOLE, F.lit(0))
@@ -77,9 +77,11 @@ def _touched(current: DataFrame, rows: DataFrame, partition: str) -> DataFrame:
 
     The bounds prune directories before the scan, and the join those between them.
     """
-    low, high = rows.agg(F.min(partition), F.max(partition)).first()
-    parts = rows.select(partition).distinct()
-    return current.where(F.col(partition).between(low, high)).join(parts, partition, "left_semi")
+    day = F.col(partition)
+    low, high, some_null = rows.agg(F.min(day), F.max(day), F.coalesce(F.bool_or(day.isNull()), F.lit(False))).first()
+    near = day.between(low, high) if low is not None else F.lit(False)
+    parts = rows.select(day.alias("_part")).distinct()
+    return current.where(near | day.isNull() if some_null else near).join(parts, day.eqNullSafe(F.col("_part")), "left_semi")
 
 
 def save_split(train: DataFrame, test: DataFrame, path: str, version: int) -> None:

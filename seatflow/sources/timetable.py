@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 from urllib.parse import unquote
@@ -19,15 +20,14 @@ _ORDER = ["_file", "_block", "_row"]
 
 
 def _headers(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files by their first line: a row per file, held by the driver as any file listing is."""
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    first = lines.where("_block = 0").groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
+    """Files by their first line, of which no other line is read: a row per file, held by the driver as any file listing is."""
+    names = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(8) as pool:
+        first = list(pool.map(lambda name: spark.read.text(unquote(name)).head(1), names))
     files: dict[str, list[str]] = {}
-    for row in first.orderBy("_file").toLocalIterator():
-        files.setdefault(row.header.strip("\ufeff\r"), []).append(unquote(row._file))
+    for name, line in zip(names, first, strict=True):
+        if line:
+            files.setdefault(line[0].value.strip("\ufeff\r"), []).append(unquote(name))
     return files
 
 

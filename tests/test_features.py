@@ -325,6 +325,16 @@ def test_temporal_cut(spark, n):
     assert sorted(r.t for r in rows if r.part == "train") == list(range(1, int(size * 0.8) + 1))
 
 
+def test_temporal_cut_of_equal_keys(spark):
+    for keys in ([1] * 10, [1, 2, 2, 2, 2, 2, 3, 3, 4, 5], [1, 1, 1, 2, 2, 2, 2, 2, 2, 2]):
+        df = spark.createDataFrame([(t, i) for i, t in enumerate(keys)], "t int, id int")
+        for fraction in (0.3, 0.5, 1.0):
+            rows = ordering.temporal_cut(df, ["t"], fraction).collect()
+            size = int(len(keys) * fraction)
+            assert sorted(r.t for r in rows) == keys[:size] and len({r.id for r in rows}) == size
+            assert sorted(r.t for r in rows if r.part == "train") == keys[: int(size * 0.8)]
+
+
 def test_medians_are_exact(spark):
     rng = random.Random(2)
     a = [rng.choice([1.0, 2.0, 3.0, 10.0, 2.5]) for _ in range(501)] + [None, float("nan")]

@@ -53,6 +53,32 @@ def test_upsert_of_every_other_day(spark, tmp_path):
     assert [r[3] for r in content(spark, path)] == [1.0, 2.0] * 4
 
 
+def test_rows_without_a_day_survive(spark, tmp_path):
+    path = str(tmp_path / "traffic")
+    tables.upsert(typed(spark, (None, 1, "a", 1.0), (None, 2, "a", 1.0), ("2024-01-01", 2, "a", 1.0)), TRAFFIC, path)
+    tables.upsert(typed(spark, ("2024-01-01", 2, "a", 2.0), (None, 3, "a", 2.0)), TRAFFIC, path)
+    tables.upsert(typed(spark, (None, 2, "a", 3.0)), TRAFFIC, path)
+    got = [(r.date, r.hour, r.avg_occupancy) for r in source.feature_table(spark, TRAFFIC, path).collect()]
+    assert sorted(got, key=str) == [("2024-01-01", 2, 2.0), (None, 1, 1.0), (None, 2, 3.0), (None, 3, 2.0)]
+    tables.upsert(typed(spark, ("2024-01-02", 2, "a", 2.0)), TRAFFIC, path)
+    assert source.feature_table(spark, TRAFFIC, path).count() == 5
+
+
+def test_incoming_rows_are_worked_out_once(spark, tmp_path):
+    path = str(tmp_path / "traffic")
+    tables.upsert(typed(spark, ("2024-01-01", 1, "a", 1.0)), TRAFFIC, path)
+    worked = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            worked.add(batch.num_rows)
+            yield batch
+
+    rows = typed(spark, ("2024-01-01", 1, "a", 2.0), ("2024-01-02", 2, "a", 2.0))
+    tables.upsert(rows.mapInArrow(count, rows.schema), TRAFFIC, path)
+    assert worked.value == 2 and len(content(spark, path)) == 2
+
+
 def test_unpartitioned_upsert_and_comments(spark, tmp_path):
     path = str(tmp_path / "calendar")
     rows = lambda *days: spark.createDataFrame([(d, m) for d, m in days], "date string, month int").withColumns({

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 SAMPLE_PAGES = 300
+SAMPLE_TEXTS = 6000
 LABELLED_PAGES = 400
 
 HIDDEN = frozenset("script style noscript template textarea title iframe xmp noembed noframes svg select".split())
@@ -58,8 +59,8 @@ _MEANS = {word: group for group, words in {
 #: A '<' that begins markup; any other is text.
 _MARKUP = re.compile(r"<(?:[a-zA-Z!?]|/.)", re.S)
 _BEGINS = re.compile(r"</?[a-zA-Z]")
-_TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
-_LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*)([^>]*)>")
+_TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
+_LOOSE = re.compile(r"</?([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…](?:\s|$)")
@@ -351,13 +352,13 @@ def layouts(texts: list[str], count: int = LABELLED_PAGES, seed: int = 0) -> lis
     return made
 
 
-def fit(pages: DataFrame, sample: int = SAMPLE_PAGES, seed: int = 0) -> Field:
-    """A field from layouts filled with the texts of about `sample` pages."""
+def fit(pages: DataFrame, sample: int = SAMPLE_PAGES, seed: int = 0, sample_texts: int = SAMPLE_TEXTS) -> Field:
+    """A field from layouts filled with the texts of about `sample` pages, `sample_texts` blocks of them at most."""
     count = pages.count()
     draw = F.pmod(F.xxhash64(F.lit(seed), "page_id", F.length("html")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     rows = pages.where(draw < min(1.0, sample / max(1, count))).orderBy(F.xxhash64("page_id", "html")).limit(2 * sample).select("html").collect()
     texts = [b.text for r in rows if r.html for b in blocks(r.html) if b.text.count(" ") >= 5]
-    return train(layouts(texts[: 20 * sample], seed=seed))
+    return train(layouts(texts[:sample_texts], seed=seed))
 
 
 def extracted(pages: DataFrame, field: Field) -> DataFrame:

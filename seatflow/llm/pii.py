@@ -29,6 +29,7 @@ from pyspark.sql.types import StructField, StructType
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCUMENTS = 200
+SAMPLE_CHARACTERS = 2000
 EXAMPLES = 6000
 PRECISION = 0.99
 Span = tuple[str, int, int]
@@ -277,11 +278,13 @@ def examples(words: list[str], count: int = EXAMPLES, seed: int = 0) -> tuple[np
     return np.array(x), np.array(y)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, precision: float = PRECISION, seed: int = 0) -> Model:
-    """Trees and thresholds; the examples' words come from about `sample` documents."""
+def fit(
+    docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, precision: float = PRECISION, seed: int = 0, sample_characters: int = SAMPLE_CHARACTERS
+) -> Model:
+    """Trees and thresholds; the examples' words come from the first `sample_characters` of about `sample` documents."""
     count = docs.count()
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = docs.where(draw < min(1.0, sample / max(1, count))).select(F.substring("text", 1, 2000).alias("text")).limit(2 * sample).collect()
+    rows = docs.where(draw < min(1.0, sample / max(1, count))).select(F.substring("text", 1, sample_characters).alias("text")).limit(2 * sample).collect()
     words = [w for r in rows if r.text for w in _ALL_WORDS.findall(r.text)]
     trees = boost(*examples(words, seed=seed))
     x, y = examples(words, EXAMPLES // 2, seed + 1)

@@ -9,9 +9,10 @@ Batches are committed one after the other, by one writer.
 Counts come from a byte-pair vocabulary file, whose path is a parameter. Texts are cut by the vocabulary's pattern, and
 each distinct piece is encoded once per task.
 
-NULL and empty texts have 0 tokens and count as documents; NULL sources and languages are groups of their own; a NULL doc_id
-is an id like others. A batch that names a document more than once counts the change that is greatest in the
-order (op, tokens, source, lang). Inserting a document that is there revises it; deleting or revising one that is not there is ignored, or inserts it.
+NULL and empty texts have 0 tokens and count as documents; NULL sources and languages are groups of their own. Every row of a batch counts:
+rows that share an id and version, of whatever source, are that document together, and replace all that earlier batches
+left for it. Deleting a document that is not there is ignored, revising it inserts it; where a batch both deletes an id and brings rows of it, the
+rows count. A row without an id is a document of its own that no later batch can name: it is added, and deleting it is ignored.
 Long texts are read whole. Other columns are ignored.
 """
 
@@ -36,6 +37,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the vocabulary's texts are cut into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CACHED = 200_000
+#: Folders of signed rows by hash of the id: a commit reads those of the documents that it names.
+BUCKETS = 64
 GROUP = ("source", "lang", "version")
 
 
@@ -102,35 +105,43 @@ class Rollup:
         return [(r.batch, r.attempt) for r in rows]
 
     def _read(self, kind: str, schema: str, commits: list[tuple[str, str]]) -> DataFrame:
-        paths = [f"{self.folder}/{kind}/{attempt}" for _, attempt in commits]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        paths = [f"{self.folder}/{kind}/attempt={attempt}" for _, attempt in commits]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.option("basePath", f"{self.folder}/{kind}").schema(f"{schema}, attempt string")
+        return reader.parquet(*paths).drop("attempt")
 
     def _signed(self, doc_id: str) -> str:
-        return f"doc_id {doc_id}, source string, lang string, version string, docs long, tokens long"
+        return f"doc_id {doc_id}, source string, lang string, version string, docs long, tokens long, bucket int"
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply `changes` (doc_id, op, source, lang, version, tokens); op is insert, delete or revise.
 
-        Returns whether the batch is new.
+        Returns whether the batch is new. Of earlier batches only the buckets of the named documents are read.
         """
         commits = self._committed()
         if batch in {name for name, _ in commits}:
             return False
         doc_id = dict(changes.dtypes)["doc_id"]
-        key = ["doc_id", "version"]
-        change = stored(changes.groupBy(*key).agg(F.max(F.struct("op", "tokens", "source", "lang")).alias("new")), "changes")
+        bucket = F.pmod(F.xxhash64("doc_id", "version"), F.lit(BUCKETS)).cast("int")
+        sums = [F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")]
+        change = changes.groupBy("doc_id", *GROUP, (F.col("op") == "delete").alias("gone")).agg(
+            F.count("*").alias("docs"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+        change = stored(change.withColumn("bucket", bucket), "changes")
+        named = change.where(F.col("doc_id").isNotNull()).select("doc_id", "version", "bucket").distinct()
+        touched = [r.bucket for r in named.select("bucket").distinct().collect()]  # at most BUCKETS rows
+        earlier = self._read("signed", self._signed(doc_id), commits).where(F.col("bucket").isin(touched) & F.col("doc_id").isNotNull())
         same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["version"].eqNullSafe(b["version"])
-        earlier = self._read("signed", self._signed(doc_id), commits)
-        named = earlier.alias("e").join(change.alias("c"), same(earlier, change), "left_semi")
-        there = named.groupBy("doc_id", *GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs > 0")
-        goes = there.select("doc_id", *GROUP, (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens"))
-        comes = change.where("new.op <> 'delete'").select(
-            "doc_id", "new.source", "new.lang", "version", F.lit(1).cast("long").alias("docs"), F.col("new.tokens").alias("tokens"))
+        there = earlier.alias("e").join(named.alias("c"), same(earlier, named), "left_semi")
+        there = there.groupBy("doc_id", *GROUP, "bucket").agg(*sums).where("docs > 0")
+        goes = there.withColumns({"docs": -F.col("docs"), "tokens": -F.col("tokens")})
+        comes = change.where("NOT gone").drop("gone")
         attempt = f"{uuid.uuid4().hex}"
-        goes.unionByName(comes).write.parquet(f"{self.folder}/signed/{attempt}")
+        rows = goes.unionByName(comes).hint("rebalance", "bucket")
+        rows.write.partitionBy("bucket").parquet(f"{self.folder}/signed/attempt={attempt}")
         written = self._read("signed", self._signed(doc_id), [(batch, attempt)])
         sums = written.groupBy(*GROUP).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
-        sums.write.parquet(f"{self.folder}/deltas/{attempt}")
+        sums.write.parquet(f"{self.folder}/deltas/attempt={attempt}")
         row = self.spark.range(1).select(F.lit(batch).alias("batch"), F.lit(attempt).alias("attempt"), F.current_timestamp().alias("at"))
         name = batch.encode().hex()  # a folder per batch: a second writer of the same batch fails here
         row.write.mode("error").parquet(f"{self.folder}/commits/{name}")
@@ -147,15 +158,25 @@ EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
 
 
 def document_batches(docs: DataFrame, path: str = VOCABULARY) -> list[tuple[str, DataFrame]]:
-    """Three batches over a whole table: all documents come; exact copies of a smaller id go; texts that hold an
-    e-mail address are revised to what they count without it."""
-    first = docs.groupBy(F.xxhash64("text").alias("digest")).agg(F.min("doc_id").alias("first"))
-    copies = docs.select("doc_id", "source", "lang", F.xxhash64("text").alias("digest"), F.col("text").isNull().alias("empty"))
-    copies = copies.join(first, "digest").where("doc_id > first AND NOT empty")
-    version = F.lit(os.path.basename(path))
-    gone = copies.select("doc_id", F.lit("delete").alias("op"), "source", "lang", version.alias("version"), F.lit(0).cast("long").alias("tokens"))
-    mailed = docs.where(F.contains("text", F.lit("@")) & F.col("text").rlike(EMAIL))
-    mailed = mailed.withColumn("text", F.regexp_replace("text", EMAIL, ""))
-    mailed = mailed.join(copies.select("doc_id"), "doc_id", "left_anti")
-    named = lambda rows, op: counted(rows, path).withColumn("op", F.lit(op))
-    return [("all", named(docs, "insert")), ("copies", gone), ("cleaned", named(mailed, "revise"))]
+    """Three batches over a whole table: all documents come; of equal texts one stays; texts that hold an
+    e-mail address are revised to what they count without it.
+
+    A document is known by its id and two 64-bit hashes of its text, so rows that share an id, or have none, are told apart. Of equal
+    texts that of the smallest id stays, a NULL id last, and then the smallest source and language. NULL texts are no copies.
+    """
+    text_hash = lambda salt: F.when(F.col("text").isNotNull(), F.xxhash64("text", F.lit(salt)))
+    known = F.struct(F.col("doc_id").alias("id"), text_hash(1).alias("a"), text_hash(2).alias("b"))
+    keyed = docs.select(known.alias("doc_id"), "source", "lang", "text")
+    every = stored(counted(keyed, path), "token-counts-of-texts")
+    order = lambda: F.struct(F.col("doc_id.id").isNull(), F.col("doc_id"), F.col("source").isNull(), "source", F.col("lang").isNull(), "lang", "version", "tokens")
+    equal = every.where("doc_id.a IS NOT NULL").groupBy(F.col("doc_id.a").alias("_a"), F.col("doc_id.b").alias("_b"))
+    equal = stored(equal.agg(F.count("*").alias("_n"), F.min(order()).alias("_first")).where("_n > 1"), "equal-texts")
+    same = (F.col("doc_id.a") == F.col("_a")) & (F.col("doc_id.b") == F.col("_b"))
+    copies = every.join(equal, same).where(~F.col("doc_id").eqNullSafe(F.col("_first.doc_id"))).select(*every.columns)
+    columns = ["doc_id", "source", "lang", "version", "tokens"]
+    kept = equal.select(*[F.col(f"_first.{c}").alias(c) for c in columns])
+    op = lambda rows, name: rows.select(*columns, F.lit(name).alias("op"))
+    mailed = keyed.where(F.contains("text", F.lit("@")) & F.col("text").rlike(EMAIL)).withColumn("text", F.regexp_replace("text", EMAIL, ""))
+    mailed = counted(mailed, path).join(copies.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    mailed = mailed.groupBy("doc_id").agg(F.min(order()).alias("_first")).select(*[F.col(f"_first.{c}").alias(c) for c in columns])
+    return [("all", op(every, "insert")), ("copies", op(copies, "delete").unionByName(op(kept, "revise"))), ("cleaned", op(mailed, "revise"))]

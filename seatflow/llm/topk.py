@@ -6,8 +6,8 @@ all lists in step, from the top where its component is positive and from the bot
 is negative, scores each row when it is first seen, and stops when the best score that an unseen row
 could reach is below its kth score. What the blocks return, k rows per query each, meets in one top-k.
 
-Vectors that are NULL, or hold a NULL or a non-finite component, take no part. A vec_id that is NULL takes no part. Of repeated
-vec_ids the vector that is smallest in array order counts. A missing component of a shorter vector
+Vectors that are NULL, or hold a NULL or a non-finite component, take no part. A vec_id that is NULL takes no part. Rows that share a
+vec_id are candidates, and queries, of their own; only the query's own row is left out. A missing component of a shorter vector
 counts as 0; vectors without components score 0. Ties go to the smaller vec_id. Other columns are ignored.
 """
 
@@ -29,20 +29,21 @@ FIRST_STEP = 8
 
 
 def quantised(embeddings: DataFrame, scale: int = 64) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of each component, one row per vec_id."""
+    """(vec_id, v): floor(scale * x) of each component, one row per row that takes part."""
     x = lambda c: c.cast("double")
     bad = lambda c: c.isNull() | F.isnan(x(c)) | (F.abs(x(c)) == float("inf"))
     v = F.transform("embedding", lambda c: F.floor(x(c) * scale))
     whole = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.exists("embedding", bad)
-    return embeddings.where(whole).select("vec_id", v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return embeddings.where(whole).select("vec_id", v.alias("v"))
 
 
 class SortedLists:
     """A block of vectors with the order of its rows by each component."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        by_id = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[by_id], vectors[by_id]
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, keys: np.ndarray | None = None):
+        keys = ids if keys is None else keys  # what tells rows of the same id apart
+        by_id = np.lexsort((keys, ids))
+        self.ids, self.vectors, self.keys = ids[by_id], vectors[by_id], keys[by_id]
         # products are summed as doubles while that is exact
         bound = float(np.abs(vectors).max(initial=0)) ** 2 * vectors.shape[1]
         self.dense = self.vectors.astype(np.float64) if bound < 2**53 / 2 else self.vectors
@@ -50,11 +51,11 @@ class SortedLists:
         self.sorted = np.take_along_axis(self.vectors, self.order.T, axis=0).T.copy()
 
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray, int]:
-        """(ids, scores, rows scored) of the k best rows for `query`, without the row whose id is `own`."""
+        """(ids, scores, rows scored) of the k best rows for `query`, without the row whose key is `own`."""
         n, d = self.vectors.shape
         used = np.flatnonzero(query)
         if not len(used):
-            rows = np.flatnonzero(self.ids != own)[:k]
+            rows = np.flatnonzero(self.keys != own)[:k]
             return self.ids[rows], np.zeros(len(rows), np.int64), len(rows)
         falling = query[used] > 0
         weights = query[used]
@@ -72,7 +73,7 @@ class SortedLists:
             new = np.flatnonzero(fresh)
             scored += len(new)
             new_scores = self.dense[new] @ factors
-            others = self.ids[new] != own
+            others = self.keys[new] != own
             rows, scores = np.concatenate([rows, new[others]]), np.concatenate([scores, new_scores[others]])
             if len(rows) > k:
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
@@ -99,30 +100,31 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 
 def top_k(embeddings: DataFrame, k: int = 20, every: int = 20, scale: int = 64) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows of each row whose vec_id `every` divides."""
-    rows = stored(quantised(embeddings, scale), "topk-vectors")
+    rows = stored(quantised(embeddings, scale).withColumn("key", F.monotonically_increasing_id()), "topk-vectors")
     asked = rows.where(F.col("vec_id") % every == 0)
     n, m = rows.count(), asked.count()
     shards, blocks = -(-n // CANDIDATES_PER_BLOCK) or 1, -(-m // QUERIES_PER_BLOCK) or 1
-    slot = lambda of: F.pmod(F.xxhash64("vec_id"), F.lit(of)).cast("int")
+    slot = lambda of: F.pmod(F.xxhash64("key"), F.lit(of)).cast("int")
     each = lambda of: F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
-    left = rows.select("vec_id", "v", slot(shards).alias("shard"), each(blocks).alias("block"))
-    right = asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), each(shards).alias("shard"), slot(blocks).alias("block"))
+    left = rows.select("vec_id", "key", "v", slot(shards).alias("shard"), each(blocks).alias("block"))
+    right = asked.select(F.col("vec_id").alias("query_id"), F.col("key").alias("own"), F.col("v").alias("q"), each(shards).alias("shard"), slot(blocks).alias("block"))
 
     def search(key, candidates: pd.DataFrame, queries: pd.DataFrame) -> Iterator[pd.DataFrame]:
         if not len(candidates) or not len(queries):
             return
         width = max(1, candidates["v"].map(len).max(), queries["q"].map(len).max())
-        lists = SortedLists(candidates["vec_id"].to_numpy(np.int64), _matrix(candidates["v"], width))
-        for own, vector in zip(queries["query_id"].to_numpy(np.int64), _matrix(queries["q"], width), strict=True):
+        lists = SortedLists(candidates["vec_id"].to_numpy(np.int64), _matrix(candidates["v"], width), candidates["key"].to_numpy(np.int64))
+        for query, own, vector in zip(
+            queries["query_id"].to_numpy(np.int64), queries["own"].to_numpy(np.int64), _matrix(queries["q"], width), strict=True):
             ids, scores, scored = lists.top(vector, own, k)
-            yield pd.DataFrame({"query_id": np.full(len(ids), own), "vec_id": ids, "score": scores, "scored": scored})
+            yield pd.DataFrame({"own": np.full(len(ids), own), "query_id": query, "vec_id": ids, "score": scores, "scored": scored})
 
     found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(
-        lambda key, a, b: pd.concat([*search(key, a, b), EMPTY]), "query_id long, vec_id long, score long, scored long"
+        lambda key, a, b: pd.concat([*search(key, a, b), EMPTY]), "own long, query_id long, vec_id long, score long, scored long"
     )
-    place = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    place = Window.partitionBy("own").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("rank", F.row_number().over(place).cast("int")).where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
 
-EMPTY = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score", "scored")})
+EMPTY = pd.DataFrame({c: pd.Series(dtype="int64") for c in ("own", "query_id", "vec_id", "score", "scored")})

@@ -18,10 +18,11 @@ import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from seatflow.llm.files import mapped, ship
 
@@ -90,15 +91,15 @@ def probes_of(host: str, path: str, lengths: list[int]) -> list[bytes]:
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, bool]], default_blocks: bool = False) -> DataFrame:
-    """(page_id, host, path, rule, verdict) of every row of `pages` (page_id, url)."""
+    """(page_id, host, path, rule, verdict) of every row of `pages` (page_id, url); ids of any type, NULL or repeated, pass through."""
     name = ship(pages.sparkSession, lambda folder: DigestArray.write(rules, folder))
     default = "block" if default_blocks else "allow"
 
-    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         array = DigestArray(name)
-        for rows in frames:
+        for batch in batches:
             probes, owner = [], []
-            for i, (host, path) in enumerate(zip(rows["host"], rows["path"], strict=True)):
+            for i, (host, path) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 own = probes_of(host, path, array.lengths)
                 probes += own
                 owner += [i] * len(own)
@@ -106,11 +107,11 @@ def judged(pages: DataFrame, rules: list[tuple[str, bool]], default_blocks: bool
             found = array.find(probes)
             for j in np.flatnonzero(found >= 0):
                 best[owner[j]] = max(best.get(owner[j], (0, 0)), (len(probes[j].decode()), int(found[j])))
-            rule = [array.name(best[i][1]) if i in best else None for i in range(len(rows))]
-            verdict = [("block" if array.blocks[best[i][1]] else "allow") if i in best else default for i in range(len(rows))]
-            yield rows.assign(rule=pd.Series(rule, rows.index, object), verdict=verdict)
+            rule = [array.name(best[i][1]) if i in best else None for i in range(len(batch))]
+            verdict = [("block" if array.blocks[best[i][1]] else "allow") if i in best else default for i in range(len(batch))]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(rule, pa.string()), pa.array(verdict, pa.string())], [*batch.schema.names, "rule", "verdict"])
 
     host, path = parts(F.col("url"))
-    return pages.select("page_id", host.alias("host"), path.alias("path")).mapInPandas(
-        judge, "page_id long, host string, path string, rule string, verdict string"
-    )
+    rows = pages.select("page_id", host.alias("host"), path.alias("path"))
+    return rows.mapInArrow(judge, StructType([*rows.schema.fields, *StructType.fromDDL("rule string, verdict string").fields]))

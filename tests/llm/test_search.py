@@ -9,17 +9,15 @@ from seatflow.llm import rollups, topk, urls
 
 
 def expected(rows, k):
-    best, seen = {}, {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        q = [math.floor(64 * x) for x in v]
-        seen[i] = min(seen.get(i, q), q)
-    for q in seen:
-        if q % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(seen[q], v)), i) for i, v in seen.items() if i != q)
-            best[q] = [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
-    return sorted(x for v in best.values() for x in v)
+    """Every row that takes part is a candidate for every other one."""
+    kept = [(i, [math.floor(64 * x) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for own, (query, q) in enumerate(kept):
+        if query % 20 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), i) for n, (i, v) in enumerate(kept) if n != own)
+            out += [(query, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
 
 
 SCHEMA = "vec_id long, embedding array<float>, rank int, v string"
@@ -32,6 +30,7 @@ def test_topk_is_exact(spark, monkeypatch, dims, n, block):
     rng = random.Random(dims)
     rows = [(i, [rng.choice([-0.5, 0.0, 0.25, rng.random()]) for _ in range(dims)]) for i in range(n)]
     rows += [(200, rows[3][1]), (201, rows[3][1]), (3, rows[3][1]), (5, [0.1] * dims)]  # ties and repeated ids
+    rows += [(20, rows[20][1]), (40, [1.0] * dims), (40, [-1.0] * dims)]  # of queries too
     rows += [(220, None), (240, [None] * dims), (260, [float("nan")] * dims), (280, [float("inf")] * dims), (None, [1.0] * dims)]
     rows += [(300, [0.5] * max(0, dims - 1)), (320, [])]  # shorter vectors
     table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], SCHEMA)
@@ -80,6 +79,15 @@ def test_url_rules(spark):
     assert {r.verdict for r in urls.judged(pages_of(spark, ["x://a.org/"]), [], default_blocks=True).collect()} == {"block"}
 
 
+def test_page_ids_pass_through(spark):
+    ids = [9007199254740993, None, 1, 1, None]
+    pages = spark.createDataFrame([(i, "x://com/de/a") for i in ids], "page_id long, url string").coalesce(1)
+    got = urls.judged(pages, RULES)
+    assert dict(got.dtypes)["page_id"] == "bigint" and [r.page_id for r in got.collect()] == ids
+    named = spark.createDataFrame([("a", None)], "page_id string, url string")
+    assert [tuple(r) for r in urls.judged(named, RULES).collect()] == [("a", "", "", None, "allow")]
+
+
 def test_equal_digests_are_told_apart(tmp_path, monkeypatch):
     monkeypatch.setattr(urls.xxhash, "xxh64_intdigest", lambda data: len(data))  # all strings of a length collide
     urls.DigestArray.write([("aa/", True), ("bb/", False), ("aa/", False)], str(tmp_path))
@@ -99,9 +107,9 @@ def test_rollup_follows_changes_once(spark, tmp_path):
     r = rollups.Rollup(spark, str(tmp_path / "r"))
     assert r.totals().count() == 0
     rows = [(1, "insert", "a", "en", "v", 5), (2, "insert", "a", None, "v", 7), (3, "insert", None, "en", "v", 0), (None, "insert", "a", "en", "v", 2)]
-    assert r.commit("one", changes_of(spark, rows + rows[:1])) is True
+    assert r.commit("one", changes_of(spark, rows + rows[:1])) is True  # rows that share an id all count
     state = lambda: sorted((tuple(x) for x in r.totals().collect()), key=str)
-    first = sorted([("a", "en", "v", 2, 7), ("a", None, "v", 1, 7), (None, "en", "v", 1, 0)], key=str)
+    first = sorted([("a", "en", "v", 3, 12), ("a", None, "v", 1, 7), (None, "en", "v", 1, 0)], key=str)
     assert state() == first
     assert r.commit("one", changes_of(spark, rows)) is False and state() == first
     r.commit("two", changes_of(spark, [
@@ -109,12 +117,64 @@ def test_rollup_follows_changes_once(spark, tmp_path):
     assert state() == sorted([("b", "en", "v", 1, 6), ("a", "en", "v", 1, 2), (None, "en", "v", 1, 0), (None, "en", "w", 1, 4)], key=str)
     r.commit("none", changes_of(spark, []))
     assert len(state()) == 4
+    r.commit("nameless", changes_of(spark, [(None, "insert", "a", "en", "v", 3), (None, "insert", "a", "en", "v", 3), (None, "delete", "a", "en", "v", 0)]))
+    assert ("a", "en", "v", 3, 8) in state()  # rows without an id add up
+    r.commit("both", changes_of(spark, [(1, "delete", "b", "en", "v", 0), (1, "revise", "c", "en", "v", 4), (1, "revise", "c", "en", "v", 5), (1, "insert", "d", "en", "v", 1)]))
+    assert {("c", "en", "v", 2, 9), ("d", "en", "v", 1, 1)} <= set(state()) and not any(x[0] == "b" for x in state())
+    r.commit("gone", changes_of(spark, [(1, "delete", None, None, "v", 0)]))
+    assert not {"c", "d"} & {x[0] for x in state()}
+
+
+def rolled_up(rows):
+    """Totals after the three batches, by hand: texts as they are, one row per text, addresses taken out."""
+    import re
+
+    count = rollups.counter(rollups.VOCABULARY).count
+    kept, seen = [], set()
+    last = lambda x: (x is None, x or "")
+    for i, source, lang, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, last(r[1]), last(r[2]))):
+        if text is None or text not in seen:
+            kept.append((source, lang, text))
+            seen.add(text)
+    totals = {}
+    for source, lang, text in kept:
+        n = count(re.sub(rollups.EMAIL, "", text) if text else text)
+        docs, tokens = totals.get((source, lang), (0, 0))
+        totals[source, lang] = (docs + 1, tokens + n)
+    return sorted(((s, g, "byte_bpe_50k.tiktoken", *t) for (s, g), t in totals.items()), key=str)
+
+
+def test_batches_count_every_row(spark, tmp_path):
+    mail = "write to a.b@c.org now"
+    rows = [(1, "a", "en", "one text"), (1, "b", "en", "another text"), (None, "a", "en", "third"), (None, "b", None, "fourth"), (None, "a", "en", None),
+            (None, "a", "en", None), (2, "a", "en", "one text"), (2, "a", "en", "its own"), (3, "c", "en", mail), (3, "c", "en", mail), (None, "d", "en", mail),
+            (4, None, "de", ""), (5, None, "de", ""), (6, "a", "en", mail + " too")]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, source string, lang string, text string, op string, tokens int")
+    r = rollups.Rollup(spark, str(tmp_path / "r"))
+    batches = rollups.document_batches(docs)
+    r.commit(*batches[0])
+    assert sum(x.n_docs for x in r.totals().collect()) == len(rows)
+    for name, changes in [*batches[1:], batches[1]]:
+        r.commit(name, changes)
+    assert sorted((tuple(x) for x in r.totals().collect()), key=str) == rolled_up(rows)
+    empty = rollups.Rollup(spark, str(tmp_path / "e"))
+    for name, changes in rollups.document_batches(docs.where("false")):
+        empty.commit(name, changes)
+    assert empty.totals().count() == 0
+
+
+def test_whole_table_agrees_with_a_count_by_hand(spark):
+    import __spark_entry__ as contract
+
+    folder = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source", "lang", "text").collect()]
+    assert sorted((tuple(x) for x in contract.queries()["op7_token_counts"](spark, folder).collect()), key=str) == rolled_up(rows)
 
 
 def test_failed_attempt_leaves_no_trace(spark, tmp_path):
     r = rollups.Rollup(spark, str(tmp_path / "r"))
     r.commit("one", changes_of(spark, [(1, "insert", "a", "en", "v", 5)]))
-    changes_of(spark, [(2, "insert", "a", "en", "v", 100)]).write.parquet(str(tmp_path / "r/deltas/left-behind"))
+    changes_of(spark, [(2, "insert", "a", "en", "v", 100)]).write.parquet(str(tmp_path / "r/deltas/attempt=left-behind"))
     assert [tuple(x) for x in r.totals().collect()] == [("a", "en", "v", 1, 5)]
 
 

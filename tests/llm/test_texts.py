@@ -1,10 +1,14 @@
 """Main text, language, personal data, toxicity."""
 
 import html
+import itertools
+import math
 import random
 import re
+import time
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import base_spans
@@ -262,3 +266,26 @@ def test_all_telling_words_are_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int"))
     assert sum(m.encode() in model.toxic for m in marks) > 690
+
+
+@pytest.mark.parametrize("page", ["<a" * 100_000, "<p>one <" + "b" * 200_000, '<p x="' + "a' " * 60_000, "<p>" + "<a '>" * 40_000, "<!--" * 50_000, "<p class=" + " " * 200_000])
+def test_broken_markup_is_read_in_linear_time(page):
+    start = time.perf_counter()
+    pages.blocks(page)
+    assert time.perf_counter() - start < 0.5
+
+
+def test_viterbi_finds_the_best_of_all_chains():
+    rng = np.random.default_rng(3)
+    for n in range(1, 9):
+        for _ in range(20):
+            page = [pages.Block(f"word {i}.", i, frozenset({f"in:{rng.choice(['p', 'nav'])}"}), 0) for i in range(n)]
+            told = {f for k, b in enumerate(page) for part in pages.features(b, k, n) for f in part}
+            field = pages.Field({f: float(w) for f, w in zip(sorted(told), rng.normal(size=len(told)), strict=True)}, rng.normal(size=(2, 2)), rng.normal(size=2), rng.normal(size=2))
+
+            def score(states):
+                lean = sum(field.weights[f] for k, (b, s) in enumerate(zip(page, states, strict=True)) if s for part in pages.features(b, k, n) for f in part)
+                return lean + field.first[states[0]] + field.last[states[-1]] + sum(field.steps[a, b] for a, b in itertools.pairwise(states))
+
+            best = max(itertools.product((0, 1), repeat=n), key=score)
+            assert math.isclose(score(tuple(field.decode(page))), score(best), rel_tol=1e-9, abs_tol=1e-9)

@@ -44,7 +44,7 @@ _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏА-яぁ-ゖァ-ヺ一-龥가-힣"
 _PLAIN = re.compile(rf"[\t\n\r\x20-\x7e¡-¬®-±´-¸»¿×÷‐-‧{_LETTERS}]*")
 #: Fixed value: the parts of such texts that the vocabulary's tokenizer encodes one by one.
 _PARTS = re.compile(rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\s0-9{_LETTERS}]+|\s+(?!\S)|\s+")
-_CACHED = 300_000
+_CACHED = 500_000
 _CHUNK_BYTES = 8 << 20
 _BLANK = np.isin(np.arange(256), [0x09, 0x0A, 0x0D, 0x20])
 _FLUSH_BYTES = 8 << 20

@@ -7,12 +7,14 @@ autumn then add up instead of replacing each other.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from seatflow.functions.clock import local_clock, utc_clock
-from seatflow.operators.occupancy import HOURLY_KEY, merge_counts, status_counts, summarise
+from seatflow.functions.clock import local_clock, month_tag, utc_clock
+from seatflow.operators.occupancy import HOURLY_KEY, merge_counts, resolve_routes, status_counts, summarise
 from seatflow.schemas import (
     COUNT_COLUMNS,
     LOCAL_ZONE,
@@ -40,9 +42,25 @@ def hourly_counts(sightings: DataFrame, lateness: str = f"{LOOKBACK_DAYS} days")
 
     `ts` is epoch seconds. Works on a stream and on a batch.
     """
+    return _windowed(_timed(sightings, lateness))
+
+
+def closed_hours(sightings: DataFrame, lateness: str, key: Sequence[str] = ("trip_id", "ts")) -> DataFrame:
+    """The same counts for hours that are over, each once (Z1): an hour closes when the latest sighting is `lateness` past its end.
+
+    A sighting that repeats an earlier one's `key` within `lateness`, or comes later than that, does not count. Both the keys and the
+    open hours leave the state as the watermark moves, so the state holds no more than `lateness` and an hour.
+    """
+    return _windowed(_timed(sightings, lateness).dropDuplicatesWithinWatermark(list(key)))
+
+
+def _timed(sightings: DataFrame, lateness: str) -> DataFrame:
     timed = sightings.where(F.col("occupancy").isin(SCORED_STATUSES)).withColumn("_at", F.timestamp_seconds("ts"))
-    windows = timed.withWatermark("_at", lateness).groupBy(F.window("_at", "1 hour"), "route_id", "direction_id")
-    counts = windows.agg(*status_counts())
+    return timed.withWatermark("_at", lateness)
+
+
+def _windowed(timed: DataFrame) -> DataFrame:
+    counts = timed.groupBy(F.window("_at", "1 hour"), "route_id", "direction_id").agg(*status_counts())
     hour = F.unix_seconds("window.start")
     return counts.select(
         F.to_date(utc_clock(hour)).cast("string").alias("utc_date"), hour.alias("utc_hour"),
@@ -65,6 +83,33 @@ def upsert_counts(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def append_hours(counts: DataFrame, path: str, checkpoint: str, available_now: bool = False, run: str | None = None) -> StreamingQuery:
+    """Append hours that are closed to a counts table; none is written twice."""
+    writer = counts.withColumn("run", F.lit(run or checkpoint)).writeStream.outputMode("append").format("parquet")
+    writer = writer.option("checkpointLocation", checkpoint).partitionBy(HOUR_COUNTS.partition)
+    return (writer.trigger(availableNow=True) if available_now else writer).start(path)
+
+
+def upsert_resolved(
+    sightings: DataFrame, trips_path: str, path: str, checkpoint: str, available_now: bool = False, run: str | None = None
+) -> StreamingQuery:
+    """Resolve the routes of a stream of sightings by the trip map of their month, and add their counts.
+
+    The maps (month, trip_id, route_id, direction_id) are read anew for each micro-batch, so a month's map may come while the stream
+    runs. What a micro-batch counts is kept under its own number, so replaying it changes nothing, and no state is kept.
+    """
+    run = run or checkpoint
+
+    def write(batch: DataFrame, number: int) -> None:
+        trips = batch.sparkSession.read.parquet(trips_path)
+        timed = batch.withColumn("month", month_tag(F.to_date(utc_clock("ts"))))
+        counts = hourly_counts(resolve_routes(timed, trips))
+        upsert(counts.withColumn("run", F.lit(f"{run}/{number}")), HOUR_COUNTS, path)
+
+    writer = sightings.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def read_hours(spark: SparkSession, path: str, zone: str = LOCAL_ZONE) -> DataFrame:
     """The hourly traffic rows of a counts table, all runs together, by local hour."""
     counts = read_table(spark, HOUR_COUNTS, path)

@@ -115,8 +115,8 @@ class ArchiveReader(DataSourceReader):
             for name in _names(store, folder, fs.FileType.Directory) if name.isdigit() and int(name) < 24
         ]
 
-    def read(self, partition: Hour) -> Iterator[tuple]:
-        if partition.folder is None:
+    def read(self, partition: Hour | None) -> Iterator[tuple]:
+        if partition is None:  # no hour is wanted
             return
         store, _ = _opened(self.root)
         names = [n for n in _names(store, partition.folder, fs.FileType.File) if n.endswith(_SUFFIX)]

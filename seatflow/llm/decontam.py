@@ -287,6 +287,6 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     kind = f"item_id string, item_word long, length long, doc_id {dict(docs.dtypes)['doc_id']}, doc_word long"
     found = docs.select("doc_id", "text").mapInArrow(scan, kind).where("length > 0")
-    best = F.max_by(F.struct("doc_id", "doc_word"), F.struct("length", -F.col("doc_id"), -F.col("doc_word")))
+    best = F.min_by(F.struct("doc_id", "doc_word"), F.struct(-F.col("length"), F.col("doc_id"), F.col("doc_word")))
     return found.groupBy("item_id", "item_word").agg(F.max("length").alias("length"), best.alias("at")).select(
         "item_id", "item_word", "length", "at.doc_id", "at.doc_word")

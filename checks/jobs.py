@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -25,9 +26,11 @@ from seatflow.operators.publish import (
     serving_rows,
 )
 from seatflow.plans.ingest import (
+    Buckets,
     Warehouse,
     archive_reader,
     backfill,
+    bucket_tables,
     daily_features,
     decode_history,
     existing_dates,
@@ -40,7 +43,7 @@ from seatflow.plans.training import make_split, train
 from seatflow.runtime import fresh_path, stored
 from seatflow.schemas import CALENDAR, TRAFFIC, TUNE_TRIALS, WEATHER, WEATHER_FEATURES
 from seatflow.sinks.reports import append_failures, save_dashboard, save_dates
-from seatflow.sinks.tables import save_hourly, upsert
+from seatflow.sinks.tables import cluster_days, save_hourly, upsert
 from seatflow.sources.snapshots import landed, with_path_clock
 from seatflow.sources.tables import (
     feature_table,
@@ -279,6 +282,38 @@ def job_export(spark, folder):
     return past_export(spark, path)
 
 
+_BUCKETS: dict[tuple, Buckets] = memo()
+
+
+def buckets(spark, folder) -> Buckets:
+    """The backfilled tables in eight buckets of days, once per session and table set."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BUCKETS:
+        root = fresh_path(spark, "buckets")
+        _BUCKETS[key] = bucket_tables(spark, warehouse(spark, folder), f"days_{uuid.uuid4().hex}", root, 8)
+    return _BUCKETS[key]
+
+
+@case("job_export_buckets", f"WITH {SQL_FEATURES} SELECT {PAST_NAMES}, {', '.join(WEATHER_FEATURES)} FROM features WHERE date >= '2024-01-05'")
+def job_export_buckets(spark, folder):
+    """The export over tables in buckets of days, which moves no traffic row."""
+    path = fresh_path(spark, "export")
+    export_past(spark, buckets(spark, folder), "2024-01-05", path)
+    return past_export(spark, path)
+
+
+@case("clustered_scan", f"""WITH {b.SQL_HOURLY}, typed AS (SELECT {b.sql_typed()} FROM hourly)
+SELECT * FROM typed WHERE route_id = '7' OR hour = 8""")
+def clustered_scan(spark, folder):
+    """Days rewritten in interleaved order of route and hour, read by either."""
+    place = Warehouse(fresh_path(spark, "clustered"))
+    upsert(warehouse(spark, folder).read(spark, TRAFFIC), TRAFFIC, place.path(TRAFFIC))
+    first, last = place.read(spark, TRAFFIC).agg(F.min("date"), F.max("date")).first()
+    if first is not None:
+        cluster_days(spark, TRAFFIC, place.path(TRAFFIC), first, last, rows_per_file=64)
+    return b.with_text_time(place.read(spark, TRAFFIC).where("route_id = '7' or hour = 8"))
+
+
 @case("export_count", f"WITH {b.SQL_HOURLY} SELECT CAST(count(*) AS BIGINT) AS n_rows FROM hourly WHERE date >= '2024-01-05'")
 def export_count(spark, folder):
     """The number of rows that the export reports."""
@@ -308,6 +343,19 @@ def quarantined_rows(spark, folder):
     return out
 
 
+@case("insert_report", f"""WITH {b.SQL_HOURLY}
+SELECT 'between' AS rule, 'hour' AS column_name, count(*) AS n_rows, count_if(route_id = '3' AND hour + 20 > 23) AS n_unexpected FROM hourly
+UNION ALL SELECT 'not_null', 'route_id', count(*), count_if(route_id = '5') FROM hourly""")
+def insert_report(spark, folder):
+    """What an insert says of its rows, counted while it stores them."""
+    rows = b.typed_hourly(spark, folder).withColumns({
+        "hour": F.when(F.col("route_id") == "3", F.col("hour") + 20).otherwise(F.col("hour")).cast("tinyint"),
+        "route_id": F.when(F.col("route_id") != "5", F.col("route_id")),
+    })
+    report = insert(rows, TRAFFIC, Warehouse(fresh_path(spark, "reported")))
+    return report.where("column = 'route_id' or column = 'hour'").select("rule", F.col("column").alias("column_name"), "n_rows", "n_unexpected")
+
+
 SQL_DECODED = f"""{b.SQL_OBS}, {SQL_SAMPLE.format(source='obs', k=30)}, {b.sql_usable('sampled')},
 {b.SQL_RESOLVED}, {b.sql_hourly('resolved', where='CAST(local_ts AS DATE) = CAST(utc AS DATE)')}"""
 

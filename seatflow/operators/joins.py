@@ -46,6 +46,32 @@ def past_rows(traffic: DataFrame, calendar: DataFrame, weather: DataFrame) -> Da
     return joined.select(*PAST_COLUMNS)
 
 
+def _with_days(left: DataFrame, calendar: DataFrame, weather: DataFrame) -> DataFrame:
+    """`left` with calendar and weather features, joined on the day alone.
+
+    A day's weather is folded into one row, a map by hour, so tables in equal buckets of days need no shuffle for either join.
+    The sides with one row a day are hashed per bucket, so `left` is not sorted either. Weather has one row per day and hour.
+    """
+    hourly = weather.where("date is not null and hour is not null")
+    entry = F.struct(F.col("hour").cast("int").alias("hour"), F.struct(*WEATHER_FEATURES).alias("measures"))
+    days = hourly.groupBy("date").agg(F.map_from_entries(F.collect_list(entry)).alias("_hours"))
+    joined = left.join(calendar.select("date", *CALENDAR_FEATURES).hint("shuffle_hash"), "date", "left")
+    joined = joined.join(days.hint("shuffle_hash"), "date", "left")
+    here = F.try_element_at("_hours", F.col("hour").cast("int"))
+    return joined.withColumns({c: here.getField(c) for c in WEATHER_FEATURES}).drop("_hours")
+
+
+def feature_view_by_day(traffic: DataFrame, calendar: DataFrame, weather: DataFrame, label: str) -> DataFrame:
+    """`feature_view` over tables in equal buckets of days: traffic rows stay where they are."""
+    left = traffic.select("date", *TRAFFIC_FEATURES, label, "event_time")
+    return _with_days(left, calendar, weather).select(*ALL_FEATURES, label, "event_time")
+
+
+def past_rows_by_day(traffic: DataFrame, calendar: DataFrame, weather: DataFrame) -> DataFrame:
+    """`past_rows` over tables in equal buckets of days: traffic rows stay where they are."""
+    return _with_days(traffic, calendar, weather).select(*PAST_COLUMNS)
+
+
 def schedule_rows(route_hours: DataFrame, calendar: DataFrame, weather: DataFrame | None = None) -> DataFrame:
     """Scheduled hours with calendar and, when there is any, weather features."""
     joined = route_hours.join(calendar.select("date", *CALENDAR_FEATURES), "date", "left")

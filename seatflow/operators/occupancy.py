@@ -179,11 +179,14 @@ def counts_agree(rows: DataFrame) -> DataFrame:
 
     False when a column is missing, true when there are no rows.
     """
+    return rows.agg(*count_agreement(rows))
+
+
+def count_agreement(rows: DataFrame) -> list[Column]:
+    """What `counts_agree` selects, to be observed while the rows are written."""
     if not {"n_obs", *COUNT_COLUMNS} <= set(rows.columns):
-        return rows.agg(F.lit(False).alias("valid"), F.count("*").alias("n_wrong"))
-    return rows.agg(
-        F.coalesce(F.every(_agrees()), F.lit(True)).alias("valid"), F.count_if(~_agrees()).alias("n_wrong")
-    )
+        return [F.lit(False).alias("valid"), F.count("*").alias("n_wrong")]
+    return [F.coalesce(F.every(_agrees()), F.lit(True)).alias("valid"), F.count_if(~_agrees()).alias("n_wrong")]
 
 
 def coverage(rows: DataFrame) -> DataFrame:
@@ -198,7 +201,11 @@ def coverage(rows: DataFrame) -> DataFrame:
 
 def date_range(rows: DataFrame, column: str = "date") -> DataFrame:
     """First and last day."""
-    return rows.agg(F.min(F.to_date(column)).alias("first_date"), F.max(F.to_date(column)).alias("last_date"))
+    return rows.agg(*day_bounds(column))
+
+
+def day_bounds(column: str = "date") -> list[Column]:
+    return [F.min(F.to_date(column)).alias("first_date"), F.max(F.to_date(column)).alias("last_date")]
 
 
 def distinct_dates(rows: DataFrame, column: str = "date") -> DataFrame:

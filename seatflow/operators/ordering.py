@@ -79,6 +79,27 @@ def ranked(df: DataFrame, order: Sequence[str], by: Sequence[str] = ()) -> DataF
     return out.select(*df.columns, rank.alias("rank"), "group_size")
 
 
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 12) -> tuple[DataFrame, Column]:
+    """`df` with a whole number per row, and that column: the bits of all `columns`' ranks in turn, highest first.
+
+    Near numbers are near in every column. A column counts by the rank of its value among the distinct ones, spread over
+    2**bits steps, so texts and skewed numbers use all bits; NULL ranks first. At most 62 bits in all.
+    """
+    bits = min(bits, 62 // len(columns))
+    for c in columns:
+        steps = ranked(df.select(F.col(c).alias("_value")).distinct(), ["_value"])
+        step = F.floor(F.col("rank") * (1 << bits) / F.col("group_size")).cast("bigint")
+        steps = steps.select("_value", step.alias(f"_step_{c}"))
+        df = df.join(steps, F.col(c).eqNullSafe(F.col("_value"))).drop("_value")
+    place = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for nth, c in enumerate(reversed(columns)):
+            here = F.shiftright(f"_step_{c}", bit).bitwiseAND(F.lit(1))
+            place = place + F.shiftleft(here, bit * len(columns) + nth)
+    df = df.withColumn("_interleaved", place).drop(*[f"_step_{c}" for c in columns])
+    return df, F.col("_interleaved")
+
+
 def medians(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Exact median of each column as (feature, median), the mean of the middle two for an even count.
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from seatflow.operators.occupancy import counts_agree
@@ -76,13 +76,26 @@ CALENDAR_RULES = [
 SUITES = {"traffic": TRAFFIC_RULES, "weather": WEATHER_RULES, "calendar": CALENDAR_RULES}
 
 
+def tallies(rules: Sequence[Rule]) -> list[Column]:
+    """Rows seen, and rows that break each rule, as aggregates to select or to observe."""
+    broken = [F.count(F.when(rule.broken(), 1)).alias(f"r{i}") for i, rule in enumerate(rules)]
+    return [F.count("*").alias("n_rows"), *broken]
+
+
 def check(rows: DataFrame, suite: str, rules: Sequence[Rule] | None = None) -> DataFrame:
     """One row per rule: rows seen, rows that break it, success. All rules share one aggregation."""
     rules = SUITES[suite] if rules is None else rules
-    counted = rows.agg(
-        F.count("*").alias("n_rows"),
-        *[F.count(F.when(rule.broken(), 1)).alias(f"r{i}") for i, rule in enumerate(rules)],
-    )
+    return _report(rows.agg(*tallies(rules)), suite, rules)
+
+
+def report_of(spark: SparkSession, seen: Row, suite: str) -> DataFrame:
+    """The report of `check` from tallies that a write has taken."""
+    names = ["n_rows", *[f"r{i}" for i in range(len(SUITES[suite]))]]
+    counted = spark.createDataFrame([tuple(seen[n] for n in names)], ", ".join(f"{n} long" for n in names))
+    return _report(counted, suite, SUITES[suite])
+
+
+def _report(counted: DataFrame, suite: str, rules: Sequence[Rule]) -> DataFrame:
     lines = F.array(*[
         F.struct(F.lit(r.kind).alias("rule"), F.lit(r.column).alias("column"), F.col(f"r{i}").alias("n_unexpected"))
         for i, r in enumerate(rules)
@@ -111,18 +124,28 @@ def _handle(message: str, mode: str) -> None:
 
 def require_counts(rows: DataFrame, mode: str = "warn") -> None:
     """Counts that do not add up stop a backfill and only warn in the daily job (Q7)."""
-    if not counts_agree(rows).first().valid:
+    require(counts_agree(rows).first().valid, mode)
+
+
+def require(valid: bool, mode: str = "warn") -> None:
+    """`require_counts` for an answer that a write has taken."""
+    if not valid:
         _handle("status counts do not add up to n_obs", mode)
 
 
 def validated(rows: DataFrame, suite: str, mode: str = "warn") -> tuple[DataFrame, DataFrame | None]:
-    """Check before an insert: the suite's report, and the rows that break a rule if there are any (Q8).
+    """The suite's report over rows at rest, and the rows that break a rule if there are any (Q8)."""
+    seen = rows.agg(*tallies(SUITES[suite])).first()
+    return report_of(rows.sparkSession, seen, suite), failing_rows(rows, seen, suite, mode)
+
+
+def failing_rows(rows: DataFrame, seen: Row, suite: str, mode: str = "warn") -> DataFrame | None:
+    """Before an insert: the rows that break a rule, if the tallies `seen` of these rows count any (Q8).
 
-    "warn" logs the failing columns, "fail" raises.
+    "warn" logs the failing columns, "fail" raises. The rows are read only if there is something to find.
     """
-    report = check(rows, suite)
-    failed = [r["column"] for r in report.where("not success").collect()]  # at most one per rule
+    failed = [rule.column for i, rule in enumerate(SUITES[suite]) if seen[f"r{i}"]]
     if not failed:
-        return report, None
+        return None
     _handle(f"{suite}: rules broken on {', '.join(failed)}", mode)
-    return report, split_valid(rows, suite)[1]
+    return split_valid(rows, suite)[1]

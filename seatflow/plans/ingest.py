@@ -12,23 +12,25 @@ from pyspark.sql import functions as F
 from seatflow.functions.casts import calendar_types, traffic_types, weather_types, with_event_time
 from seatflow.functions.clock import month_tag
 from seatflow.operators.calendar import calendar_between
-from seatflow.operators.joins import missing_dates, past_rows
+from seatflow.operators.joins import missing_dates, past_rows, past_rows_by_day
 from seatflow.operators.occupancy import (
+    count_agreement,
     counts_by_trip,
     date_range,
+    day_bounds,
     distinct_dates,
     resolve_counts,
     usable_sightings,
 )
 from seatflow.operators.ordering import evenly_spaced
-from seatflow.operators.quality import require_counts, validated
+from seatflow.operators.quality import SUITES, failing_rows, report_of, require, require_counts, tallies
 from seatflow.operators.weather import from_day, with_previous_day
-from seatflow.runtime import stored
-from seatflow.schemas import CALENDAR, LOOKBACK_DAYS, SNAPSHOTS_PER_HOUR, TRAFFIC, WEATHER, FeatureTable
+from seatflow.runtime import stored, stored_with
+from seatflow.schemas import CALENDAR, FEATURE_TABLES, LOOKBACK_DAYS, SNAPSHOTS_PER_HOUR, TRAFFIC, WEATHER, FeatureTable
 from seatflow.sinks.reports import append_failures, save_dates, save_past
-from seatflow.sinks.tables import save_hourly, upsert
+from seatflow.sinks.tables import save_buckets, save_hourly, upsert
 from seatflow.sources.snapshots import decode_snapshots, path_date, read_chosen
-from seatflow.sources.tables import feature_table, has_rows, table_exists, traffic_parquets
+from seatflow.sources.tables import bounded, feature_table, has_rows, table_exists, traffic_parquets
 
 Reader = Callable[[DataFrame], DataFrame]
 
@@ -49,6 +51,30 @@ class Warehouse:
         return feature_table(spark, table, self.path(table), **bounds)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Copies of the feature tables in buckets of days, `<prefix>_<table>` in the session's catalog."""
+
+    prefix: str
+
+    def name(self, table: FeatureTable) -> str:
+        return f"{self.prefix}_{table.name}"
+
+    def read(self, spark: SparkSession, table: FeatureTable, **bounds) -> DataFrame:
+        return bounded(spark.table(self.name(table)), table, **bounds)
+
+
+def bucket_tables(spark: SparkSession, warehouse: Warehouse, prefix: str, root: str, buckets: int) -> Buckets:
+    """Copy the feature tables into buckets of days below `root`, for jobs that join them more than once.
+
+    Each copy moves its rows once; exports and feature views over the copies then move none.
+    """
+    made = Buckets(prefix)
+    for table in FEATURE_TABLES.values():
+        save_buckets(warehouse.read(spark, table), table, made.name(table), f"{root.rstrip('/')}/{table.name}", buckets)
+    return made
+
+
 def file_reader(spark: SparkSession) -> Reader:
     """Decode sampled snapshot files from where the listing found them."""
     return lambda chosen: read_chosen(spark, chosen)
@@ -145,15 +171,16 @@ def prepare_calendar(spark: SparkSession, first: date, last: date) -> DataFrame:
 def insert(rows: DataFrame, table: FeatureTable, warehouse: Warehouse, mode: str = "warn") -> DataFrame:
     """Check the table's rules, then upsert every row (Q8, K2).
 
+    The rows are worked out once and the rules are counted while they are stored, so the check costs no pass of its own.
     With "warn" the rows that break a rule are also copied to the warehouse's quarantine; "fail"
     stops before anything is written.
     """
-    rows = stored(rows, table.name)
-    report, failing = validated(rows, table.name, mode)
+    rows, seen = stored_with(rows, table.name, tallies(SUITES[table.name]))
+    failing = failing_rows(rows, seen, table.name, mode)
     if failing is not None:
         failing.write.mode("append").parquet(warehouse.quarantine(table))
     upsert(rows, table, warehouse.path(table))
-    return report
+    return report_of(rows.sparkSession, seen, table.name)
 
 
 def _insert_context(
@@ -209,25 +236,27 @@ def backfill(
     mode: str = "warn",
 ) -> list[DataFrame]:
     """Load hourly files with their weather and calendar; wrong counts stop it."""
-    hours = stored(traffic_parquets(spark, paths), "hours")
-    require_counts(hours, counts)
-    span = date_range(hours).first()
+    rows = traffic_parquets(spark, paths)
+    hours, seen = stored_with(rows, "hours", [*count_agreement(rows), *day_bounds()])
+    require(seen.valid, counts)
     reports = [insert(prepare_traffic(hours), TRAFFIC, warehouse, mode)]
-    if span.first_date is not None:
-        reports += _insert_context(spark, warehouse, weather, span.first_date, span.last_date, mode)
+    if seen.first_date is not None:
+        reports += _insert_context(spark, warehouse, weather, seen.first_date, seen.last_date, mode)
     return reports
 
 
 def export_past(
-    spark: SparkSession, warehouse: Warehouse, since: str | date, path: str, until: str | date | None = None
+    spark: SparkSession, warehouse: Warehouse | Buckets, since: str | date, path: str, until: str | date | None = None
 ) -> int:
     """Join the three tables from `since` on and store the result; returns its rows.
 
-    Without traffic rows nothing is written.
+    Without traffic rows nothing is written. Tables in buckets are joined and written where they lie.
     """
     traffic, calendar, weather = (
         warehouse.read(spark, table, since=since, until=until) for table in (TRAFFIC, CALENDAR, WEATHER)
     )
     if not has_rows(traffic):
         return 0
+    if isinstance(warehouse, Buckets):
+        return save_past(past_rows_by_day(traffic, calendar, weather), path, even=True)
     return save_past(past_rows(traffic, calendar, weather), path)

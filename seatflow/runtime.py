@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -56,6 +56,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, metrics: Sequence[Column], write: Callable[[DataFrame], None]) -> Row:
+    """Aggregates of `df` that its own write takes in passing; the metrics are named, and hold for no rows too.
+
+    They are taken in the tasks that write, whose results Spark counts once each, also when a lost executor makes
+    others run again. So `df` must reach the writer as it is: a shuffle belongs before this, not into `write`.
+    """
+    seen = Observation()
+    write(df.observe(seen, *metrics))
+    return Row(**seen.get)
+
+
+def stored_with(df: DataFrame, name: str, metrics: Sequence[Column]) -> tuple[DataFrame, Row]:
+    """`df` stored as by `stored`, and aggregates taken while it is written."""
+    path = fresh_path(df.sparkSession, name)
+    seen = observed(df, metrics, lambda rows: rows.write.parquet(path))
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen
+
+
 @contextmanager
 def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """`df` stored as by `stored`, and removed again at the end."""

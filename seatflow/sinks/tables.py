@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatflow.operators.ordering import first_per
+from seatflow.operators.ordering import first_per, interleaved
 from seatflow.runtime import held
 from seatflow.schemas import TRAFFIC_COLUMNS, FeatureTable
 from seatflow.sources.tables import table_exists
@@ -67,6 +67,47 @@ def upsert(
         rows.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
+def save_buckets(rows: DataFrame, table: FeatureTable, name: str, path: str, buckets: int) -> None:
+    """A copy of a table in buckets of its days, under a name of the session's catalog.
+
+    Copies with the same number of buckets join by day without moving a row. A keyed table bounds what a day holds,
+    so no bucket outgrows the others by one day. `table.name` says which table; another session finds the files by `open_buckets`.
+    """
+    order = [c for c in ("date", "hour") if c in table.key]
+    rows = conform(rows, table).repartition(buckets, "date")  # a file per bucket
+    writer = rows.write.mode("overwrite").option("path", path).bucketBy(buckets, "date").sortBy(*order)
+    writer.format("parquet").saveAsTable(name)
+
+
+def open_buckets(spark: SparkSession, table: FeatureTable, name: str, path: str, buckets: int) -> None:
+    """Name the files of `save_buckets` in the catalog of a session that does not know them."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet CLUSTERED BY (date) INTO {buckets} BUCKETS LOCATION '{place}'")
+
+
+def cluster_days(
+    spark: SparkSession,
+    table: FeatureTable,
+    path: str,
+    first: str,
+    last: str,
+    columns: Sequence[str] = ("route_id", "hour"),
+    rows_per_file: int = 0,
+) -> None:
+    """Rewrite the stored days first..last with the rows of a day in interleaved order of `columns`.
+
+    Every stretch of a day's files then covers a narrow span of each column, and reads bounded on any of them pass
+    over the stretches whose least and greatest value exclude it. The rows themselves stay as they are. `rows_per_file` splits
+    days into files of that many rows at most (0: no bound).
+    """
+    rows = read_table(spark, table, path).where(F.col(table.partition).between(first, last))
+    placed, order = interleaved(rows, columns)
+    placed = placed.repartitionByRange(table.partition, order).sortWithinPartitions(table.partition, order)
+    writer = conform(placed, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", rows_per_file).partitionBy(table.partition).parquet(path)
+
+
 def read_table(spark: SparkSession, table: FeatureTable, path: str) -> DataFrame:
     """A stored table in its own columns."""
     return spark.read.schema(table.schema).parquet(path).select(*table.schema.names)

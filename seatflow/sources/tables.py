@@ -76,7 +76,17 @@ def feature_table(
 
     The partition column is bounded too, since a bound on event time alone prunes no directory.
     """
-    rows = spark.read.schema(table.schema).parquet(path)
+    return bounded(spark.read.schema(table.schema).parquet(path), table, columns, since, until)
+
+
+def bounded(
+    rows: DataFrame,
+    table: FeatureTable,
+    columns: Sequence[str] | None = None,
+    since: str | date | datetime | None = None,
+    until: str | date | datetime | None = None,
+) -> DataFrame:
+    """What `feature_table` reads, of rows from anywhere."""
     if since is not None:
         rows = rows.where(F.col("event_time") >= F.lit(str(since)).cast("timestamp_ntz"))
         if table.partition:

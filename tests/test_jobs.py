@@ -11,9 +11,9 @@ from seatflow.operators import publish
 from seatflow.operators.occupancy import hourly_occupancy
 from seatflow.operators.publish import merge_cells, names_from_schedule, route_documents, serving_rows, serving_view
 from seatflow.plans import ingest, scoring, training
-from seatflow.operators.joins import feature_view
+from seatflow.operators.joins import feature_view, feature_view_by_day, past_rows, past_rows_by_day
 from seatflow.schemas import CALENDAR, PAST_COLUMNS, SCORED_STATUSES, TRAFFIC, WEATHER
-from seatflow.sinks.tables import save_hourly
+from seatflow.sinks.tables import open_buckets, save_hourly
 from seatflow.sources.snapshots import land_snapshots, landed, list_snapshots
 from seatflow.sources.tables import past_export
 from seatflow.streaming.hourly import HOUR_COUNTS, hourly_counts, read_hours, upsert_counts
@@ -223,6 +223,31 @@ def test_backfill_export_train_score_publish(spark, tmp_path):
     assert stats.first().predictions == counted == cells.count()
 
 
+def test_buckets_of_days_join_without_moving_rows(spark, tmp_path, plan_of):
+    house, _ = house_with_history(spark, tmp_path)
+    made = ingest.bucket_tables(spark, house, "joined_days", str(tmp_path / "buckets"), 3)
+    for table in (TRAFFIC, CALENDAR, WEATHER):  # as a session finds them that has not written them
+        spark.sql(f"DROP TABLE {made.name(table)}")
+        open_buckets(spark, table, made.name(table), str(tmp_path / "buckets" / table.name), 3)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = {kind: [source.read(spark, t) for t in (TRAFFIC, CALENDAR, WEATHER)] for kind, source in (("plain", house), ("buckets", made))}
+        pairs = [(past_rows(*read["plain"]), past_rows_by_day(*read["buckets"])),
+                 (feature_view(*read["plain"], "max_occupancy"), feature_view_by_day(*read["buckets"], "max_occupancy"))]
+        for plain, moved in pairs:
+            assert "Exchange" in plan_of(plain) and "Exchange" not in plan_of(moved)
+            assert sorted(plain.collect(), key=str) == sorted(moved.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plain, moved = str(tmp_path / "plain"), str(tmp_path / "moved")
+    n = ingest.export_past(spark, house, "2024-01-10", plain, until="2024-01-20")
+    assert ingest.export_past(spark, made, "2024-01-10", moved, until="2024-01-20") == n > 0
+    assert past_export(spark, plain).exceptAll(past_export(spark, moved)).isEmpty()
+    for table in (TRAFFIC, CALENDAR, WEATHER):
+        spark.sql(f"DROP TABLE {made.name(table)}")
+
+
 def test_failing_rows_are_inserted_and_copied(spark, tmp_path):
     from test_tables import typed
 
@@ -234,6 +259,25 @@ def test_failing_rows_are_inserted_and_copied(spark, tmp_path):
     assert [r.hour for r in spark.read.parquet(house.quarantine(TRAFFIC)).collect()] == [2]
 
 
+def test_insert_works_its_rows_out_once(spark, tmp_path):
+    from test_tables import typed
+
+    worked = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            worked.add(batch.num_rows)
+            yield batch
+
+    rows = typed(spark, ("2024-01-01", 1, "a", 1.0), ("2024-01-01", 2, "a", 9.0), ("2024-01-02", 2, None, 9.0))
+    house = ingest.Warehouse(str(tmp_path / "house"))
+    report = ingest.insert(rows.mapInArrow(count, rows.schema), TRAFFIC, house)
+    assert worked.value == 3
+    broken = {r["column"]: (r.n_rows, r.n_unexpected) for r in report.where("not success").collect()}
+    assert broken == {"avg_occupancy": (3, 2), "route_id": (3, 1)}
+    assert [tuple(r) for r in ingest.insert(rows.where("hour > 9"), TRAFFIC, house).select("n_rows").distinct().collect()] == [(0,)]
+
+
 def test_wrong_counts_stop_a_backfill(spark, tmp_path):
     from seatflow.operators.quality import QualityError
     from test_tables import hours

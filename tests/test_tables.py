@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from seatflow.functions.casts import with_event_time
+from seatflow.operators import ordering
 from seatflow.runtime import shared_folder
 from seatflow.schemas import CALENDAR, TRAFFIC, TRAFFIC_COLUMNS
 from seatflow.sinks import reports, tables
@@ -131,6 +132,39 @@ def test_bounded_reads_prune_days(spark, tmp_path, plan_of):
     assert source.table_exists(spark, path, TRAFFIC.schema) and not source.table_exists(spark, path + "x", TRAFFIC.schema)
 
 
+def scanned(df):
+    """Rows that the scan of an executed plan gave out."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_clustered_days_let_reads_pass_over_rows(spark, tmp_path):
+    path = str(tmp_path / "traffic")
+    days = ("2024-01-01", "2024-01-02", "2024-01-03")
+    tables.upsert(typed(spark, *[(d, h, f"line {r:02d}", 1.0) for d in days for h in range(24) for r in range(48)]), TRAFFIC, path)
+    before = content(spark, path)
+    untouched = {p.name for p in (tmp_path / "traffic" / "date=2024-01-03").iterdir()}
+    wanted = {"route_id = 'line 17'": 24, "hour = 9": 48}
+    read = lambda which: scanned(source.feature_table(spark, TRAFFIC, path).where(f"date < '2024-01-03' and {which}"))
+    assert all(read(which) == 2 * 24 * 48 for which in wanted)
+    tables.cluster_days(spark, TRAFFIC, path, "2024-01-01", "2024-01-02", rows_per_file=48)
+    after = {which: read(which) for which in wanted}
+    assert all(2 * n <= after[which] <= 24 * 48 for which, n in wanted.items()), after  # half of the rows at most
+    assert content(spark, path) == before
+    assert {p.name for p in (tmp_path / "traffic" / "date=2024-01-03").iterdir()} == untouched
+
+
+def test_interleaved_order(spark):
+    rows = spark.createDataFrame([(a, b) for a in range(4) for b in "pqrs"], "a int, b string")
+    placed, order = ordering.interleaved(rows, ["a", "b"], bits=2)
+    got = {(r.a, r.b): r.place for r in placed.select("a", "b", order.alias("place")).collect()}
+    spread = lambda x: (x & 1) | (x & 2) << 1
+    assert got == {(a, b): spread(a) << 1 | spread(n) for a in range(4) for n, b in enumerate("pqrs")}
+    gaps = spark.createDataFrame([(None, "x"), (1, None), (None, None)], "a int, b string")
+    assert ordering.interleaved(gaps, ["a", "b"])[0].count() == 3
+    assert ordering.interleaved(gaps.limit(0), ["a", "b"])[0].count() == 0
+
+
 def test_files_are_united_in_the_order_given(spark, tmp_path):
     folders = []
     for n, rows in enumerate([[("2024-01-01", 1, "a", 1.0), ("2024-01-01", 2, "a", 1.0)], [("2024-01-01", 1, "a", 2.0)]]):

@@ -26,6 +26,7 @@ from seatflow.operators.publish import (
     serving_rows,
 )
 from seatflow.plans.ingest import (
+    TRAFFIC_SKETCHES,
     Buckets,
     Warehouse,
     archive_reader,
@@ -36,8 +37,11 @@ from seatflow.plans.ingest import (
     existing_dates,
     export_past,
     insert,
+    refresh_sketches,
+    with_line,
 )
 from seatflow.operators.quality import QualityError, require_counts
+from seatflow.operators.sketches import distinct_error, rank_error, span_summary
 from seatflow.plans.scoring import publish, score_future, score_past
 from seatflow.plans.training import make_split, train
 from seatflow.runtime import fresh_path, stored
@@ -314,6 +318,39 @@ def clustered_scan(spark, folder):
     return b.with_text_time(place.read(spark, TRAFFIC).where("route_id = '7' or hour = 8"))
 
 
+SPANS = {"all": (None, None), "week": ("2024-01-08", "2024-01-14"), "none": ("2023-01-01", "2023-01-31")}
+
+
+@case("span_sketches", f"""WITH {b.SQL_HOURLY}, spans(span, low, high) AS (VALUES ('all', '', '9'), ('week', '2024-01-08', '2024-01-14'), ('none', '2023-01-01', '2023-01-31'))
+SELECT span, CAST(count(route_id) AS BIGINT) AS n, CAST(count(DISTINCT route_id) AS BIGINT) AS routes, CAST(count(DISTINCT route_id || '/' || direction_id) AS BIGINT) AS lines, TRUE AS near
+FROM spans LEFT JOIN hourly ON date BETWEEN low AND high GROUP BY span""")
+def span_sketches(spark, folder):
+    """Sketches kept per day, half of the days replaced once, merged for three spans and held against the exact rows.
+
+    `near`: each quantile's rank, and each distinct count, is off by no more than twice, and three times, its stated error.
+    """
+    place = warehouse(spark, folder)
+    refresh_sketches(spark, place)
+    refresh_sketches(spark, place, place.read(spark, TRAFFIC).where("hour = 9").select("date"))
+    kept = feature_table(spark, TRAFFIC_SKETCHES, place.path(TRAFFIC_SKETCHES))
+    rows, wanted = with_line(place.read(spark, TRAFFIC)), [0.0, 0.1, 0.5, 0.9, 1.0]
+    out = None
+    for span, (first, last) in SPANS.items():
+        found = span_summary(kept, wanted, first, last).first()  # one row
+        here = rows.where(F.col("date").between(first, last)) if first else rows
+        value, all_rows = F.col("avg_occupancy").cast("double"), F.count("*")
+        near = (all_rows == found.n) & (F.lit(found.avg_occupancy_quantiles is None) == (all_rows == 0))
+        for guess, true in ((found.route_id_distinct, "route_id"), (found.line_distinct, "line")):
+            near = near & (F.abs(F.lit(guess) - F.count_distinct(true)) <= 3 * distinct_error() * F.count_distinct(true))
+        for p, guess in zip(wanted, found.avg_occupancy_quantiles or [], strict=False):
+            slack = all_rows * 2 * rank_error()
+            near = near & (F.count_if(value < guess) - slack <= all_rows * p) & (all_rows * p <= F.count_if(value <= guess) + slack)
+        one = here.agg(F.lit(span).alias("span"), F.lit(found.n).cast("long").alias("n"), F.count_distinct("route_id").alias("routes"),
+                       F.count_distinct("line").alias("lines"), near.alias("near"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @case("export_count", f"WITH {b.SQL_HOURLY} SELECT CAST(count(*) AS BIGINT) AS n_rows FROM hourly WHERE date >= '2024-01-05'")
 def export_count(spark, folder):
     """The number of rows that the export reports."""

@@ -24,6 +24,7 @@ from seatflow.operators.occupancy import (
 )
 from seatflow.operators.ordering import evenly_spaced
 from seatflow.operators.quality import SUITES, failing_rows, report_of, require, require_counts, tallies
+from seatflow.operators.sketches import day_sketches, sketch_table
 from seatflow.operators.weather import from_day, with_previous_day
 from seatflow.runtime import stored, stored_with
 from seatflow.schemas import CALENDAR, FEATURE_TABLES, LOOKBACK_DAYS, SNAPSHOTS_PER_HOUR, TRAFFIC, WEATHER, FeatureTable
@@ -34,6 +35,9 @@ from seatflow.sources.tables import bounded, feature_table, has_rows, table_exis
 
 Reader = Callable[[DataFrame], DataFrame]
 
+#: Per day of traffic: the distribution of mean occupancy, and the routes and their directions.
+TRAFFIC_SKETCHES = sketch_table("traffic_sketches", ["avg_occupancy"], ["route_id", "line"])
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -183,6 +187,28 @@ def insert(rows: DataFrame, table: FeatureTable, warehouse: Warehouse, mode: str
     return report_of(rows.sparkSession, seen, table.name)
 
 
+def with_line(traffic: DataFrame) -> DataFrame:
+    """Adds the route and direction as one text, to count pairs of both."""
+    return traffic.withColumn("line", F.concat_ws("/", "route_id", "direction_id"))
+
+
+def refresh_sketches(spark: SparkSession, warehouse: Warehouse, days: DataFrame | None = None) -> None:
+    """Sum up the stored traffic of `days` (column `date`; None: of all days) and replace their sketches.
+
+    A day is read again as a whole, since its rows may have been replaced and a sketch forgets nothing. The days become a
+    bound on the partitions to read, and then a join.
+    """
+    rows = warehouse.read(spark, TRAFFIC)
+    if days is not None:
+        days = stored(days.select("date").where("date is not null").distinct(), "days")
+        low, high = days.agg(F.min("date"), F.max("date")).first()
+        if low is None:
+            return
+        rows = rows.where(F.col("date").between(low, high)).join(days, "date", "left_semi")
+    sketches = day_sketches(with_line(rows), ["avg_occupancy"], ["route_id", "line"])
+    upsert(sketches, TRAFFIC_SKETCHES, warehouse.path(TRAFFIC_SKETCHES))
+
+
 def _insert_context(
     spark: SparkSession, warehouse: Warehouse, weather: DataFrame, first: date, last: date, mode: str
 ) -> list[DataFrame]:
@@ -207,10 +233,12 @@ def daily_features(
     need_existing: bool = False,
     mode: str = "warn",
     k: int = SNAPSHOTS_PER_HOUR,
+    sketches: bool = False,
 ) -> DataFrame:
     """Add the days missing from the look-back window, with their calendar and weather (B1).
 
-    Returns the days that got rows. Context is written for their span only, up to yesterday.
+    Returns the days that got rows. Context is written for their span only, up to yesterday. `sketches` also
+    keeps the summaries of the days up to date.
     """
     first, yesterday = as_of - timedelta(days=lookback), as_of - timedelta(days=1)
     have = existing_dates(spark, warehouse, first)
@@ -222,6 +250,8 @@ def daily_features(
         return done
     require_counts(hours, mode)
     insert(prepare_traffic(hours), TRAFFIC, warehouse, mode)
+    if sketches:
+        refresh_sketches(spark, warehouse, done)
     span = date_range(hours).first()
     _insert_context(spark, warehouse, weather, span.first_date, min(span.last_date, yesterday), mode)
     return done

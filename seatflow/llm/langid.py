@@ -7,6 +7,8 @@ scored in batches: each n-gram's bin picks a row, and running sums give the tota
 
 NULL texts and texts without a letter get `und` with score 0, as does everything when no
 labelled row exists. Rows without a language, and rows with a NULL id where the caller splits by id, teach nothing.
+A model that is `calibrated` also knows how usual the n-grams of a text must be for it to be in one of its languages, and
+gives `und` with score 0 to texts in none.
 Ties go to the language first in order. Repeated rows count as often as they occur. Columns of the
 table named `lang_pred` or `score` are replaced; all others are kept.
 """
@@ -14,7 +16,7 @@ table named `lang_pred` or `score` are replaced; all others are kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
@@ -31,6 +33,9 @@ BITS = 16
 LONGEST = 3
 #: Expected number of labelled rows per language that the model is fitted on, at most.
 SAMPLE_PER_LANGUAGE = 2000
+#: The share of a language's sample that may be labelled wrongly or be hardly text, and how far from the rest of it, towards n-grams
+#: never seen, the n-grams of a text may lie on the mean.
+STRAYS, MARGIN = 0.01, 0.4
 _CHARS = 1 << 20
 _KNOWN = 0x32000
 _FACTORS = mixed(np.arange(1, 8, dtype=np.uint64)) | np.uint64(1)
@@ -95,40 +100,60 @@ class Model:
     languages: list[str]
     log_prior: np.ndarray
     log_prob: np.ndarray  # languages x bins
+    #: Per language, the log-probability of an n-gram of a text in no learned language: a further class, all of whose n-grams are alike.
+    unknown: np.ndarray | None = None
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        texts = [t or "" for t in texts]
-        if not self.languages:
-            return [UNDECIDED] * len(texts), np.zeros(len(texts))
-        labels: list[str] = []
-        scores = np.zeros(len(texts))
+    def totals(self, texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Runs of texts: first, end, log-likelihoods by language without priors, n-grams and letters of each text."""
+        bits = self.log_prob.shape[1].bit_length() - 1
         for a, z in pieces(texts):
-            total = np.tile(self.log_prior, (z - a, 1))
-            letters = np.zeros(z - a, np.int64)
-            for n, (bins, first) in enumerate(grams(texts[a:z])):
+            total = np.zeros((z - a, len(self.languages)))
+            letters = size = np.zeros(z - a, np.int64)
+            for n, (bins, first) in enumerate(grams(texts[a:z], bits)):
                 if n == 0:
                     letters = np.diff(first)
+                size = size + np.diff(first)
                 for k, row in enumerate(self.log_prob):
                     sums = np.concatenate([[0.0], np.cumsum(row[bins], dtype=np.float64)])
                     total[:, k] += sums[first[1:]] - sums[first[:-1]]
+            yield a, z, total, size, letters
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        texts = [t or "" for t in texts]
+        if not self.languages:
+            return [UNDECIDED] * len(texts), np.zeros(len(texts))
+        labels: list[str] = []
+        scores = np.zeros(len(texts))
+        for a, z, likely, size, letters in self.totals(texts):
+            total = likely + self.log_prior
             best = total.argmax(1)
             share = np.exp(total - total.max(1, keepdims=True))
             share = share.max(1) / share.sum(1)
-            labels += [self.languages[b] if c else UNDECIDED for b, c in zip(best, letters, strict=True)]
-            scores[a:z] = np.where(letters > 0, share, 0.0)
+            named = letters > 0
+            if self.unknown is not None:
+                named &= likely[np.arange(z - a), best] >= self.unknown[best] * size
+            labels += [self.languages[b] if c else UNDECIDED for b, c in zip(best, named, strict=True)]
+            scores[a:z] = np.where(named, share, 0.0)
         return labels, scores
 
 
-def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, bits: int = BITS, seed: int = 0) -> Model:
-    """A model from (doc_id, text, lang) rows; at most about `per_language` rows of each language are read."""
+def _sample(labelled: DataFrame, per_language: int, seed: int) -> tuple[DataFrame, dict[str, int]]:
+    """About `per_language` labelled rows of each language, and the number of all of them."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
     rows = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language
-    if not rows:
-        return Model([], np.zeros(0), np.zeros((0, 1 << bits)))
     known = {r.lang: r.n for r in sorted(rows, key=lambda r: r.lang)}
+    if not known:
+        return labelled, known
     share = F.create_map(*[F.lit(x) for lang, n in known.items() for x in (lang, min(1.0, per_language / n))])
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = labelled.where(draw < F.element_at(share, F.col("lang")))
+    return labelled.where(draw < F.element_at(share, F.col("lang"))), known
+
+
+def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, bits: int = BITS, seed: int = 0) -> Model:
+    """A model from (doc_id, text, lang) rows; at most about `per_language` rows of each language are read."""
+    sample, known = _sample(labelled, per_language, seed)
+    if not known:
+        return Model([], np.zeros(0), np.zeros((0, 1 << bits)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -157,6 +182,34 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, bits: int
     return Model(languages, np.log(prior / max(1.0, prior.sum())), matrix.astype(np.float32))
 
 
+def calibrated(
+    model: Model, labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, strays: float = STRAYS, margin: float = MARGIN,
+    seed: int = 1,
+) -> Model:
+    """`model` that can tell texts in none of its languages, by the n-grams of about `per_language` labelled rows of each.
+
+    Of each language the `strays` quantile of the mean log-probability of a text's n-grams is taken, over the texts that the model
+    gives it; `margin` of the way from there to an n-gram never seen lies the class of unknown languages. A
+    language that gets no text of the sample turns none away.
+    """
+    sample, known = _sample(labelled, per_language, seed)
+    if not known or not model.languages:
+        return model
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, z, likely, size, letters in model.totals(batch.column(0).to_pylist()):
+                best = (likely + model.log_prior).argmax(1)
+                mean = likely[np.arange(z - a), best] / np.maximum(size, 1)
+                yield pa.RecordBatch.from_pydict({"best": best[letters > 0], "mean": mean[letters > 0]})
+
+    low = sample.select("text").mapInArrow(measure, "best long, mean double").groupBy("best")
+    low = {r.best: r.low for r in low.agg(F.percentile("mean", F.lit(strays)).alias("low")).collect()}  # a row per language
+    unseen = model.log_prob.min(1).astype(np.float64)
+    usual = np.array([low.get(k, -np.inf) for k in range(len(model.languages))])
+    return replace(model, unknown=np.where(np.isfinite(usual), usual - margin * (usual - unseen), -np.inf))
+
+
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with `lang_pred` and `score` (posterior probability) from `text` alone."""
     docs = docs.drop("lang_pred", "score")

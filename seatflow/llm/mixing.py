@@ -168,6 +168,7 @@ def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     in_turn = Window.partitionBy("_key").orderBy(F.col("copies").desc())
     chosen = chosen.select("_key", F.row_number().over(in_turn).alias("_nth"), "copies")
     columns = [c for c in docs.columns if c != "copies"]
-    own = docs.select(*columns).withColumn("_draw", draw(seed)).withColumn("_key", alike)
+    own = docs.select(F.struct(*columns).alias("_doc"), "doc_id", "source", draw(seed).alias("_draw"))
+    own = own.select("_doc", "_draw", alike.alias("_key"))
     own = own.withColumn("_nth", F.row_number().over(Window.partitionBy("_key").orderBy("_draw")))
-    return own.join(chosen, ["_key", "_nth"]).select(*columns, "copies")
+    return own.join(chosen, ["_key", "_nth"]).select("_doc.*", "copies")

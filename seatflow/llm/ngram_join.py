@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from seatflow.llm import text as words_of
 from seatflow.llm.components import components
+from seatflow.llm.hot import left_join
 from seatflow.runtime import stored
 
 WIDTH = 4
@@ -488,10 +489,11 @@ def _large(members: DataFrame) -> DataFrame:
 def joined(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document, with its row and label for those who look it up."""
     found = profiles(docs)
-    rows = found.where("counters IS NULL").select("doc_id", "row", F.col("n").alias("n_shingles"), "key")
-    rows = rows.join(labels(docs, found), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    rows = stored(found.where("counters IS NULL").select("doc_id", "row", F.col("n").alias("n_shingles"), "key"), "joined-rows")
+    rows = left_join(rows, stored(labels(docs, found), "joined-labels"), "key")
+    rows = stored(rows.withColumn("label", F.coalesce("label", "key")), "joined-labelled")
     ids = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
-    rows = rows.join(ids, "label", "left")
+    rows = left_join(rows, ids, "label")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
     return rows.select("doc_id", "row", "label", "n_shingles", component.alias("component_id"))
 
@@ -505,6 +507,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     chosen = found.where("n_shingles > 0 AND doc_id <=> component_id").groupBy("label").agg(F.min("row").alias("_row"))
     empty = found.where("n_shingles = 0").select(F.col("row").alias("_row")).distinct()
     stays = chosen.select("_row", F.lit(False).alias("_all")).union(empty.select("_row", F.lit(True)))
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(stays, "_row")
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("_row"), F.struct(*docs.columns).alias("_doc")).join(stays, "_row")
     nth = F.row_number().over(Window.partitionBy("_row").orderBy("_row"))
-    return rows.withColumn("_nth", nth).where("_all OR _nth = 1").select(*docs.columns)
+    return rows.withColumn("_nth", nth).where("_all OR _nth = 1").select("_doc.*")

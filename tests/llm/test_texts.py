@@ -100,6 +100,60 @@ def test_language_of_odd_texts(spark):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def test_plain_naive_bayes_agrees():
+    rng = random.Random(8)
+    words = {"a": ["alpha", "beta", "gamma", "né"], "b": ["alto", "bet", "gamba", "ño"], "c": ["жук", "дом", "alpha"]}
+    say = lambda lang: " ".join(rng.choices(words[lang], k=rng.randint(1, 9))) + rng.choice([".", "", " 7"])
+    rows = [(lang, say(lang)) for lang in words for _ in range(rng.randint(20, 40))]
+
+    def bins(text):
+        return [b for found, _ in langid.grams([text], 8) for b in found.tolist()]
+
+    counts = {lang: np.full(256, 0.5) for lang in words}
+    for lang, text in rows:
+        for at in bins(text):
+            counts[lang][at] += 1
+    share = {lang: sum(r[0] == lang for r in rows) / len(rows) for lang in words}
+    tables = {lang: np.log(c / c.sum()) for lang, c in counts.items()}
+    model = langid.Model(list(words), np.log([share[x] for x in words]), np.array([tables[x] for x in words]))
+    texts = [say(rng.choice("abc")) for _ in range(200)] + ["", "123", None, "alpha"]
+    labels, scores = model.predict(texts)
+    for text, label, score in zip(texts, labels, scores, strict=True):
+        if not any(c.isalpha() for c in text or ""):
+            assert (label, score) == ("und", 0)
+            continue
+        joint = {x: np.log(share[x]) + sum(tables[x][at] for at in bins(text)) for x in words}
+        top = max(joint.values())
+        assert joint[label] == pytest.approx(top)
+        assert score == pytest.approx(1 / sum(np.exp(v - top) for v in joint.values()))
+
+
+def test_fitted_counts_are_those_of_the_texts(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("ab ba", "x"), ("abc", "x"), ("zz", "y"), (None, "y"), ("q", None)] * 3)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), bits=6)
+    for k, texts in enumerate((["ab ba", "abc"] * 3, ["zz"] * 3)):
+        own = np.full(64, 0.5)
+        for text in texts:
+            for found, _ in langid.grams([text], 6):
+                np.add.at(own, found, 1)
+        assert np.allclose(model.log_prob[k], np.log(own / own.sum()), atol=1e-5)
+
+
+def test_calibrated_model_turns_unknown_languages_away(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.calibrated(langid.fit(docs), docs)
+    foreign = ["Съешь же ещё этих мягких французских булок да выпей чаю", "ทดสอบภาษาไทยยาวๆ", "Το γρήγορο καφέ αλεπού πηδάει πάνω",
+               "人人生而自由在尊严和权利上一律平等", "xqzv kjwq pzzx vvkq qqxj zzkw qxkz wvvq"]
+    labels, scores = model.predict([*foreign, *[t + " " + t for t in foreign]])
+    assert set(labels) == {"und"} and not scores.any()
+    got = langid.predicted(docs, model).collect()
+    assert all(r.lang_pred != "und" for r in got if any(c.isalpha() for c in r.text or ""))
+    plain = {r.doc_id: (r.lang_pred, r.score) for r in langid.predicted(docs, langid.fit(docs)).collect()}
+    assert all(plain[r.doc_id] == (r.lang_pred, r.score) for r in got)
+    nothing = docs.where("false")
+    assert langid.calibrated(langid.fit(nothing), nothing).predict(["abc"])[0] == ["und"]
+
+
 def test_texts_in_a_batch_do_not_touch():
     texts = ["abc def", "", "ghi", "1", "é ü xyz", "abc"]
     alone = [[sorted(b[first[0] : first[1]].tolist()) for b, first in langid.grams([t])] for t in texts]

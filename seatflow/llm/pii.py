@@ -284,7 +284,8 @@ def fit(
     """Trees and thresholds; the examples' words come from the first `sample_characters` of about `sample` documents."""
     count = docs.count()
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = docs.where(draw < min(1.0, sample / max(1, count))).select(F.substring("text", 1, sample_characters).alias("text")).limit(2 * sample).collect()
+    drawn = docs.select(draw.alias("draw"), F.substring("text", 1, sample_characters).alias("text")).where(F.col("draw") < min(1.0, sample / max(1, count)))
+    rows = drawn.orderBy("draw", "text").limit(2 * sample).collect()  # in an order that no partitioning changes
     words = [w for r in rows if r.text for w in _ALL_WORDS.findall(r.text)]
     trees = boost(*examples(words, seed=seed))
     x, y = examples(words, EXAMPLES // 2, seed + 1)

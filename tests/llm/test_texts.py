@@ -343,3 +343,11 @@ def test_viterbi_finds_the_best_of_all_chains():
 
             best = max(itertools.product((0, 1), repeat=n), key=score)
             assert math.isclose(score(tuple(field.decode(page))), score(best), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_personal_data_model_does_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    models = [pii.fit(df, sample=30) for df in (docs, docs.repartition(7, "text"), docs.orderBy(docs.text.desc()))]
+    assert models[0].thresholds == models[1].thresholds == models[2].thresholds
+    x = np.random.default_rng(1).random((200, pii.examples(["a", "bc"], 4)[0].shape[1]))
+    assert all((m.trees.predict(x) == models[0].trees.predict(x)).all() for m in models)

@@ -5,8 +5,9 @@ the words that follow, up to the end of their document: one sort by the first tw
 prefix doubling of whatever is still tied, until it has the depth of the longest benchmark item. Every suffix of every
 item is looked up by binary search, one more word at a time, which gives the length and a place of its longest
 verbatim match, and at window length the range of all places where the window occurs. Words compare
-by 22 bits of their hash in the order and by 64 bits in what is reported. Nothing is shuffled; the items' hashed words
-lie in files that executors map.
+by 22 bits of their hash in the order and by 64 bits in what is reported. No document is shuffled; tasks hash the items into
+a table of the shared folder, whose files every executor fetches and reads in blocks of `BLOCK_WORDS` words, an item of more
+being a block of its own.
 
 NULL and empty texts have no words and are clean. Items without words or without an id take no part; rows
 that repeat an item_id are one item with all their windows. A text longer than a shard's bytes
@@ -17,22 +18,26 @@ Columns of the table that bear a result's name are replaced, all others are kept
 from __future__ import annotations
 
 import hashlib
-import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from seatflow.llm import text as words_of
-from seatflow.llm.files import mapped, ship
+from seatflow.runtime import stored_with
 
 WINDOW = 10
+#: Words of benchmark items that a task holds at a time.
+BLOCK_WORDS = 1 << 20
 _BITS = 20
-_RESULTS = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+_RESULTS = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, " \
+    "longest long, longest_at long, longest_item string, longest_item_word long"
 
 
 def hashed(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -165,70 +170,139 @@ class SuffixArray:
 
 
 @dataclass
-class Items:
-    """The hashed words of all benchmark items, in files on every executor."""
+class Block:
+    """The hashed words of some benchmark items, one after another."""
 
-    name: str
+    names: list[str]
+    hashes: np.ndarray
+    bounds: np.ndarray
 
-    def load(self) -> None:
-        self.hashes = mapped(self.name, "hashes", "<u8")
-        self.bounds = mapped(self.name, "bounds", "<i8")
-        names, ends = mapped(self.name, "names", "u1"), mapped(self.name, "name_ends", "<i8")
-        self.names = [names[a:b].tobytes().decode() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    def __post_init__(self) -> None:
         counts = np.diff(self.bounds)
         self.item = np.repeat(np.arange(len(counts)), counts)
+        self.start = np.arange(len(self.hashes)) - self.bounds[self.item]
         self.ends = np.repeat(self.bounds[1:], counts)
-        self.longest = int(counts.max(initial=0))
         left = self.ends - np.arange(len(self.hashes))
         self.windowed = (left >= WINDOW) | (left == np.repeat(counts, counts))  # suffixes that begin a window
         self.lengths = np.minimum(left, WINDOW)
 
 
-def items_of(benchmark: DataFrame) -> Items:
-    """Hash the items row by row into files; the driver holds one batch at a time."""
-
-    def write(folder: str) -> None:
-        files = {f: open(os.path.join(folder, f), "wb") for f in ("hashes", "bounds", "names", "name_ends")}  # noqa: SIM115
-        bound, name_end = 0, 0
-        for f in ("bounds", "name_ends"):
-            np.zeros(1, "<i8").tofile(files[f])
-        rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string"), "text")
-        for item, text in rows.toLocalIterator():
-            for _, _, hashes, _ in hashed(pa.array([text])):
-                if len(hashes):
-                    hashes.astype("<u8").tofile(files["hashes"])
-                    files["names"].write(item.encode())
-                    bound, name_end = bound + len(hashes), name_end + len(item.encode())
-                    np.array([bound], "<i8").tofile(files["bounds"])
-                    np.array([name_end], "<i8").tofile(files["name_ends"])
-        for f in files.values():
-            f.close()
-
-    return Items(ship(benchmark.sparkSession, write))
-
-
-def _judge(array: SuffixArray, items: Items) -> tuple:
-    """Words, hit words and the items' names per document of a shard."""
-    docs = len(array.bounds) - 1
-    _, _, begin, end = array.search(items.hashes, items.ends, WINDOW)
-    some = np.flatnonzero(items.windowed & (end > begin))
-    suffix, place, length = array.occurrences(items.hashes, some, items.lengths[some], begin[some], end[some])
-    cover = np.zeros(array.n + 1, np.int64)
-    np.add.at(cover, place, 1)
-    np.add.at(cover, place + length, -1)
-    hit = np.concatenate([[0], np.cumsum(np.cumsum(cover[:-1]) > 0)])
-    named: dict[int, set[str]] = {}
-    if len(place):
-        pairs = np.unique(array.doc[place] * len(items.names) + items.item[suffix])
-        for pair in pairs:
-            named.setdefault(int(pair // len(items.names)), set()).add(items.names[int(pair % len(items.names))])
-    lists = [sorted(named.get(i, ())) for i in range(docs)]
-    return np.diff(array.bounds), np.diff(hit[array.bounds]), lists
-
-
-def judged(docs: DataFrame, benchmark: DataFrame, keep_clean: bool = False) -> DataFrame:
-    """`docs` with words, hit words and items; with `keep_clean` only clean rows and no new columns."""
-    items = items_of(benchmark)
+@dataclass
+class Items:
+    """Benchmark items hashed by tasks, in files that every executor fetches; tasks read them block by block."""
+
+    files: list[str]
+    words: int
+    longest: int
+    block_words: int
+
+    def _read(self) -> Iterator[Block]:
+        names, parts, size = [], [], 0
+        for file in self.files:
+            for batch in pq.ParquetFile(SparkFiles.get(file)).iter_batches(256, columns=["item_id", "hashes"]):
+                for name, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    part = np.frombuffer(part.as_buffer(), "<u8")
+                    if names and size + len(part) > self.block_words:
+                        yield Block(names, np.concatenate(parts), np.cumsum([0, *map(len, parts)]))
+                        names, parts, size = [], [], 0
+                    names.append(name)
+                    parts.append(part)
+                    size += len(part)
+        if names:
+            yield Block(names, np.concatenate(parts), np.cumsum([0, *map(len, parts)]))
+
+    def blocks(self) -> Iterable[Block]:
+        """All items; a task keeps them if they are one block, and reads them again for each shard otherwise."""
+        if self.words > self.block_words:
+            return self._read()
+        if not hasattr(self, "_kept"):
+            self._kept = list(self._read())
+        return self._kept
+
+
+def items_of(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Items:
+    """Hash the items in tasks into a table of the shared folder, and name its files to all executors."""
+
+    def hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, hashes, bounds in hashed(batch.column(1)):
+                rows = [hashes[a:b].astype("<u8").tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                counts = np.diff(bounds)
+                found = pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, last - first), pa.array(rows, pa.binary()), pa.array(counts, pa.int64())],
+                    ["item_id", "hashes", "n"])
+                yield found.filter(pa.array(counts > 0))
+
+    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string"), "text")
+    rows = rows.mapInArrow(hash_rows, "item_id string, hashes binary, n long").hint("rebalance")
+    held, seen = stored_with(rows, "benchmark-items", [F.sum("n").alias("words"), F.max("n").alias("longest")])
+    files = held.inputFiles()
+    for file in files:
+        benchmark.sparkSession.sparkContext.addFile(file)
+    return Items(sorted(file.rsplit("/", 1)[-1] for file in files), seen.words or 0, seen.longest or 0, block_words)
+
+
+class _Verdict:
+    """What the blocks of items tell about the documents of a shard."""
+
+    def __init__(self, array: SuffixArray):
+        self.array, self.cover = array, np.zeros(array.n + 1, np.int64)
+        docs = len(array.bounds) - 1
+        self.named: list[set[str]] = [set() for _ in range(docs)]
+        self.best: list[tuple | None] = [None] * docs
+
+    def add(self, items: Block) -> None:
+        array = self.array
+        _, _, begin, end = array.search(items.hashes, items.ends, WINDOW)
+        some = np.flatnonzero(items.windowed & (end > begin))
+        suffix, place, length = array.occurrences(items.hashes, some, items.lengths[some], begin[some], end[some])
+        if not len(place):
+            return
+        np.add.at(self.cover, place, 1)
+        np.add.at(self.cover, place + length, -1)
+        doc, item = array.doc[place], items.item[suffix]
+        for pair in np.unique(doc * len(items.names) + item).tolist():
+            self.named[pair // len(items.names)].add(items.names[pair % len(items.names)])
+        # windows that follow each other in a document and an item are one longer match
+        order = np.lexsort((place, place - suffix))
+        suffix, place, length, doc, item = (x[order] for x in (suffix, place, length, doc, item))
+        fresh = np.ones(len(place), bool)
+        fresh[1:] = (np.diff(place) != 1) | (np.diff(suffix) != 1) | (np.diff(doc) != 0) | (np.diff(item) != 0)
+        first = np.flatnonzero(fresh)
+        last = np.append(first[1:], len(place)) - 1
+        whole = place[last] + length[last] - place[first]
+        longest = np.zeros(len(self.best), np.int64)
+        np.maximum.at(longest, doc[first], whole)
+        for i in np.flatnonzero(whole == longest[doc[first]]).tolist():
+            k = first[i]
+            d = int(doc[k])
+            found = (-int(whole[i]), int(place[k] - array.bounds[d]), items.names[item[k]], int(items.start[suffix[k]]))
+            if self.best[d] is None or found < self.best[d]:
+                self.best[d] = found
+
+    def hit(self) -> np.ndarray:
+        """Hit words per document."""
+        covered = np.concatenate([[0], np.cumsum(np.cumsum(self.cover[:-1]) > 0)])
+        return np.diff(covered[self.array.bounds])
+
+    def columns(self) -> list[pa.Array]:
+        n_hit, names = self.hit(), [sorted(x) for x in self.named]
+        best = [(None, None, None, None) if b is None else (-b[0], *b[1:]) for b in self.best]
+        digests = [hashlib.sha256(",".join(n).encode()).hexdigest() for n in names]
+        return [
+            pa.array(np.diff(self.array.bounds), pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(n) for n in names], pa.int64()),
+            pa.array(digests, pa.string()), pa.array(n_hit > 0),
+            *[pa.array([b[j] for b in best], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int64()))],
+        ]
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, keep_clean: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """`docs` with words, hit words, items, and the longest verbatim match that holds a window.
+
+    The match is given by its words, its first word in the document, its item and its first word there, NULL without one;
+    of equal lengths the first in the document, then by item. With `keep_clean` only clean rows and no new columns.
+    """
+    items = items_of(benchmark, block_words)
     kinds = StructType.fromDDL(_RESULTS)
     if not keep_clean:
         docs = docs.drop(*kinds.names)
@@ -236,18 +310,16 @@ def judged(docs: DataFrame, benchmark: DataFrame, keep_clean: bool = False) -> D
     at = docs.columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items.load()
         for batch in batches:
             for first, last, hashes, bounds in hashed(batch.column(at)):
-                n_words, n_hit, names = _judge(SuffixArray(hashes, bounds, items.longest), items)
+                found = _Verdict(SuffixArray(hashes, bounds, items.longest))
+                for block in items.blocks():
+                    found.add(block)
                 rows = batch.slice(first, last - first)
                 if keep_clean:
-                    yield rows.filter(pa.array(n_hit == 0))
-                    continue
-                digests = [hashlib.sha256(",".join(n).encode()).hexdigest() for n in names]
-                more = [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(n) for n in names], pa.int64()),
-                        pa.array(digests, pa.string()), pa.array(n_hit > 0)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, *more], [*batch.schema.names, *kinds.names])
+                    yield rows.filter(pa.array(found.hit() == 0))
+                else:
+                    yield pa.RecordBatch.from_arrays([*rows.columns, *found.columns()], [*batch.schema.names, *kinds.names])
 
     return docs.mapInArrow(scan, schema)
 
@@ -257,33 +329,34 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return judged(docs, benchmark, keep_clean=True)
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def longest_matches(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(item_id, item_word, length, doc_id, doc_word): per suffix of an item its longest verbatim match in any document.
 
     One location is given, the smallest doc_id and word among the shards' own.
     """
-    items = items_of(benchmark)
+    items = items_of(benchmark, block_words)
+
+    def matches(array: SuffixArray, block: Block, ids: pa.Array) -> pa.RecordBatch:
+        longest, where, _, _ = array.search(block.hashes, block.ends, WINDOW)
+        some = np.flatnonzero(longest)
+        same = np.ones(len(some), bool)  # words that agree in 64 bits, in front
+        length = np.zeros(len(some), np.int64)
+        for j in range(int(longest.max(initial=0))):
+            at = np.flatnonzero(same & (longest[some] > j))
+            same[at] = array.hashes[where[some[at]] + j] == block.hashes[some[at] + j]
+            length[at] += same[at]
+        doc = array.doc[where[some]]
+        return pa.RecordBatch.from_arrays([
+            pa.array([block.names[i] for i in block.item[some]], pa.string()), pa.array(block.start[some], pa.int64()),
+            pa.array(length, pa.int64()), ids.take(pa.array(doc)), pa.array(where[some] - array.bounds[doc], pa.int64()),
+        ], ["item_id", "item_word", "length", "doc_id", "doc_word"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items.load()
-        start = np.arange(len(items.hashes)) - items.bounds[items.item] if len(items.hashes) else np.zeros(0, np.int64)
         for batch in batches:
-            ids = batch.column(0)
-            for first, _, hashes, bounds in hashed(batch.column(1)):
+            for first, last, hashes, bounds in hashed(batch.column(1)):
                 array = SuffixArray(hashes, bounds, items.longest)
-                longest, where, _, _ = array.search(items.hashes, items.ends, WINDOW)
-                some = np.flatnonzero(longest)
-                same = np.ones(len(some), bool)  # words that agree in 64 bits, in front
-                length = np.zeros(len(some), np.int64)
-                for j in range(int(longest.max(initial=0))):
-                    at = np.flatnonzero(same & (longest[some] > j))
-                    same[at] = array.hashes[where[some[at]] + j] == items.hashes[some[at] + j]
-                    length[at] += same[at]
-                doc = array.doc[where[some]]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([items.names[i] for i in items.item[some]], pa.string()), pa.array(start[some], pa.int64()),
-                    pa.array(length, pa.int64()), ids.take(pa.array(doc + first)), pa.array(where[some] - bounds[doc], pa.int64()),
-                ], ["item_id", "item_word", "length", "doc_id", "doc_word"])
+                for block in items.blocks():
+                    yield matches(array, block, batch.column(0).slice(first, last - first))
 
     kind = f"item_id string, item_word long, length long, doc_id {dict(docs.dtypes)['doc_id']}, doc_word long"
     found = docs.select("doc_id", "text").mapInArrow(scan, kind).where("length > 0")

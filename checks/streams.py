@@ -18,21 +18,39 @@ DAY = 86400
 
 
 def _arrivals(spark, folder) -> str:
-    """A file per span of days, in order: its sightings, repeats of them, repeats from the span before, and
-    sightings of three spans before that come too late."""
+    """Some files per span of days, in order: its sightings, repeats of them, repeats from the span before, and
+    sightings of three spans before that come too late. One pass deals the sightings out to the spans."""
     seen = b.sightings(spark, folder).withColumn("span", F.floor(F.datediff(F.timestamp_seconds("ts"), F.lit("2024-01-01").cast("date")) / SPAN))
     repeated = seen.where("event_id % 5 = 0")
     late = seen.where("event_id % 7 = 0").withColumns({"event_id": F.col("event_id") + 10**9, "span": F.col("span") + 3})
     arriving = seen.unionByName(repeated).unionByName(repeated.withColumn("span", F.col("span") + 1)).unionByName(late)
     last = seen.agg(F.max("span")).first()[0]
-    path = fresh_path(spark, "arrivals")
+    path, dealt = fresh_path(spark, "arrivals"), fresh_path(spark, "dealt")
+    arriving.where(F.col("span").between(0, last)).write.partitionBy("span").parquet(dealt)
+    dealt = spark.read.schema(arriving.schema).parquet(dealt)
+    sizes = {r.span: r.n for r in dealt.groupBy("span").agg(F.count("*").alias("n")).collect()}  # a row per span
     for span in range(last + 1):
-        arriving.where(F.col("span") == span).drop("span").coalesce(1).write.mode("append").parquet(path)
+        _land(dealt.where(F.col("span") == span).drop("span"), sizes.get(span, 0), path, _files(spark))
     return path
 
 
-def _one_by_one(spark, path: str) -> DataFrame:
-    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 1).parquet(path)
+def _files(spark) -> int:
+    """Files of a span, which a micro-batch reads together."""
+    return spark.sparkContext.defaultParallelism
+
+
+def _land(rows: DataFrame, n: int, path: str, files: int) -> None:
+    """Append the `n` rows as exactly `files` files, whatever their number: round-robin gives every file a row of a partition with
+    as many, which one of 64 has; fewer rows are one file, and the others are empty."""
+    many = n >= 64 * files
+    rows = rows.coalesce(64).repartition(files) if many else rows.coalesce(1)
+    rows.write.mode("append").parquet(path)
+    for _ in range(0 if many else files - 1):
+        rows.where(F.lit(False)).write.mode("append").parquet(path)
+
+
+def _one_by_one(spark, path: str, files: int = 1) -> DataFrame:
+    return spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @case("stream_closed_hours", f"""WITH {b.SQL_OBS},
@@ -42,7 +60,7 @@ closed AS (SELECT * FROM told WHERE ts - ts % 3600 + 3600 <= (SELECT max(ts) FRO
 def stream_closed_hours(spark, folder):
     """Only hours that the watermark has passed; repeats and late sightings do not count."""
     path = fresh_path(spark, "closed")
-    counts = closed_hours(_one_by_one(spark, _arrivals(spark, folder)), LATENESS, key=["event_id", "ts"])
+    counts = closed_hours(_one_by_one(spark, _arrivals(spark, folder), _files(spark)), LATENESS, key=["event_id", "ts"])
     append_hours(counts, path, fresh_path(spark, "checkpoint"), available_now=True).awaitTermination()
     return b.with_text_date(read_hours(spark, path))
 

@@ -232,3 +232,27 @@ def test_coverage_and_range(spark):
     assert tuple(coverage(df).first()) == (2, 3)
     assert [str(d) for d in date_range(df).first()] == ["2024-01-01", "2024-01-03"]
     assert tuple(coverage(df.limit(0)).first()) == (0, 0)
+
+
+def test_arrivals_come_as_the_same_number_of_files_each(spark, tmp_path):
+    """Spans of days with many, few and no sightings: a micro-batch that takes that many files takes one span."""
+    import glob
+    import os
+    from datetime import datetime, timedelta
+
+    from checks import streams
+
+    start = datetime(2024, 1, 1)
+    days = [0] * 1200 + [1, 2, 2] + [8, 8] + [12] * 30  # no sighting in the second span of four days
+    events = [(i, start + timedelta(days=d, minutes=i % 1440), i % 50, "view", 1.0) for i, d in enumerate(days)]
+    spark.createDataFrame(events, "event_id long, ts timestamp, user_id long, event_type string, value double").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    path, files = streams._arrivals(spark, str(tmp_path)), streams._files(spark)
+    found = sorted(glob.glob(f"{path.removeprefix('file://')}/part-*"), key=os.path.getmtime)
+    assert len(found) == 4 * files > 4
+    got = [sorted(r.event_id for r in spark.read.parquet(*found[k : k + files]).collect()) for k in range(0, len(found), files)]
+    want = [[] for _ in range(7)]
+    for i, d in enumerate(days):
+        for span, event, here in ((d // 4, i, True), (d // 4, i, i % 5 == 0), (d // 4 + 1, i, i % 5 == 0), (d // 4 + 3, i + 10**9, i % 7 == 0)):
+            want[span] += [event] if here else []
+    assert got == [sorted(events) for events in want[:4]]

@@ -1,8 +1,7 @@
 """Language of a text: multinomial naive Bayes over hashed character n-grams.
 
 The n-grams (1 to 3 characters) lie inside words in lower case, with a mark for a word's edge; anything
-that is no letter only separates words. Counts per language are summed over a sample of labelled rows of bounded
-expected size; the matrix of log-probabilities (bins x languages) is broadcast, and texts are
+that is no letter only separates words. Counts per language are summed over all labelled rows; the matrix of log-probabilities (bins x languages) is broadcast, and texts are
 scored in batches: each n-gram's bin picks a row, and running sums give the total per text.
 
 NULL texts and texts without a letter get `und` with score 0, as does everything when no
@@ -20,20 +19,20 @@ from dataclasses import dataclass, replace
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from seatflow.llm.text import mixed
+from seatflow.operators.ordering import quantiles
 
 UNDECIDED = "und"
 BITS = 16
 LONGEST = 3
-#: Expected number of labelled rows per language that the model is fitted on, at most.
-SAMPLE_PER_LANGUAGE = 2000
-#: The share of a language's sample that may be labelled wrongly or be hardly text, and how far from the rest of it, towards n-grams
+#: Bins of a language that are added up together.
+_BLOCK = 1 << 10
+#: The share of a language's rows that may be labelled wrongly or be hardly text, and how far from the rest of it, towards n-grams
 #: never seen, the n-grams of a text may lie on the mean.
 STRAYS, MARGIN = 0.01, 0.4
 _CHARS = 1 << 20
@@ -137,77 +136,78 @@ class Model:
         return labels, scores
 
 
-def _sample(labelled: DataFrame, per_language: int, seed: int) -> tuple[DataFrame, dict[str, int]]:
-    """About `per_language` labelled rows of each language, and the number of all of them."""
-    labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    rows = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per language
-    known = {r.lang: r.n for r in sorted(rows, key=lambda r: r.lang)}
-    if not known:
-        return labelled, known
-    share = F.create_map(*[F.lit(x) for lang, n in known.items() for x in (lang, min(1.0, per_language / n))])
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return labelled.where(draw < F.element_at(share, F.col("lang"))), known
+def _labelled(rows: DataFrame) -> DataFrame:
+    return rows.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
 
 
-def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, bits: int = BITS, seed: int = 0) -> Model:
-    """A model from (doc_id, text, lang) rows; at most about `per_language` rows of each language are read."""
-    sample, known = _sample(labelled, per_language, seed)
-    if not known:
-        return Model([], np.zeros(0), np.zeros((0, 1 << bits)))
+def fit(labelled: DataFrame, bits: int = BITS) -> Model:
+    """A model from all (text, lang) rows; each task sums a table of counts per language, and the tables are added up in blocks of bins."""
+    block = min(_BLOCK, 1 << bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        rows: dict[str, int] = {}
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), object)
             for lang in set(langs):
                 own = [texts[i] for i in np.flatnonzero(langs == lang)]
                 table = sums.setdefault(lang, np.zeros(1 << bits, np.int64))
+                rows[lang] = rows.get(lang, 0) + len(own)
                 for a, z in pieces(own):
                     for bins, _ in grams(own[a:z], bits):
                         table += np.bincount(bins, minlength=1 << bits)
-        if sums:
-            yield pa.RecordBatch.from_pydict({"lang": list(sums), "counts": [t.tobytes() for t in sums.values()]})
+        for lang, table in sums.items():
+            parts = [part.tobytes() for part in table.reshape(-1, block)]
+            yield pa.RecordBatch.from_pydict({"lang": [lang] * len(parts), "block": range(len(parts)), "n": [rows[lang]] * len(parts), "counts": parts})
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(b, np.int64) for b in rows["counts"])
-        return pd.DataFrame({"lang": rows["lang"].iloc[:1], "counts": [total.tobytes()]})
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[str, int], np.ndarray] = {}
+        rows: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            lang, at, n, counts = (column.to_pylist() for column in batch.columns)
+            for key, own_n, own in zip(zip(lang, at, strict=True), n, counts, strict=True):
+                sums[key] = sums.get(key, 0) + np.frombuffer(own, np.int64)
+                rows[key] = rows.get(key, 0) + own_n
+        if sums:
+            langs, places = zip(*sums, strict=True)
+            yield pa.RecordBatch.from_pydict({"lang": langs, "block": places, "n": list(rows.values()), "counts": [t.tobytes() for t in sums.values()]})
 
-    kind = "lang string, counts binary"
-    tables = sample.select("text", "lang").mapInArrow(count, kind).groupBy("lang").applyInPandas(add, kind).collect()
-    counts = {r.lang: np.frombuffer(r.counts, np.int64) for r in tables}
-    languages = [lang for lang in known if lang in counts]
-    matrix = np.array([counts[lang] for lang in languages], np.float64).reshape(len(languages), 1 << bits) + 0.5
+    kind = "lang string, block long, n long, counts binary"
+    found = _labelled(labelled).mapInArrow(count, kind).repartition("lang", "block").mapInArrow(add, kind).collect()  # a table per language
+    if not found:
+        return Model([], np.zeros(0), np.zeros((0, 1 << bits)))
+    known = {r.lang: r.n for r in sorted(found, key=lambda r: r.lang)}
+    counts = {(r.lang, r.block): np.frombuffer(r.counts, np.int64) for r in found}
+    matrix = np.array([np.concatenate([counts[lang, at] for at in range((1 << bits) // block)]) for lang in known], np.float64) + 0.5
     matrix = np.log(matrix / matrix.sum(1, keepdims=True))
-    prior = np.array([known[lang] for lang in languages], float)
-    return Model(languages, np.log(prior / max(1.0, prior.sum())), matrix.astype(np.float32))
+    prior = np.array(list(known.values()), float)
+    return Model(list(known), np.log(prior / prior.sum()), matrix.astype(np.float32))
 
 
-def calibrated(
-    model: Model, labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, strays: float = STRAYS, margin: float = MARGIN,
-    seed: int = 1,
-) -> Model:
-    """`model` that can tell texts in none of its languages, by the n-grams of about `per_language` labelled rows of each.
+def calibrated(model: Model, labelled: DataFrame, strays: float = STRAYS, margin: float = MARGIN) -> Model:
+    """`model` that can tell texts in none of its languages, by the n-grams of all labelled rows.
 
     Of each language the `strays` quantile of the mean log-probability of a text's n-grams is taken, over the texts that the model
     gives it; `margin` of the way from there to an n-gram never seen lies the class of unknown languages. A
-    language that gets no text of the sample turns none away.
+    language that gets no text turns none away.
     """
-    sample, known = _sample(labelled, per_language, seed)
-    if not known or not model.languages:
+    if not model.languages:
         return model
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, z, likely, size, letters in model.totals(batch.column(0).to_pylist()):
-                best = (likely + model.log_prior).argmax(1)
+            for a, z, likely, size, letters in shared.value.totals(batch.column(0).to_pylist()):
+                best = (likely + shared.value.log_prior).argmax(1)
                 mean = likely[np.arange(z - a), best] / np.maximum(size, 1)
                 yield pa.RecordBatch.from_pydict({"best": best[letters > 0], "mean": mean[letters > 0]})
 
-    low = sample.select("text").mapInArrow(measure, "best long, mean double").groupBy("best")
-    low = {r.best: r.low for r in low.agg(F.percentile("mean", F.lit(strays)).alias("low")).collect()}  # a row per language
+    means = _labelled(labelled).select("text").mapInArrow(measure, "best long, mean double")
+    low = {r.best: r.quantile for r in quantiles(means, "best", "mean", strays).collect()}  # a row per language
     unseen = model.log_prob.min(1).astype(np.float64)
     usual = np.array([low.get(k, -np.inf) for k in range(len(model.languages))])
-    return replace(model, unknown=np.where(np.isfinite(usual), usual - margin * (usual - unseen), -np.inf))
+    turned = np.where(np.isfinite(usual), usual, 0.0)
+    return replace(model, unknown=np.where(np.isfinite(usual), turned - margin * (turned - unseen), -np.inf))
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:

@@ -122,6 +122,20 @@ def medians(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return middle.groupBy("feature").agg(F.avg("value").alias("median"))
 
 
+def quantiles(rows: DataFrame, by: str, column: str, share: float) -> DataFrame:
+    """Exact quantile of `column` in each group of `by` as (by, quantile), between two values the point on the line; sliced like `ranked`."""
+    counted = rows.groupBy(by, column).agg(F.count("*").alias("_count"))
+    cut = _with_slice_sums(sliced(counted, [by, column]), [by], F.col("_count"))
+    inside = Window.partitionBy(by, "_slice").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+    cut = cut.withColumn("_before", F.col("_earlier") + F.coalesce(F.sum("_count").over(inside), F.lit(0)))
+    place = (F.col("group_size") - 1) * F.lit(share)
+    low, high = F.floor(place), F.ceil(place)
+    holds = lambda at: (F.col("_before") <= at) & (at < F.col("_before") + F.col("_count"))
+    near = cut.where(holds(low) | holds(high)).withColumns({"_to_low": high - place, "_to_high": place - low})
+    below, above, down, up = F.min(column), F.max(column), F.min("_to_low"), F.min("_to_high")
+    return near.groupBy(by).agg(F.when(up == 0, below).otherwise(down * below + up * above).alias("quantile"))
+
+
 def most_frequent(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Commonest value of each column as text, (feature, value); the smallest one on a tie."""
     present = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])

@@ -351,3 +351,38 @@ def test_personal_data_model_does_not_depend_on_the_order_of_rows(spark):
     assert models[0].thresholds == models[1].thresholds == models[2].thresholds
     x = np.random.default_rng(1).random((200, pii.examples(["a", "bc"], 4)[0].shape[1]))
     assert all((m.trees.predict(x) == models[0].trees.predict(x)).all() for m in models)
+
+
+def _many_labelled():
+    rng = random.Random(12)
+    words = {"x": ["ab", "abc", "zebra"], "y": ["oak", "elm", "né"]}
+    rows = [(lang, " ".join(rng.choices(words[lang], k=rng.randint(1, 5)))) for lang, n in (("x", 2700), ("y", 2300)) for _ in range(n)]
+    return rows, [(i, t, lang) for i, (lang, t) in enumerate(rows)]
+
+
+def test_language_counts_and_thresholds_take_every_labelled_row(spark):
+    rows, table = _many_labelled()
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string").repartition(5)
+    model = langid.calibrated(langid.fit(docs, bits=12), docs)
+    for k, lang in enumerate("xy"):
+        own = np.full(1 << 12, 0.5)
+        for found, _ in langid.grams([t for x, t in rows if x == lang], 12):
+            own += np.bincount(found, minlength=1 << 12)
+        assert np.allclose(model.log_prob[k], np.log(own / own.sum()), atol=1e-6)
+    assert np.allclose(model.log_prior, np.log([0.54, 0.46]))
+    (_, _, likely, size, _), = model.totals([t for _, t in rows])
+    best = (likely + model.log_prior).argmax(1)
+    for k in range(2):
+        low = np.quantile((likely[:, k] / size)[best == k], langid.STRAYS)
+        assert math.isclose(model.unknown[k], low - langid.MARGIN * (low - float(model.log_prob[k].min())), rel_tol=1e-12)
+
+
+def test_quantiles_agree_with_numpy(spark):
+    from seatflow.operators.ordering import quantiles
+
+    rng = random.Random(13)
+    groups = {"a": [rng.choice([0.0, 1.5, 1.5, 9.0]) for _ in range(400)], "b": [7.25], "c": [rng.random() for _ in range(333)]}
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double")
+    for share in (0.0, 0.01, 0.37, 1.0):
+        got = {r.g: r.quantile for r in quantiles(df, "g", "v", share).collect()}
+        assert got == pytest.approx({g: float(np.quantile(values, share)) for g, values in groups.items()}, rel=1e-12)

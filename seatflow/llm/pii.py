@@ -5,7 +5,7 @@ spans of the same kinds in other spellings: addresses written out, numbers witho
 cards in other groupings, IPv6. Gradient-boosted trees score a candidate from its format and from the words around it; a
 kind's threshold is the lowest at which held-out examples keep the stated precision. Of chosen spans that overlap, the
 surest stays, and none may overlap the base. The trees are fitted on examples written from templates into
-words of a bounded sample of documents.
+words drawn by their counts in all whole texts; words that no feature tells apart are counted together.
 
 NULL texts count as empty and have no spans. Texts are read whole; offsets are code points. Repeated rows are judged one by one. Columns of
 the table that bear a result's name are replaced, all others are kept; redaction keeps the columns, and updates `n_chars` where it exists.
@@ -17,8 +17,10 @@ import bisect
 import hashlib
 import random
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCUMENTS = 200
-SAMPLE_CHARACTERS = 2000
 EXAMPLES = 6000
 PRECISION = 0.99
 Span = tuple[str, int, int]
@@ -106,6 +106,10 @@ _CUES = {
     "no": ("order", "invoice", "version", "token", "isbn", "date", "id", "sku", "page", "serial", "key", "secret", "password", "total", "ref", "no", "year", "score"),
 }
 _ALL_WORDS = re.compile(r"[A-Za-z]+")
+_ENDINGS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "info", "eu")
+_CUE = re.compile(f"(?=({'|'.join(sorted({c for cues in _CUES.values() for c in cues}, key=len, reverse=True))}))")
+#: Characters before a candidate that are looked at, and letters beyond which a generator takes no word.
+_BEFORE, _LONG = 32, 65
 
 
 def candidates(text: str) -> list[Span]:
@@ -116,7 +120,7 @@ def candidates(text: str) -> list[Span]:
 def features(text: str, span: Span) -> list[float]:
     """Format of a candidate and its surroundings."""
     kind, start, end = span
-    own, before, after = text[start:end], text[max(0, start - 32) : start], text[end : end + 16]
+    own, before, after = text[start:end], text[max(0, start - _BEFORE) : start], text[end : end + 16]
     digits = digits_of(own)
     groups = re.findall(r"[0-9]+", own)
     near = [w.lower() for w in _ALL_WORDS.findall(before)[-4:]]
@@ -129,7 +133,7 @@ def features(text: str, span: Span) -> list[float]:
         float(before[-1:].isalnum()), float(after[:1].isalnum()), float(before[-1:] in "=\"'#$€£"), float(after[:1] in "\"'%€$"),
         float(len(groups) == 3 and sorted(map(len, groups)) in ([2, 2, 4], [1, 2, 4], [1, 1, 4])), float("@" in own or "＠" in own),
         float("[" in own or "{" in own or "(" in own and any(c.isalpha() for c in own)), float(" dot " in own.lower()),
-        len(parts[-1]) if parts else 0, float(bool(parts) and parts[-1].lower() in ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "info", "eu")),
+        len(parts[-1]) if parts else 0, float(bool(parts) and parts[-1].lower() in _ENDINGS),
         float(len(digits) > 6 and len(set(digits)) == 1),
     ]
 
@@ -223,10 +227,23 @@ def _clear(spans: list[Span], taken: list[Span]) -> list[Span]:
     return out
 
 
-def examples(words: list[str], count: int = EXAMPLES, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of candidates in texts written from templates."""
+def form(word: str) -> str:
+    """A word that gives the same features in every example: only cues near its end, parts of addresses and its length are kept."""
+    low = word.lower()
+    if low in _ENDINGS or low in ("at", "dot"):
+        return word
+    low = low[-_LONG:]
+    kept = ["z"] * len(low)  # no cue has a z
+    for cue in _CUE.finditer(low, max(0, len(low) - _BEFORE)):
+        kept[cue.start() : cue.start() + len(cue[1])] = cue[1]
+    return "".join(kept)
+
+
+def examples(words: list[str], count: int = EXAMPLES, seed: int = 0, counts: Sequence[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of candidates in texts written from templates into `words`, which are drawn by their `counts`, if given."""
     rng = random.Random(seed)
     words = words or ["some", "words", "stand", "here", "and", "there"]
+    reach = list(accumulate(counts or [1] * len(words)))
     num = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     name = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 9)))
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
@@ -258,7 +275,7 @@ def examples(words: list[str], count: int = EXAMPLES, seed: int = 0) -> tuple[np
         lambda: f"@{name()}", lambda: f"{name()} @ {name()}", lambda: f"{num(1)}-{num(1)}-{num(1)}", lambda: f"{num(5)}-{num(4)}", lambda: f"{num(2)} {num(2)} {num(2)}",
         lambda: f"{num(3)}.{num(3)}", lambda: f"{num(4)}/{num(2)}", lambda: f"{rng.choice('abcdef')}:{hexes(2)}:{hexes(2)}", lambda: f"{num(10)}", lambda: f"{num(3)} {num(4)}",
     ]
-    some = lambda a, b: " ".join(rng.choice(words) for _ in range(rng.randint(a, b)))
+    some = lambda a, b: " ".join(rng.choices(words, cum_weights=reach, k=rng.randint(a, b)))
     x, y = [], []
     while len(x) < count:
         kind = rng.choice([*KINDS, None, None, None, None])
@@ -278,17 +295,32 @@ def examples(words: list[str], count: int = EXAMPLES, seed: int = 0) -> tuple[np
     return np.array(x), np.array(y)
 
 
-def fit(
-    docs: DataFrame, sample: int = SAMPLE_DOCUMENTS, precision: float = PRECISION, seed: int = 0, sample_characters: int = SAMPLE_CHARACTERS
-) -> Model:
-    """Trees and thresholds; the examples' words come from the first `sample_characters` of about `sample` documents."""
-    count = docs.count()
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = docs.select(draw.alias("draw"), F.substring("text", 1, sample_characters).alias("text")).where(F.col("draw") < min(1.0, sample / max(1, count)))
-    rows = drawn.orderBy("draw", "text").limit(2 * sample).collect()  # in an order that no partitioning changes
-    words = [w for r in rows if r.text for w in _ALL_WORDS.findall(r.text)]
-    trees = boost(*examples(words, seed=seed))
-    x, y = examples(words, EXAMPLES // 2, seed + 1)
+def word_forms(docs: DataFrame) -> dict[str, int]:
+    """Occurrences of the words of all whole texts by `form`, in order: a row per form, of which there are few however many the words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words: Counter[str] = Counter()
+            for text in batch.column(0):
+                words.update(_ALL_WORDS.findall(text.as_py() or ""))
+            sums: Counter[str] = Counter()
+            for word, n in words.items():
+                sums[form(word)] += n
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(list(sums.values()), pa.int64())], ["form", "n"])
+
+    rows = docs.select("text").mapInArrow(count, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect()
+    return {r.form: r.n for r in sorted(rows, key=lambda r: r.form)}
+
+
+def fit(docs: DataFrame, sample: int | None = None, precision: float = PRECISION, seed: int = 0) -> Model:
+    """Trees and thresholds; the examples' words follow the counts of all words of `docs`, or of about `sample` documents, if given."""
+    if sample is not None:
+        draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length("text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        docs = docs.where(draw < min(1.0, sample / max(1, docs.count())))
+    forms = word_forms(docs)
+    words, counts = list(forms), list(forms.values())
+    trees = boost(*examples(words, seed=seed, counts=counts))
+    x, y = examples(words, EXAMPLES // 2, seed + 1, counts)
     p = trees.predict(x)
     thresholds = {}
     for k, kind in enumerate(KINDS):

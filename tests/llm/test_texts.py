@@ -1,6 +1,7 @@
 """Main text, language, personal data, toxicity."""
 
 import html
+import collections
 import itertools
 import math
 import random
@@ -386,3 +387,23 @@ def test_quantiles_agree_with_numpy(spark):
     for share in (0.0, 0.01, 0.37, 1.0):
         got = {r.g: r.quantile for r in quantiles(df, "g", "v", share).collect()}
         assert got == pytest.approx({g: float(np.quantile(values, share)) for g, values in groups.items()}, rel=1e-12)
+
+
+def test_personal_data_examples_follow_the_words_of_all_whole_texts(spark, monkeypatch):
+    texts = ["plain words " * 300 + f"email{'q' * (i % 7)} AT Org" for i in range(700)] + [None, "", "é12 ab"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    want = collections.Counter(pii.form(w) for t in texts for w in re.findall("[A-Za-z]+", t or ""))
+    assert pii.word_forms(docs) == want and want["AT"] == 700 and want["zmail"] + want["email"] == 100
+    seen, examples = [], pii.examples
+    monkeypatch.setattr(pii, "examples", lambda words, *a, **k: seen.append(words) or examples(words, *a, **k))
+    pii.fit(docs)
+    assert all(set(words) == set(want) for words in seen) and len(seen) == 2
+
+
+def test_word_forms_keep_every_feature():
+    rng = random.Random(14)
+    parts = ["at", "dot", "AT", "com", "mail", "id", "ship", "x", "Call", "fax", "zz", "cardinal", "no", "e", "De", "wort"]
+    words = ["".join(rng.choices(parts, k=rng.choice([1, 1, 1, 2, 3, 20]))) for _ in range(300)]
+    x, y = pii.examples(words, 3000, 5)
+    forms, told = pii.examples([pii.form(w) for w in words], 3000, 5)
+    assert (x == forms).all() and (y == told).all() and len({pii.form(w) for w in words}) < len(set(words))
